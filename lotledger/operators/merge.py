@@ -189,9 +189,13 @@ def bad_fields(attempted: DataFrame, inserted: Column, mandatory: Sequence[str]
 
     `attempted` holds the new items of the run and `inserted` tells which of
     them were stored. Nothing attempted gives an empty list (or, with `by`, no
-    row); attempted but nothing inserted gives all names. One pass, one aggregation.
+    row); attempted but nothing inserted gives all names. A column the rows do
+    not have is empty. One pass, one aggregation.
     """
-    filled = [F.count(F.when(inserted, F.col(c))).alias(f"_{c}") for c in mandatory]
+    absent = F.lit(None).cast("string")
+    filled = [
+        F.count(F.when(inserted, F.col(c) if c in attempted.columns else absent)).alias(f"_{c}") for c in mandatory
+    ]
     counts = attempted.groupBy(*by).agg(F.count("*").alias("_n"), *filled)
     empty = F.array_compact(F.array(*[F.when((F.col("_n") > 0) & (F.col(f"_{c}") == 0), F.lit(c)) for c in mandatory]))
     return counts.select(*by, empty.alias("bad_fields"))

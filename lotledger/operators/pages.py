@@ -8,9 +8,11 @@ array. No step shuffles, and `html` goes no further than the first select.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+import re
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
-from html.parser import HTMLParser
+from html import unescape
+from itertools import accumulate, chain
 from operator import and_
 
 import pyarrow as pa
@@ -23,23 +25,10 @@ NODES = (
     "nodes array<struct<id:int,parent:int,last:int,nth:int,tag:string,"
     "classes:array<string>,attrs:map<string,string>,texts:array<string>>>"
 )
-_ARROW_NODES = pa.list_(
-    pa.struct(
-        [
-            ("id", pa.int32()),
-            ("parent", pa.int32()),
-            ("last", pa.int32()),
-            ("nth", pa.int32()),
-            ("tag", pa.string()),
-            ("classes", pa.list_(pa.string())),
-            ("attrs", pa.map_(pa.string(), pa.string())),
-            ("texts", pa.list_(pa.string())),
-        ]
-    )
-)
 
-# HTML elements without an end tag, and those an opening sibling closes.
+# HTML elements without an end tag, with raw text, and those an opening sibling closes.
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+_RAW = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style")}
 _CLOSES = {
     "li": {"li"},
     "dt": {"dt", "dd"},
@@ -50,85 +39,136 @@ _CLOSES = {
     "p": {"p"},
     "option": {"option"},
 }
+_TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)"
+    r"|<[!?][^>]*>"
+    r"|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*>"
+    r"""|<(?P<start>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+(?=>)|[^>]*+)>""",
+    re.S,
+)
+_ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
+
+_NONE: Mapping[str, str] = {}
 
 
-class _Elements(HTMLParser):
-    """Elements of one page in document order, with parent and own text nodes."""
+def _attributes(text: str) -> dict[str, str]:
+    found: dict[str, str] = {}
+    for name, *values in _ATTR.findall(text):
+        value = "".join(values)
+        found.setdefault(name.lower(), unescape(value) if "&" in value else value)
+    return found
+
+
+class _Elements:
+    """Elements of a batch of pages as flat lists, in document order."""
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.found: list[dict] = []
-        self.open: list[int] = []
-        self.counts: dict[tuple[int, str], int] = {}
-        self.text_at = -1
-
-    def handle_starttag(self, tag, attrs):
-        while self.open and self.found[self.open[-1]]["tag"] in _CLOSES.get(tag, ()):
-            self._close()
-        parent = self.open[-1] if self.open else -1
-        nth = self.counts[parent, tag] = self.counts.get((parent, tag), 0) + 1
-        me = len(self.found)
-        first_attrs: dict[str, str] = {}
-        for name, value in attrs:
-            first_attrs.setdefault(name, value or "")
-        self.found.append(
-            dict(
-                id=me,
-                parent=parent,
-                last=me,
-                nth=nth,
-                tag=tag,
-                classes=first_attrs.get("class", "").split(),
-                attrs=list(first_attrs.items()),
-                texts=[],
-            )
-        )
-        self.text_at = -1
+        self.pages = [0]
+        self.id: list[int] = []
+        self.parent: list[int] = []
+        self.last: list[int] = []
+        self.nth: list[int] = []
+        self.tag: list[str] = []
+        self.classes: list[Sequence[str]] = []
+        self.attrs: list[Mapping[str, str]] = []
+        self.texts: list[tuple[str, ...]] = []
+
+    def add(self, html: str | None) -> None:
+        base, html = len(self.tag), html or ""
+        opened: list[int] = []
+        counts: dict[tuple[int, str], int] = {}
+        at = 0
+        while True:
+            m = _TAG.search(html, at)
+            text = html[at : m.start() if m else len(html)]
+            if text and opened:
+                text = unescape(text) if "&" in text else text
+                me = opened[-1]
+                self.texts[me] = (*self.texts[me], text)
+            if m is None:
+                break
+            at = m.end()
+            if m["start"]:
+                at = self._start(html, at, m["start"].lower(), m["attrs"], base, opened, counts)
+            elif m["end"]:
+                tag = m["end"].lower()
+                if opened and self.tag[opened[-1]] != tag and any(self.tag[i] == tag for i in opened):
+                    while self.tag[opened[-1]] != tag:
+                        self._close(opened, base)
+                if opened and self.tag[opened[-1]] == tag:
+                    self._close(opened, base)
+        while opened:
+            self._close(opened, base)
+        self.pages.append(len(self.tag))
+
+    def _start(self, html, at, tag, attr_text, base, opened, counts) -> int:
+        closed = _CLOSES.get(tag)
+        while closed and opened and self.tag[opened[-1]] in closed:
+            self._close(opened, base)
+        me, parent = len(self.tag), opened[-1] if opened else base - 1
+        counts[parent, tag] = nth = counts.get((parent, tag), 0) + 1
+        attrs = _attributes(attr_text) if attr_text else _NONE
+        self.id.append(me - base)
+        self.parent.append(parent - base)
+        self.last.append(me - base)
+        self.nth.append(nth)
+        self.tag.append(tag)
+        self.classes.append(attrs["class"].split() if "class" in attrs else ())
+        self.attrs.append(attrs)
+        self.texts.append(())
+        if tag in _RAW:
+            end = _RAW[tag].search(html, at)
+            self.texts[me] = (html[at : end.start() if end else len(html)],)
+            return end.end() if end else len(html)
         if tag not in _VOID:
-            self.open.append(me)
-
-    def handle_endtag(self, tag):
-        self.text_at = -1
-        if any(self.found[i]["tag"] == tag for i in self.open):
-            while self.found[self.open[-1]]["tag"] != tag:
-                self._close()
-            self._close()
-
-    def handle_data(self, data):
-        if not self.open:
-            return
-        texts = self.found[self.open[-1]]["texts"]
-        if self.text_at == self.open[-1]:
-            texts[-1] += data
-        else:
-            texts.append(data)
-            self.text_at = self.open[-1]
-
-    def _close(self):
-        self.found[self.open.pop()]["last"] = len(self.found) - 1
-
-    def elements(self, html: str | None) -> list[dict]:
-        if html:
-            self.feed(html)
-            self.close()
-        while self.open:
-            self._close()
-        return self.found
+            opened.append(me)
+        return at
+
+    def _close(self, opened: list[int], base: int) -> None:
+        self.last[opened.pop()] = len(self.tag) - 1 - base
+
+    def to_arrow(self) -> pa.Array:
+        def ints(values: list[int]) -> pa.Array:
+            return pa.array(values, pa.int32())
+
+        def lists(values: list) -> tuple[pa.Array, list]:
+            return ints(list(accumulate(map(len, values), initial=0))), list(chain.from_iterable(values))
+
+        class_at, classes = lists(self.classes)
+        text_at, texts = lists(self.texts)
+        attr_at, names = lists(self.attrs)
+        values = list(chain.from_iterable(a.values() for a in self.attrs))
+        strings = pa.string()
+        columns = {
+            "id": ints(self.id),
+            "parent": ints(self.parent),
+            "last": ints(self.last),
+            "nth": ints(self.nth),
+            "tag": pa.array(self.tag, strings),
+            "classes": pa.ListArray.from_arrays(class_at, pa.array(classes, strings)),
+            "attrs": pa.MapArray.from_arrays(attr_at, pa.array(names, strings), pa.array(values, strings)),
+            "texts": pa.ListArray.from_arrays(text_at, pa.array(texts, strings)),
+        }
+        elements = pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
+        return pa.ListArray.from_arrays(ints(self.pages), elements)
 
 
 def page_nodes(pages: DataFrame, html: str = "html") -> DataFrame:
     """Replace the page text by the array of its elements; other columns pass through."""
-    keep = [f for f in pages.schema.fields if f.name != html]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keep] + [NODES])
+    names = [f.name for f in pages.schema.fields if f.name != html]
+    schema = ", ".join([f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in names] + [NODES])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(html))
-            nodes = pa.array([_Elements().elements(t.as_py()) for t in texts], type=_ARROW_NODES)
-            columns = [batch.column(batch.schema.get_field_index(f)) for f in names]
-            yield pa.RecordBatch.from_arrays([*columns, nodes], names=[*names, "nodes"])
+            # Small slices bound the memory that a batch of large pages takes.
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                elements = _Elements()
+                for text in part.column(part.schema.get_field_index(html)):
+                    elements.add(text.as_py())
+                columns = [part.column(part.schema.get_field_index(c)) for c in names]
+                yield pa.RecordBatch.from_arrays([*columns, elements.to_arrow()], names=[*names, "nodes"])
 
-    names = [f.name for f in keep]
     return pages.mapInArrow(run, schema)
 
 

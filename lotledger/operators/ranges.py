@@ -2,13 +2,16 @@
 
 A population is cut along an integer column into cells that hold at most `cap`
 rows each, by halving [lo, hi] at lo + (hi - lo) // 2 until a cell fits or
-spans one value. The halving points do not depend on the data, so every value
-knows its cell at every level and the cut is a matter of counting.
+spans one value. The halving points do not depend on the data: the way from the
+root to a value is a bit per level (0 left, 1 right), and a cell is a prefix of
+that path. So the cut is a matter of counting prefixes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -23,7 +26,7 @@ MAX_PAGES_S = 20
 MAX_PAGES_U = 100
 
 # Levels that one counting pass covers.
-BAND = 8
+BAND = 10
 
 
 def _depth(lo: int, hi: int) -> int:
@@ -36,88 +39,132 @@ def histogram(df: DataFrame, col: Column, lo: int, hi: int, by: Sequence[str] =
     return df.select(*by, v.alias("v")).where(F.col("v").between(lo, hi)).groupBy(*by, "v").agg(F.count("*").alias("n"))
 
 
-def _descend(df: DataFrame, levels: int) -> DataFrame:
-    """Columns lo0, hi0 .. loN, hiN: the cell of `v` at each of the next levels."""
-    for i in range(levels):
-        lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
-        df = df.withColumn(f"mid{i}", lo + F.shiftright(hi - lo, 1))
-        mid = F.col(f"mid{i}")
-        df = df.withColumns(
-            {
-                f"lo{i + 1}": F.when(F.col("v") <= mid, lo).otherwise(F.least(mid + 1, hi)),
-                f"hi{i + 1}": F.when(F.col("v") <= mid, mid).otherwise(hi),
-            }
+def _halve(s: Column, v: Column) -> tuple[Column, Column, Column]:
+    """(lo, hi, goes right) of the half of cell `s` that holds `v`."""
+    mid = s["lo"] + F.shiftright(s["hi"] - s["lo"], 1)
+    right = v > mid
+    return F.when(right, mid + 1).otherwise(s["lo"]), F.when(right, s["hi"]).otherwise(mid), right
+
+
+def _long(n: int) -> Column:
+    return F.lit(n).cast("bigint")
+
+
+def _steps(depth: int) -> Column:
+    return F.sequence(F.lit(1), F.lit(depth))
+
+
+def with_path(hist: DataFrame, lo: int, hi: int) -> DataFrame:
+    """Add `path` (depth bits) and `leaf` (level from which the value is alone in its cell)."""
+
+    def step(s: Column, _: Column) -> Column:
+        low, high, right = _halve(s, F.col("v"))
+        return F.struct(
+            low.alias("lo"),
+            high.alias("hi"),
+            (F.shiftleft(s["path"], 1) + F.when(right, _long(1)).otherwise(_long(0))).alias("path"),
+            (s["leaf"] + F.when(s["lo"] < s["hi"], 1).otherwise(0)).alias("leaf"),
         )
-    return df
-
-
-def _halves(cells: DataFrame, levels: int, by: Sequence[str]) -> DataFrame:
-    """(by, level, lo, mid, hi, n_left, n_right) of every cell of a band that can still be halved."""
-    down = _descend(cells, levels)
-    steps = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("level"),
-                F.col(f"lo{i}").alias("lo"),
-                F.col(f"mid{i}").alias("mid"),
-                F.col(f"hi{i}").alias("hi"),
-            )
-            for i in range(levels)
-        ]
+
+    root = F.struct(_long(lo).alias("lo"), _long(hi).alias("hi"), _long(0).alias("path"), F.lit(0).alias("leaf"))
+    at = F.aggregate(_steps(_depth(lo, hi)), root, step, lambda s: F.struct(s["path"].alias("path"), s["leaf"].alias("leaf")))
+    rows = hist.withColumn("_at", at)
+    rest = [c for c in hist.columns]
+    return rows.select(
+        *rest, F.coalesce("_at.path", _long(0)).alias("path"), F.coalesce("_at.leaf", F.lit(0)).alias("leaf")
     )
-    left = F.when(F.col("v") <= F.col("s.mid"), F.col("n")).otherwise(0)
+
+
+def _bounds(v: Column, level: Column, lo: int, hi: int) -> Column:
+    """struct<lo,hi> of the cell of `v` at a level."""
+
+    def step(s: Column, _: Column) -> Column:
+        low, high, _right = _halve(s, v)
+        return F.struct(low.alias("lo"), high.alias("hi"))
+
+    return F.aggregate(
+        F.slice(_steps(_depth(lo, hi)), F.lit(1), level), F.struct(_long(lo).alias("lo"), _long(hi).alias("hi")), step
+    )
+
+
+def _prefix(path: Column, level: Column | int, depth: int) -> Column:
+    """First `level` bits of a path."""
+    shift = F.lit(depth - level) if isinstance(level, int) else F.lit(depth) - level
+    return F.call_function("shiftright", path, shift)
+
+
+def _children(cells: DataFrame, first: int, levels: int, depth: int, by: list[str]) -> DataFrame:
+    """Cells of the levels below `first`, each with its own count and that of its parent.
+
+    One aggregation per parent cell counts both halves. Sums are combined
+    map-side, so the few wide cells near the root are no hot keys.
+    """
+    level = F.col("level")
+    down = cells.select(
+        *by, "v", "n", "leaf", "path", F.explode(F.sequence(F.lit(first), F.lit(first + levels - 1))).alias("level")
+    ).select(
+        *by,
+        "level",
+        "v",
+        "n",
+        "leaf",
+        _prefix(F.col("path"), level, depth).alias("cell"),
+        (_prefix(F.col("path"), level + 1, depth) % 2 == 1).alias("right"),
+    )
+    sides = []
+    for side, here in (("l", ~F.col("right")), ("r", F.col("right"))):
+        sides += [F.sum(F.when(here, F.col("n")).otherwise(0)).alias(f"n_{side}")]
+        sides += [F.min(F.when(here, F.col(c))).alias(f"{c}_{side}") for c in ("v", "leaf")]
+    parents = down.groupBy(*by, "level", "cell").agg(*sides)
+    half = [
+        F.struct(
+            (F.col("cell") * 2 + bit).alias("cell"),
+            F.col(f"n_{side}").alias("n"),
+            F.col(f"v_{side}").alias("v"),
+            F.col(f"leaf_{side}").alias("leaf"),
+        )
+        for bit, side in enumerate("lr")
+    ]
     return (
-        down.select(*by, "v", "n", F.explode(steps).alias("s"))
-        .where((F.col("s.lo") < F.col("s.hi")) | (F.col("s.level") == 0))
-        .select(*by, F.col("s.level").alias("level"), "s.lo", "s.mid", "s.hi", "n", left.alias("n_left"))
-        .groupBy(*by, "level", "lo", "mid", "hi")
-        .agg(F.sum("n_left").alias("n_left"), (F.sum("n") - F.sum("n_left")).alias("n_right"))
+        parents.select(
+            *by,
+            (level + 1).alias("level"),
+            (F.col("n_l") + F.col("n_r")).alias("n_parent"),
+            F.least("leaf_l", "leaf_r").alias("leaf_parent"),
+            F.explode(F.array(*half)).alias("c"),
+        )
+        .select(*by, "level", "n_parent", "leaf_parent", "c.cell", "c.n", "c.v", "c.leaf")
+        .where("n > 0")
     )
 
 
 def split_counts(hist: DataFrame, lo: int, hi: int, cap: int, by: Sequence[str] = (), band: int = BAND) -> DataFrame:
     """(by, lo, hi, n) of all non-empty cells, from a histogram (by, v, n).
 
-    A cell is a result if it fits while its parent does not, and a parent knows
-    the counts of both halves; so one aggregation settles a whole band of
-    levels. Only values in cells that still overflow enter the next band.
-    Sums are combined map-side, so the few wide cells near the root are no
-    hot keys.
+    A cell is a result if it fits while its parent does not, so the counts of
+    a cell and its parent settle it, without a walk. The levels are counted in
+    bands, and only values in cells that still overflow enter the next band.
     """
-    by = list(by)
-    depth = _depth(lo, hi)
-    cells = hist.select(*by, "v", "n", F.lit(lo).cast("bigint").alias("lo0"), F.lit(hi).cast("bigint").alias("hi0"))
-    found = []
-    done = 0
-    while True:
-        levels = max(1, min(band, depth - done))
-        halves = _halves(cells, levels, by)
-        total = F.col("n_left") + F.col("n_right")
-        open_cell = (total > cap) & (F.col("lo") < F.col("hi"))
-        half = F.array(
-            F.struct(F.col("lo").alias("lo"), F.col("mid").alias("hi"), F.col("n_left").alias("n")),
-            F.struct((F.col("mid") + 1).alias("lo"), F.col("hi").alias("hi"), F.col("n_right").alias("n")),
-        )
-        children = halves.where(open_cell).select(*by, "level", F.explode(half).alias("c"))
-        children = children.select(*by, "level", "c.lo", "c.hi", "c.n").where("n > 0")
-        fits = (F.col("n") <= cap) | (F.col("lo") == F.col("hi"))
-        found.append(children.where(fits).select(*by, "lo", "hi", "n"))
-        if done == 0:
-            root = halves.where((F.col("level") == 0) & ~open_cell)
-            found.append(root.select(*by, "lo", "hi", total.alias("n")))
-        done += levels
-        if done >= depth:
-            break
-        left_over = children.where(~fits & (F.col("level") == levels - 1)).select(*by, "lo", "hi")
-        at_end = _descend(cells, levels).select(
-            *by, "v", "n", F.col(f"lo{levels}").alias("lo"), F.col(f"hi{levels}").alias("hi")
-        )
-        cells = at_end.join(left_over, [*by, "lo", "hi"], "left_semi").select(
-            *by, "v", "n", F.col("lo").alias("lo0"), F.col("hi").alias("hi0")
-        )
-    out = found[0]
-    for part in found[1:]:
-        out = out.unionByName(part)
+    by, depth = list(by), _depth(lo, hi)
+    cells = with_path(hist, lo, hi)
+    roots = hist.groupBy(*by).agg(F.sum("n").alias("n"))
+    fits_root = (F.col("n") <= cap) if depth else F.lit(True)
+    out = roots.where(fits_root & (F.col("n") > 0)).select(*by, _long(lo).alias("lo"), _long(hi).alias("hi"), "n")
+    fits = (F.col("n") <= cap) | (F.col("leaf") <= F.col("level"))
+    open_parent = (F.col("n_parent") > cap) & (F.col("leaf_parent") > F.col("level") - 1)
+    for first in range(0, depth, band):
+        levels = min(band, depth - first)
+        children = _children(cells, first, levels, depth, by).where(open_parent)
+        found = children.where(fits).select(*by, "n", _bounds(F.col("v"), F.col("level"), lo, hi).alias("b"))
+        out = out.unionByName(found.select(*by, "b.lo", "b.hi", "n"))
+        end = first + levels
+        if end < depth:
+            over = children.where(~fits & (F.col("level") == end)).select(
+                *[F.col(c).alias(f"_{c}") for c in by], F.col("cell").alias("_cell")
+            )
+            same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+            same.append(_prefix(F.col("path"), end, depth) == F.col("_cell"))
+            cells = cells.join(over, reduce(and_, same)).select(*by, "v", "n", "path", "leaf")
     return out
 
 
@@ -179,22 +226,31 @@ def count_by_range(
     Rows are first counted per value; each value then lists its cells at all
     levels and meets the ranges by an equi-join, so no range join is needed.
     """
-    by = list(by)
-    depth = _depth(lo, hi)
-    hist = histogram(df, col, lo, hi, by).select(
-        *by, "v", "n", F.lit(lo).cast("bigint").alias("lo0"), F.lit(hi).cast("bigint").alias("hi0")
-    )
-    down = _descend(hist, depth)
-    cells = F.array_distinct(
-        F.array(*[F.struct(F.col(f"lo{i}").alias("lo"), F.col(f"hi{i}").alias("hi")) for i in range(depth + 1)])
-    )
+    by, depth = list(by), _depth(lo, hi)
+
+    def step(s: Column, _: Column) -> Column:
+        low, high, right = _halve(s, F.col("lo"))
+        inner = (s["lo"] < F.col("lo")) | (s["hi"] > F.col("hi"))
+        return F.struct(
+            F.when(inner, low).otherwise(s["lo"]).alias("lo"),
+            F.when(inner, high).otherwise(s["hi"]).alias("hi"),
+            F.when(inner, F.shiftleft(s["cell"], 1) + F.when(right, _long(1)).otherwise(_long(0)))
+            .otherwise(s["cell"])
+            .alias("cell"),
+            (s["level"] + F.when(inner, 1).otherwise(0)).alias("level"),
+        )
+
+    root = F.struct(_long(lo).alias("lo"), _long(hi).alias("hi"), _long(0).alias("cell"), F.lit(0).alias("level"))
+    wanted = ranges.select(*by, "lo", "hi").withColumn("_at", F.aggregate(_steps(depth), root, step))
+    wanted = wanted.select(*by, "lo", "hi", F.col("_at.level").alias("level"), F.col("_at.cell").alias("cell"))
     counted = (
-        down.select(*by, "n", F.explode(cells).alias("c"))
-        .groupBy(*by, "c.lo", "c.hi")
+        with_path(histogram(df, col, lo, hi, by), lo, hi)
+        .select(*by, "n", "path", F.explode(F.sequence(F.lit(0), F.col("leaf"))).alias("level"))
+        .groupBy(*by, "level", _prefix(F.col("path"), F.col("level"), depth).alias("cell"))
         .agg(F.sum("n").alias("n"))
     )
-    keys = [*by, "lo", "hi"]
-    return ranges.select(*keys).join(counted, keys, "left").select(*keys, F.coalesce("n", F.lit(0)).alias("n"))
+    keys = [*by, "level", "cell"]
+    return wanted.join(counted, keys, "left").select(*by, "lo", "hi", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def ranked(

@@ -1 +1,115 @@
-"""Proofs."""
+"""Proofs of the streaming jobs: each drains a stream and gives its final table."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from lotledger.operators.merge import Run
+from lotledger.plans.registry import query, read, text, whole
+from lotledger.session import scratch_dir
+from lotledger.sources.readers import captures_stream, table_stream
+from lotledger.streaming.alerts import alert_stream, alerts
+from lotledger.streaming.ingest import current, ingest
+from lotledger.streaming.seen import seen_once
+
+_RUNS = 4
+_NOW = "2024-01-20 12:00:00"
+
+
+def _run_date(run: int) -> str:
+    return f"2024-02-0{run}"
+
+
+@query(
+    "t1_ingest",
+    """
+    WITH e AS (SELECT *, least(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 8 + 1, 4) AS run FROM events),
+         f AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM e),
+         m AS (SELECT user_id, max(run) AS run FROM e GROUP BY 1)
+    SELECT '/u/' || user_id AS origin_link, CAST(floor(value) AS BIGINT) AS sales_price_incl_vat, run AS iteration_id,
+           CAST(0 AS INTEGER) AS is_synced, '2024-02-0' || run AS parse_date
+    FROM f JOIN m USING (user_id) WHERE r = 1
+    """,
+)
+def t1_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Captures arrive week by week; each run drains what came and closes."""
+    days = F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
+    events = read(spark, sf, "events").select(
+        text("/u/", F.col("user_id")).alias("origin_link"),
+        whole("value").alias("sales_price_incl_vat"),
+        "ts",
+        "event_id",
+        F.least(F.floor(days / 8) + 1, F.lit(_RUNS)).alias("run"),
+    )
+    incoming, table, checkpoint = (scratch_dir(spark, n) for n in ("incoming", "listings", "checkpoint"))
+    rows = events.drop("run")
+    for run in range(1, _RUNS + 1):
+        events.where(F.col("run") == run).drop("run").write.mode("append").parquet(incoming)
+        stream = captures_stream(spark, incoming, rows.schema)
+        ingest(stream, table, checkpoint, Run("S", run, _run_date(run)), order=["ts", "event_id"]).awaitTermination()
+    schema = rows.schema.add("iteration_id", "bigint").add("is_synced", "int").add("parse_date", "date")
+    now = current(spark, table, schema)
+    return now.select(
+        "origin_link",
+        "sales_price_incl_vat",
+        "iteration_id",
+        "is_synced",
+        F.date_format("parse_date", "yyyy-MM-dd").alias("parse_date"),
+    )
+
+
+def _drain(spark: SparkSession, stream: DataFrame) -> DataFrame:
+    path = scratch_dir(spark, "stream-out")
+    (
+        stream.writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", scratch_dir(spark, "checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return spark.read.schema(stream.schema).parquet(path)
+
+
+@query("t2_seen", "SELECT DISTINCT user_id || '/' || event_type AS origin_link FROM events")
+def t2_seen(spark: SparkSession, sf: str) -> DataFrame:
+    stream = table_stream(spark, f"{sf.rstrip('/')}/events.parquet").select(
+        text(F.col("user_id"), "/", F.col("event_type")).alias("origin_link"), "event_id"
+    )
+    return _drain(spark, seen_once(stream, "origin_link")).select("origin_link")
+
+
+@query("t2_seen_horizon", "SELECT DISTINCT user_id || '/' || event_type AS origin_link FROM events")
+def t2_seen_horizon(spark: SparkSession, sf: str) -> DataFrame:
+    stream = table_stream(spark, f"{sf.rstrip('/')}/events.parquet").select(
+        text(F.col("user_id"), "/", F.col("event_type")).alias("origin_link"), "event_id", "ts"
+    )
+    return _drain(spark, seen_once(stream, "origin_link", horizon="40 days")).select("origin_link")
+
+
+_SQL_ALERTS = f"""
+    SELECT event_id AS log_id, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') || chr(10) || props AS text
+    FROM events WHERE event_type = 'error' AND ts + INTERVAL 1 MINUTE >= TIMESTAMP '{_NOW}'
+"""
+
+
+def _logs(events: DataFrame) -> DataFrame:
+    return events.select(
+        F.col("event_id").alias("log_id"),
+        F.when(F.col("event_type") == "error", 40).otherwise(20).alias("level"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.col("props").alias("message"),
+    )
+
+
+@query("t3_alerts", _SQL_ALERTS)
+def t3_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    return alerts(_logs(read(spark, sf, "events")), _NOW)
+
+
+@query("t3_alerts_stream", _SQL_ALERTS)
+def t3_alerts_stream(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_dir(spark, "alerts")
+    logs = _logs(table_stream(spark, f"{sf.rstrip('/')}/events.parquet"))
+    alert_stream(logs, _NOW, path, scratch_dir(spark, "checkpoint")).awaitTermination()
+    return spark.read.schema("log_id bigint, text string").parquet(path)

@@ -18,15 +18,27 @@ def captures(spark: SparkSession, path: str) -> DataFrame:
 
 def captures_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
     """Captures (or any Parquet rows) as they arrive in a folder."""
-    reader = spark.readStream.schema(schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    return _stream(spark, schema, files_per_batch).parquet(path)
 
 
 def table_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """A stored Parquet table as a stream; its schema is read from the files."""
-    return captures_stream(spark, path, spark.read.parquet(path).schema, files_per_batch)
+    """A stored Parquet table as a stream; its schema is read from the files.
+
+    A stream source is a folder, so a table that is one file is picked out of
+    its folder by name.
+    """
+    schema = spark.read.parquet(path).schema
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    is_file = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(where).isFile()
+    if not is_file:
+        return captures_stream(spark, path, schema, files_per_batch)
+    folder, name = path.rsplit("/", 1)
+    return _stream(spark, schema, files_per_batch).option("pathGlobFilter", name).parquet(folder)
+
+
+def _stream(spark: SparkSession, schema: T.StructType, files_per_batch: int | None):
+    reader = spark.readStream.schema(schema)
+    return reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader
 
 
 def read_control(spark: SparkSession, path: str) -> DataFrame:
