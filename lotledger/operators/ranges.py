@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lotledger.functions.predicates import over_cap
@@ -26,7 +28,7 @@ MAX_PAGES_S = 20
 MAX_PAGES_U = 100
 
 # Levels that one counting pass covers.
-BAND = 10
+BAND = 15
 
 
 def _depth(lo: int, hi: int) -> int:
@@ -54,24 +56,34 @@ def _steps(depth: int) -> Column:
     return F.sequence(F.lit(1), F.lit(depth))
 
 
-def with_path(hist: DataFrame, lo: int, hi: int) -> DataFrame:
-    """Add `path` (depth bits) and `leaf` (level from which the value is alone in its cell)."""
+# A path and the level of a leaf share one bigint, so that one column comes back from Python.
+_LEAF_BITS = 6
 
-    def step(s: Column, _: Column) -> Column:
-        low, high, right = _halve(s, F.col("v"))
-        return F.struct(
-            low.alias("lo"),
-            high.alias("hi"),
-            (F.shiftleft(s["path"], 1) + F.when(right, _long(1)).otherwise(_long(0))).alias("path"),
-            (s["leaf"] + F.when(s["lo"] < s["hi"], 1).otherwise(0)).alias("leaf"),
-        )
 
-    root = F.struct(_long(lo).alias("lo"), _long(hi).alias("hi"), _long(0).alias("path"), F.lit(0).alias("leaf"))
-    at = F.aggregate(_steps(_depth(lo, hi)), root, step, lambda s: F.struct(s["path"].alias("path"), s["leaf"].alias("leaf")))
-    rows = hist.withColumn("_at", at)
-    rest = [c for c in hist.columns]
-    return rows.select(
-        *rest, F.coalesce("_at.path", _long(0)).alias("path"), F.coalesce("_at.leaf", F.lit(0)).alias("leaf")
+def with_path(hist: DataFrame, lo: int, hi: int) -> DataFrame:
+    """Add `path` (depth bits) and `leaf` (level from which the value is alone in its cell).
+
+    The halving is a loop over levels on whole Arrow batches of distinct values.
+    """
+    depth = _depth(lo, hi)
+
+    def walk(v: pd.Series) -> pd.Series:
+        value = v.to_numpy()
+        low, high = np.full(len(value), lo, np.int64), np.full(len(value), hi, np.int64)
+        path, leaf = np.zeros(len(value), np.int64), np.zeros(len(value), np.int64)
+        for _ in range(depth):
+            mid = low + ((high - low) >> 1)
+            right = value > mid
+            leaf += low < high
+            path = (path << 1) + right
+            low, high = np.where(right, mid + 1, low), np.where(right, high, mid)
+        return pd.Series((path << _LEAF_BITS) + leaf)
+
+    coded = hist.withColumn("_at", F.coalesce(F.pandas_udf(walk, "bigint")("v"), _long(0)))
+    return coded.select(
+        *hist.columns,
+        F.shiftright("_at", _LEAF_BITS).alias("path"),
+        (F.col("_at") % (1 << _LEAF_BITS)).cast("int").alias("leaf"),
     )
 
 

@@ -12,7 +12,7 @@ from lotledger.operators.dedupe import dedupe_url
 from lotledger.plans import sites
 from lotledger.plans.proofs_text import EURO, NBSP
 from lotledger.plans.registry import dotted, query, read, text, whole
-from lotledger.session import scratch_dir
+from lotledger.session import scratch_dir, spread
 from lotledger.sources import readers, writers
 
 # The SQL side's reading of a page: scripts, styles and comments out, then flat patterns.
@@ -193,7 +193,9 @@ def _definition_list(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_orderpriority"),
         " &amp; Gas<dt>Hubraum</dt><dd>second</dd></dl><script>var t='<dt>Farbe</dt><dd>no</dd>';</script></main>",
     )
-    return read(spark, sf, "orders").select("o_orderkey", html.alias("html"))
+    return spread(read(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")).select(
+        "o_orderkey", html.alias("html")
+    )
 
 
 @query(
@@ -268,7 +270,8 @@ def e3_detail_record(spark: SparkSession, sf: str) -> DataFrame:
         "<span>Einparkhilfe Sensoren vorne</span><span>Einparkhilfe</span></main></body></html>",
     )
     url = text("https://lots.example/d/", key, "?mmvmk0=BMW&mmvmd0=116")
-    pages = read(spark, sf, "orders").select(url.alias("url"), html.alias("html"))
+    orders = read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    pages = spread(orders).select(url.alias("url"), html.alias("html"))
     return sites.detail_s(pages).select(
         "origin_link",
         "make",

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lotledger.operators.merge import Run
 from lotledger.plans.registry import query, read, text, whole
+from lotledger.schema import LISTING
 from lotledger.session import scratch_dir
 from lotledger.sources.readers import captures_stream, table_stream
 from lotledger.streaming.alerts import alert_stream, alerts
@@ -47,7 +48,7 @@ def t1_ingest(spark: SparkSession, sf: str) -> DataFrame:
         events.where(F.col("run") == run).drop("run").write.mode("append").parquet(incoming)
         stream = captures_stream(spark, incoming, rows.schema)
         ingest(stream, table, checkpoint, Run("S", run, _run_date(run)), order=["ts", "event_id"]).awaitTermination()
-    schema = rows.schema.add("iteration_id", "bigint").add("is_synced", "int").add("parse_date", "date")
+    schema = T.StructType([*rows.schema.fields, *LISTING.fields[-3:]])
     now = current(spark, table, schema)
     return now.select(
         "origin_link",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", memory: str = "8g", app: str = "lotledger") -> SparkSession:
@@ -18,6 +18,7 @@ def local_session(cpus: int | str = "*", memory: str = "8g", app: str = "lotledg
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -45,3 +46,13 @@ def _local_base() -> str:
     if not _LOCAL_BASE:
         _LOCAL_BASE.append(tempfile.mkdtemp(prefix="lotledger-"))
     return _LOCAL_BASE[0]
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores, if the input comes in fewer pieces than there are cores.
+
+    For CPU-heavy steps after a small scan (one file, one row group). Large
+    inputs have more pieces than cores and pass through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
