@@ -11,6 +11,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, functions as F
 
+from lotledger.functions.binding import let
 from lotledger.functions.text import null_if_empty
 
 # The percent sequences that are folded to plain letters.
@@ -66,17 +67,23 @@ def _rebuild(u: Column, query: Column) -> Column:
 
 
 def _kept(u: Column, dropped: list[str]) -> Column:
-    pairs = _pairs(u)
-    newest_first = F.reverse(F.transform(pairs, lambda p: p["k"]))
-    kept = F.filter(
-        pairs,
-        lambda p, i: (i + F.array_position(newest_first, p["k"]) == F.size(pairs)) & ~p["k"].isin(dropped),
-    )
-    return F.transform(kept, lambda p: p["text"])
+    """Texts of the pairs that stay: the last of each name, without the dropped names."""
+
+    def last_of_each(pairs: Column, newest_first: Column) -> Column:
+        return F.filter(
+            pairs,
+            lambda p, i: (i + F.array_position(newest_first, p["k"]) == F.size(pairs)) & ~p["k"].isin(dropped),
+        )
+
+    def texts(pairs: Column) -> Column:
+        names = F.reverse(F.transform(pairs, lambda p: p["k"]))
+        return F.transform(let(names, lambda newest_first: last_of_each(pairs, newest_first)), lambda p: p["text"])
+
+    return let(_pairs(u), texts)
 
 
 def remove_param(u: Column, name: str) -> Column:
-    return _rebuild(u, F.array_join(_kept(u, [name]), "&"))
+    return let(F.array_join(_kept(u, [name]), "&"), lambda query: _rebuild(u, query))
 
 
 def set_params(u: Column, params: Mapping[str, Column]) -> Column:
@@ -86,7 +93,7 @@ def set_params(u: Column, params: Mapping[str, Column]) -> Column:
         for name, value in params.items()
     ]
     joined = F.concat(_kept(u, list(params)), F.array_compact(F.array(*new)))
-    return _rebuild(u, F.array_join(joined, "&"))
+    return let(F.array_join(joined, "&"), lambda query: _rebuild(u, query))
 
 
 def set_param(u: Column, name: str, value: Column) -> Column:

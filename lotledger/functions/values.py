@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
 
+from lotledger.functions.binding import let
 from lotledger.functions.text import drop_dots, first_word, match, null_if_empty, nth_int
 
 # Equipment label -> text of the span that shows it.
@@ -62,8 +63,11 @@ def count_run(c: Column) -> Column:
 
 def flags(texts: Column, vocab: Mapping[str, str]) -> Column:
     """Labels whose text is among `texts`, in vocabulary order, joined; null if none."""
-    present = [F.when(F.array_contains(texts, text), F.lit(label)) for label, text in vocab.items()]
-    return null_if_empty(F.concat_ws(", ", *present))
+
+    def present(all_: Column) -> Column:
+        return F.concat_ws(", ", *[F.when(F.array_contains(all_, text), F.lit(label)) for label, text in vocab.items()])
+
+    return null_if_empty(let(texts, present))
 
 
 def tag_value(tags: Column, vocab: Sequence[str]) -> Column:

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lotledger.functions.binding import let
 from lotledger.functions.predicates import not_other
 from lotledger.functions.text import is_sub_model, match, strip_ws
 from lotledger.functions.urls import facet_token, fix_percent
@@ -29,21 +30,32 @@ def without_parents(items: Column) -> Column:
 
     Works inside one page row, so it needs neither a shuffle nor a window.
     """
-    size = F.size(items)
 
-    def keep(m: Column, i: Column) -> Column:
-        follows_sub = F.coalesce((i + 1 < size) & is_sub_model(F.get(items, i + 1)["value"]), F.lit(False))
-        return is_sub_model(m["value"]) | ~follows_sub
+    def kept(all_: Column) -> Column:
+        def keep(m: Column, i: Column) -> Column:
+            follower = F.get(all_, i + 1)["value"]
+            return is_sub_model(m["value"]) | ~F.coalesce(is_sub_model(follower), F.lit(False))
+
+        return F.filter(all_, keep)
 
     return F.transform(
-        F.filter(items, keep), lambda m: F.struct(m["key"].alias("key"), strip_ws(m["value"]).alias("value"))
+        let(items, kept), lambda m: F.struct(m["key"].alias("key"), strip_ws(m["value"]).alias("value"))
     )
 
 
 def last_per_key(items: Column) -> Column:
     """Of several entries with one key the last one counts."""
-    keys = F.reverse(F.transform(items, lambda m: m["key"]))
-    return F.filter(items, lambda m, i: i + F.array_position(keys, m["key"]) == F.size(items))
+
+    def kept(all_: Column) -> Column:
+        keys = F.reverse(F.transform(all_, lambda m: m["key"]))
+        return let(
+            keys,
+            lambda newest_first: F.filter(
+                all_, lambda m, i: i + F.array_position(newest_first, m["key"]) == F.size(all_)
+            ),
+        )
+
+    return let(items, kept)
 
 
 def drop_parents(models: DataFrame, by: str = "brand_key", pos: str = "pos", value: str = "value") -> DataFrame:

@@ -9,15 +9,16 @@ array. No step shuffles, and `html` goes no further than the first select.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
 from html import unescape
-from itertools import accumulate, chain
 from operator import and_
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lotledger.functions.binding import let
 from lotledger.functions.text import null_if_empty, strip_ws
 from lotledger.functions.urls import absolute
 
@@ -40,17 +41,14 @@ _CLOSES = {
     "option": {"option"},
 }
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<[!?][^>]*>"
-    r"|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*>"
-    r"""|<(?P<start>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+(?=>)|[^>]*+)>""",
+    r"<(?:!--.*?(?:-->|\Z)"
+    r"|[!?][^>]*>"
+    r"|/([a-zA-Z][^\s/>]*)[^>]*>"
+    r"""|([a-zA-Z][^\s/>]*)(?:>|((?:[^>"']++|"[^"]*+"|'[^']*+')*+(?=>)|[^>]*+)>))""",
     re.S,
 )
 _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
 
-_NONE: Mapping[str, str] = {}
-
-
 def _attributes(text: str) -> dict[str, str]:
     found: dict[str, str] = {}
     for name, *values in _ATTR.findall(text):
@@ -63,94 +61,113 @@ class _Elements:
     """Elements of a batch of pages as flat lists, in document order."""
 
     def __init__(self) -> None:
-        self.pages = [0]
-        self.id: list[int] = []
+        self.page_ends = [0]
         self.parent: list[int] = []
         self.last: list[int] = []
         self.nth: list[int] = []
         self.tag: list[str] = []
-        self.classes: list[Sequence[str]] = []
-        self.attrs: list[Mapping[str, str]] = []
-        self.texts: list[tuple[str, ...]] = []
+        self.n_attrs: list[int] = []
+        self.attr_names: list[str] = []
+        self.attr_values: list[str] = []
+        self.n_classes: list[int] = []
+        self.classes: list[str] = []
+        self.text_owner: list[int] = []
+        self.texts: list[str] = []
 
     def add(self, html: str | None) -> None:
-        base, html = len(self.tag), html or ""
+        html = html or ""
+        base = len(self.tag)
+        tags, last, owners, texts = self.tag, self.last, self.text_owner, self.texts
         opened: list[int] = []
-        counts: dict[tuple[int, str], int] = {}
-        at = 0
+        names: list[str] = []
+        seen: dict[tuple[int, str], int] = {}
+        search, at, end = _TAG.search, 0, len(html)
+
+        def close() -> None:
+            names.pop()
+            last[opened.pop()] = len(tags) - 1 - base
+
         while True:
-            m = _TAG.search(html, at)
-            text = html[at : m.start() if m else len(html)]
-            if text and opened:
-                text = unescape(text) if "&" in text else text
-                me = opened[-1]
-                self.texts[me] = (*self.texts[me], text)
+            m = search(html, at)
+            stop = m.start() if m else end
+            if stop > at and opened:
+                text = html[at:stop]
+                owners.append(opened[-1])
+                texts.append(unescape(text) if "&" in text else text)
             if m is None:
                 break
             at = m.end()
-            if m["start"]:
-                at = self._start(html, at, m["start"].lower(), m["attrs"], base, opened, counts)
-            elif m["end"]:
-                tag = m["end"].lower()
-                if opened and self.tag[opened[-1]] != tag and any(self.tag[i] == tag for i in opened):
-                    while self.tag[opened[-1]] != tag:
-                        self._close(opened, base)
-                if opened and self.tag[opened[-1]] == tag:
-                    self._close(opened, base)
+            ended, started, attr_text = m.groups()
+            if started:
+                tag = started.lower()
+                closed = _CLOSES.get(tag)
+                while closed and names and names[-1] in closed:
+                    close()
+                me, parent = len(tags), opened[-1] if opened else base - 1
+                nth = seen.get((parent, tag), 0) + 1
+                seen[parent, tag] = nth
+                tags.append(tag)
+                self.parent.append(parent - base)
+                last.append(me - base)
+                self.nth.append(nth)
+                self._attrs(attr_text)
+                if tag in _RAW:
+                    tail = _RAW[tag].search(html, at)
+                    owners.append(me)
+                    texts.append(html[at : tail.start() if tail else end])
+                    at = tail.end() if tail else end
+                elif tag not in _VOID:
+                    opened.append(me)
+                    names.append(tag)
+            elif ended:
+                tag = ended.lower()
+                if tag in names:
+                    while names[-1] != tag:
+                        close()
+                    close()
         while opened:
-            self._close(opened, base)
-        self.pages.append(len(self.tag))
-
-    def _start(self, html, at, tag, attr_text, base, opened, counts) -> int:
-        closed = _CLOSES.get(tag)
-        while closed and opened and self.tag[opened[-1]] in closed:
-            self._close(opened, base)
-        me, parent = len(self.tag), opened[-1] if opened else base - 1
-        counts[parent, tag] = nth = counts.get((parent, tag), 0) + 1
-        attrs = _attributes(attr_text) if attr_text else _NONE
-        self.id.append(me - base)
-        self.parent.append(parent - base)
-        self.last.append(me - base)
-        self.nth.append(nth)
-        self.tag.append(tag)
-        self.classes.append(attrs["class"].split() if "class" in attrs else ())
-        self.attrs.append(attrs)
-        self.texts.append(())
-        if tag in _RAW:
-            end = _RAW[tag].search(html, at)
-            self.texts[me] = (html[at : end.start() if end else len(html)],)
-            return end.end() if end else len(html)
-        if tag not in _VOID:
-            opened.append(me)
-        return at
-
-    def _close(self, opened: list[int], base: int) -> None:
-        self.last[opened.pop()] = len(self.tag) - 1 - base
+            close()
+        self.page_ends.append(len(tags))
+
+    def _attrs(self, text: str) -> None:
+        attrs = _attributes(text) if text else {}
+        self.n_attrs.append(len(attrs))
+        self.attr_names.extend(attrs)
+        self.attr_values.extend(attrs.values())
+        classes = attrs["class"].split() if "class" in attrs else ()
+        self.n_classes.append(len(classes))
+        self.classes.extend(classes)
 
     def to_arrow(self) -> pa.Array:
-        def ints(values: list[int]) -> pa.Array:
-            return pa.array(values, pa.int32())
+        count = len(self.tag)
+
+        def ints(values) -> pa.Array:
+            return pa.array(np.asarray(values, np.int32))
+
+        def strings(values: list[str]) -> pa.Array:
+            return pa.array(values, pa.string())
 
-        def lists(values: list) -> tuple[pa.Array, list]:
-            return ints(list(accumulate(map(len, values), initial=0))), list(chain.from_iterable(values))
+        def ends(sizes) -> pa.Array:
+            return ints(np.concatenate(([0], np.cumsum(sizes))))
 
-        class_at, classes = lists(self.classes)
-        text_at, texts = lists(self.texts)
-        attr_at, names = lists(self.attrs)
-        values = list(chain.from_iterable(a.values() for a in self.attrs))
-        strings = pa.string()
+        # Texts come in page order; group them by their element.
+        owners = np.asarray(self.text_owner, np.int64)
+        texts = strings(self.texts).take(pa.array(np.argsort(owners, kind="stable")))
+        starts = np.repeat(self.page_ends[:-1], np.diff(self.page_ends))
         columns = {
-            "id": ints(self.id),
+            "id": ints(np.arange(count) - starts),
             "parent": ints(self.parent),
             "last": ints(self.last),
             "nth": ints(self.nth),
-            "tag": pa.array(self.tag, strings),
-            "classes": pa.ListArray.from_arrays(class_at, pa.array(classes, strings)),
-            "attrs": pa.MapArray.from_arrays(attr_at, pa.array(names, strings), pa.array(values, strings)),
-            "texts": pa.ListArray.from_arrays(text_at, pa.array(texts, strings)),
+            "tag": strings(self.tag),
+            "classes": pa.ListArray.from_arrays(ends(self.n_classes), strings(self.classes)),
+            "attrs": pa.MapArray.from_arrays(
+                ends(self.n_attrs), strings(self.attr_names), strings(self.attr_values)
+            ),
+            "texts": pa.ListArray.from_arrays(ends(np.bincount(owners, minlength=count)), texts),
         }
         elements = pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
-        return pa.ListArray.from_arrays(ints(self.pages), elements)
+        return pa.ListArray.from_arrays(ints(self.page_ends), elements)
 
 
 def page_nodes(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -175,15 +192,6 @@ def page_nodes(pages: DataFrame, html: str = "html") -> DataFrame:
 Cond = Callable[[Column], Column]
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body` of a value that is computed once per row.
-
-    A lambda evaluates what it refers to once per element, so an expression
-    used inside one is bound to a name first.
-    """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def has_class(n: Column, *classes: str) -> Column:
     """All of the classes are set on the element."""
     return reduce(and_, [F.array_contains(n["classes"], c) for c in classes])
@@ -281,8 +289,10 @@ def label_pairs(nodes: Column, key: Callable[[Column], Column], label: str = "dt
 
 
 def _first_per_label(pairs: Column) -> Column:
-    keys = F.transform(pairs, lambda p: p["key"])
-    return F.map_from_entries(F.filter(pairs, lambda p, i: F.array_position(keys, p["key"]) == i + 1))
+    def first(keys: Column) -> Column:
+        return F.filter(pairs, lambda p, i: F.array_position(keys, p["key"]) == i + 1)
+
+    return F.map_from_entries(let(F.transform(pairs, lambda p: p["key"]), first))
 
 
 def label_map(pages: DataFrame, key: Callable[[Column], Column] | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lotledger.functions.binding import let
 from lotledger.functions.predicates import is_gone
 from lotledger.functions.text import (
     capitalise_list,
@@ -37,7 +38,6 @@ from lotledger.operators.pages import (
     has_class,
     has_text,
     label_pairs,
-    let,
     page_nodes,
     page_rows,
     sibling_after,
