@@ -156,8 +156,10 @@ def split_counts(hist: DataFrame, lo: int, hi: int, cap: int, by: Sequence[str]
     A cell is a result if it fits while its parent does not, so the counts of
     a cell and its parent settle it, without a walk. The levels are counted in
     bands, and only values in cells that still overflow enter the next band.
+    A band's plan holds its predecessor twice, so there are at most four.
     """
     by, depth = list(by), _depth(lo, hi)
+    band = max(band, -(-depth // 4))
     cells = with_path(hist, lo, hi)
     roots = hist.groupBy(*by).agg(F.sum("n").alias("n"))
     fits_root = (F.col("n") <= cap) if depth else F.lit(True)
