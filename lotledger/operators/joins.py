@@ -10,8 +10,12 @@ KEY = "origin_link"
 
 
 def lookup(table: DataFrame, batch: DataFrame, cols: Sequence[str], key: str = KEY) -> DataFrame:
-    """Stored rows whose key is in the batch, only the wanted columns."""
-    return table.select(*cols).join(batch.select(key), key, "left_semi")
+    """Stored rows whose key is in the batch, only the wanted columns.
+
+    The batch may hold a key many times; it is reduced map-side first, on the
+    partitioning that the join needs anyway.
+    """
+    return table.select(*cols).join(batch.select(key).distinct(), key, "left_semi")
 
 
 def mark_seen(batch: DataFrame, table: DataFrame, key: str = KEY) -> DataFrame:
@@ -21,7 +25,7 @@ def mark_seen(batch: DataFrame, table: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def split_seen(batch: DataFrame, table: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFrame]:
-    """(seen, new) rows of a batch."""
+    """(seen, new) rows of a batch; the table has each key once."""
     keys = table.select(key)
     return batch.join(keys, key, "left_semi"), batch.join(keys, key, "left_anti")
 

@@ -152,7 +152,7 @@ def merge_run(
     return both.select(*[F.col(c) if c == key else merged(c).alias(c) for c in columns])
 
 
-def outcome(
+def classify(
     batch: DataFrame,
     table: DataFrame,
     detail: DataFrame,
@@ -160,28 +160,42 @@ def outcome(
     key: str = KEY,
     price: str = PRICE,
 ) -> DataFrame:
-    """(key, seen, information) per item of the batch.
+    """(key, price, seen, information, detail) per item of the batch, in one pass.
 
     `detail` has one row per link with `status`, `currency` and the `required`
-    columns. A seen row without a price is skipped and has no label. For a new
-    row the order is: sold, parse again, no currency, no shallow price, inserted.
+    columns, and comes back as a struct. A seen row without a price is skipped
+    and has no label. For a new row the order is: sold, parse again, no
+    currency, no shallow price, inserted. Batch, table and detail are unique on
+    the key, so each is shuffled once and no key is hot.
     """
-    needed = list(dict.fromkeys(["status", "currency", *required]))
-    d = detail.select(key, F.struct(*needed).alias("_d"))
-    rows = mark_seen(batch.select(key, F.col(price).alias("_price")), table, key).join(d, key, "left")
-    no_price = F.col("_price").isNull()
-    broken = F.col("_d").isNull()
+    d = detail.select(key, F.struct(*[c for c in detail.columns if c != key]).alias("detail"))
+    rows = mark_seen(batch.select(key, F.col(price).alias("price")), table, key).join(d, key, "left")
+    no_price = F.col("price").isNull()
+    broken = F.col("detail").isNull()
     if required:
-        broken = broken | ~is_valid(*[F.col(f"_d.{c}") for c in required])
+        broken = broken | ~is_valid(*[F.col(f"detail.{c}") for c in required])
     label = (
         F.when(F.col("seen"), F.when(~no_price, IN_DATABASE))
-        .when(is_gone(F.col("_d.status")), SOLD)
+        .when(is_gone(F.col("detail.status")), SOLD)
         .when(broken, PARSE_AGAIN)
-        .when(F.col("_d.currency").isNull(), INVALID)
+        .when(F.col("detail.currency").isNull(), INVALID)
         .when(no_price, NO_PRICE)
         .otherwise(INSERTED)
     )
-    return rows.select(key, "seen", label.alias("information"))
+    return rows.select(key, "price", "seen", label.alias("information"), "detail")
+
+
+def outcome(
+    batch: DataFrame,
+    table: DataFrame,
+    detail: DataFrame,
+    required: Sequence[str] = (),
+    key: str = KEY,
+    price: str = PRICE,
+) -> DataFrame:
+    """(key, seen, information) per item of the batch (see `classify`)."""
+    needed = list(dict.fromkeys([key, "status", "currency", *required]))
+    return classify(batch, table, detail.select(*needed), required, key, price).select(key, "seen", "information")
 
 
 def bad_fields(attempted: DataFrame, inserted: Column, mandatory: Sequence[str] = MANDATORY, by: Sequence[str] = ()) -> DataFrame:

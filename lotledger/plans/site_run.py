@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from lotledger.functions.predicates import REQUIRED_FIELDS
 from lotledger.functions.urls import clear_params
 from lotledger.operators.dedupe import dedupe_run, first_per_key
 from lotledger.operators.joins import KEY, enrich
@@ -16,17 +15,19 @@ from lotledger.operators.merge import (
     PRICE,
     Run,
     bad_fields,
+    classify,
     control_row,
     empty_to_null,
     merge_run,
-    outcome,
     stamp_run,
 )
+from lotledger.operators.pages import hrefs, tag_text
+from lotledger.session import scratch_dir
 
 
 @dataclass(frozen=True)
 class RunResult:
-    """Plans of a run's outputs; nothing has run yet."""
+    """Outputs of a run as plans over its classified items and the stored table."""
 
     table: DataFrame
     outcomes: DataFrame
@@ -53,23 +54,35 @@ def run_site(
 
     `detail` holds listing rows (with `status`) for new links. `required` is set
     for layout S, `from_shallow` for layout U (colour and body type).
+
+    The items of the run are classified once and written to the shared folder.
+    All outputs read that table, so pages are extracted a single time, and a
+    lost executor does not send the run back to the captures.
     """
     batch = dedupe_run(shallow, KEY, order)
     detail = first_per_key(empty_to_null(detail), [KEY], [F.col("status").desc_nulls_last(), PRICE])
-    labels = outcome(batch, table, detail, required)
-    stored = labels.where(F.col("information") == INSERTED).select(KEY)
-    full = enrich(batch, detail, from_shallow) if from_shallow else detail
-    inserted = stamp_run(full.drop("status").join(stored, KEY, "left_semi"), run).withColumn("site", F.lit(run.site))
-    seen = labels.where(F.col("seen") & F.col("information").isNotNull()).select(KEY)
-    # A touched row needs only the key and the batch price; the inserted rows are complete.
-    again = batch.join(seen, KEY, "left_semi").select(KEY, PRICE)
-    merged = merge_run(table, inserted.unionByName(again, allowMissingColumns=True), run, change_price)
-    attempted = labels.where(~F.col("seen")).select(KEY, "information").join(full.drop("status"), KEY, "left")
-    bad = bad_fields(attempted, F.col("information") == INSERTED)
-    rejects = labels.where(~F.col("seen") & (F.col("information") != INSERTED)).select(
-        KEY, F.col("information").alias("reason")
+    if from_shallow:
+        detail = enrich(batch, detail, from_shallow)
+    items = _written(classify(batch, table, detail, required))
+    inserted = F.col("information") == INSERTED
+    seen = F.col("seen") & F.col("information").isNotNull()
+
+    # A touched row needs only the key and the batch price; an inserted row is its detail row.
+    full = stamp_run(items.where(inserted).select(KEY, "detail.*").drop("status"), run)
+    touched = items.where(seen).select(KEY, F.col("price").alias(PRICE))
+    changes = full.withColumn("site", F.lit(run.site)).unionByName(touched, allowMissingColumns=True)
+    return RunResult(
+        table=merge_run(table, changes, run, change_price),
+        outcomes=items.select(KEY, "seen", "information"),
+        rejects=items.where(~F.col("seen") & ~inserted).select(KEY, F.col("information").alias("reason")),
+        control=control_row(bad_fields(items.where("NOT seen").select("information", "detail.*"), inserted), run),
     )
-    return RunResult(merged, labels, rejects, control_row(bad, run))
+
+
+def _written(df: DataFrame) -> DataFrame:
+    path = scratch_dir(df.sparkSession, "run")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def pages_added(pages: DataFrame, stored: DataFrame, run: Run) -> DataFrame:
@@ -78,8 +91,6 @@ def pages_added(pages: DataFrame, stored: DataFrame, run: Run) -> DataFrame:
     Page text is read by a few expressions and dropped before the first
     shuffle; dedupe and the anti-join move only the narrow rows.
     """
-    from lotledger.operators.pages import hrefs, tag_text
-
     fields = pages.select(
         "page_id",
         clear_params(F.col("url")).alias(KEY),
@@ -89,6 +100,3 @@ def pages_added(pages: DataFrame, stored: DataFrame, run: Run) -> DataFrame:
     )
     first = dedupe_run(fields, KEY, ["page_id"])
     return stamp_run(first.join(stored.select(KEY), KEY, "left_anti"), run)
-
-
-__all__ = ["REQUIRED_FIELDS", "RunResult", "new_links", "pages_added", "run_site"]
