@@ -269,7 +269,7 @@ def m5_merge_price(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(M.merge_run(_stored(spark, sf), batch, RUN, change_price=True))
 
 
-# Detail pages of the batch: what they say depends on ship mode of the order's first line, here its customer.
+# Detail pages of the batch: the customer decides what a page says, so that every outcome occurs.
 def _detail(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("o_custkey") % 5
     return read(spark, sf, "orders").where("o_orderstatus <> 'F'").select(

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from lotledger.functions.predicates import REQUIRED_FIELDS
 from lotledger.functions.urls import clear_params
 from lotledger.operators.dedupe import dedupe_run, first_per_key
 from lotledger.operators.joins import KEY, enrich
@@ -22,6 +23,7 @@ from lotledger.operators.merge import (
     stamp_run,
 )
 from lotledger.operators.pages import hrefs, tag_text
+from lotledger.plans import sites
 from lotledger.session import scratch_dir
 
 
@@ -79,6 +81,36 @@ def run_site(
     )
 
 
+def run_captures(
+    layout: str,
+    results: DataFrame,
+    details: DataFrame,
+    table: DataFrame,
+    run: Run,
+    origin: str,
+    order: Sequence[str] = ("page_id",),
+    catalogs: tuple[DataFrame, DataFrame] | None = None,
+    change_price: bool = False,
+) -> RunResult:
+    """A whole run from stored captures of result pages and detail pages.
+
+    `order` names capture columns of `results`; the earliest capture of a link
+    counts. `catalogs` are the (brands, models) of layout S.
+    """
+    if layout == "S":
+        shallow = sites.shallow_s(results, origin, order)
+        detail = sites.detail_s(details, *(catalogs or ()))
+        return run_site(shallow, detail, table, run, order, REQUIRED_FIELDS, change_price=change_price)
+    if layout == "U":
+        shallow = sites.shallow_u(results, origin, order)
+        detail = sites.with_model_u(sites.detail_u(details), dedupe_run(shallow, KEY, order))
+        return run_site(shallow, detail, table, run, order, (), ("colour", "body_type"), change_price)
+    if layout == "A":
+        shallow = sites.shallow_a(results, origin, order)
+        return run_site(shallow, sites.detail_a(details), table, run, order, change_price=change_price)
+    raise ValueError(f"unknown page layout {layout!r}")
+
+
 def _written(df: DataFrame) -> DataFrame:
     path = scratch_dir(df.sparkSession, "run")
     df.write.parquet(path)

@@ -7,6 +7,8 @@ step, without a shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lotledger.functions.binding import let
@@ -28,6 +30,7 @@ from lotledger.functions.text import (
 )
 from lotledger.functions.urls import clear_params, fix_percent, get_param, raw_param
 from lotledger.functions.values import AIRBAGS, PARKING_SENSORS, REFINE, TAGS, address, engine, first_nonempty, flags, join_values, tag_value
+from lotledger.operators.catalog import lookup_names
 from lotledger.operators.joins import split_rejects
 from lotledger.operators.merge import PARSE_AGAIN
 from lotledger.operators.pages import (
@@ -166,10 +169,10 @@ def as_listing(df: DataFrame) -> DataFrame:
 # Site S
 
 
-def shallow_s(pages: DataFrame, origin: str) -> DataFrame:
+def shallow_s(pages: DataFrame, origin: str, keep: Sequence[str] = ()) -> DataFrame:
     """(origin_link, new_url, old_url, sales_price_incl_vat) per listing of a result page."""
     rows = page_rows(
-        page_nodes(pages.select("url", "html")),
+        page_nodes(pages.select(*keep, "url", "html")),
         _attr("div", "data-item-name", "listing-summary-container"),
         lambda item: first_attr(item, _attr("a", "data-item-name", "detail-page-link"), "href"),
     )
@@ -180,6 +183,7 @@ def shallow_s(pages: DataFrame, origin: str) -> DataFrame:
         link.alias("new_url"),
         F.col("url").alias("old_url"),
         nth_int(price).alias("sales_price_incl_vat"),
+        *keep,
     )
 
 
@@ -219,18 +223,14 @@ SPEC_S = {
 }
 
 
-def detail_s(pages: DataFrame) -> DataFrame:
+def detail_s(pages: DataFrame, brands: DataFrame | None = None, models: DataFrame | None = None) -> DataFrame:
     """Typed listing rows from detail pages.
 
     `pages` has url, html, status; the brand and model codes stand in the URL.
-    `make` and `model` columns, if the input has them, are the looked-up names
-    (see `lookup_names`); otherwise the codes themselves are used.
+    With the two catalogs the codes become names. The names are joined to the
+    extracted rows, not to the pages, so that no page text is shuffled.
     """
-    keep = [c for c in ("url", "status", "make", "model") if c in pages.columns]
-    if "make" not in keep:
-        pages = pages.withColumn("make", get_param(F.col("url"), PARAMS_S["brand"]))
-        pages = pages.withColumn("model", get_param(F.col("url"), PARAMS_S["model"]))
-        keep += ["make", "model"]
+    keep = [c for c in ("url", "status") if c in pages.columns]
     nodes = page_nodes(pages.select(*keep, "html"))
     main = nodes.select(*keep, subtree(F.col("nodes"), _tag("main")).alias("main"))
     spans = text_nodes(F.col("main"), _tag("span"))
@@ -244,9 +244,11 @@ def detail_s(pages: DataFrame) -> DataFrame:
     raw = spec_select(main, "main", SPEC_S)
     label = {name: null_if_empty(strip_ws(F.col("labels")[text])) for name, text in LABELS_S.items()}
     typed = raw.select(
-        *[c for c in keep if c in ("status", "make", "model")],
+        *[c for c in keep if c != "url"],
         clear_params(F.col("url")).alias("origin_link"),
-        headline(F.col("marketing_headline"), F.col("make"), F.col("model")).alias("marketing_headline"),
+        get_param(F.col("url"), PARAMS_S["brand"]).alias("brand_key"),
+        get_param(F.col("url"), PARAMS_S["model"]).alias("model_key"),
+        "marketing_headline",
         nth_int(F.col("price_text")).alias("sales_price_incl_vat"),
         currency(F.col("price_text"), "symbol").alias("currency"),
         *[nth_int(F.col(c)).alias(c) for c in ("mileage", "power_in_kw", "power_in_ps", "number_of_previous_owners")],
@@ -273,16 +275,21 @@ def detail_s(pages: DataFrame) -> DataFrame:
             )
         ],
     )
-    return as_listing(typed)
+    if brands is None or models is None:
+        named = typed.withColumns({"make": F.col("brand_key"), "model": F.col("model_key")})
+    else:
+        named = lookup_names(typed, brands, models)
+    title = headline(F.col("marketing_headline"), F.col("make"), F.col("model"))
+    return as_listing(named.withColumn("marketing_headline", title))
 
 
 # Site U
 
 
-def shallow_u(pages: DataFrame, origin: str) -> DataFrame:
+def shallow_u(pages: DataFrame, origin: str, keep: Sequence[str] = ()) -> DataFrame:
     """(origin_link, model, colour, body_type, sales_price_incl_vat) per listing of a result page."""
     rows = page_rows(
-        page_nodes(pages.select("url", "html")),
+        page_nodes(pages.select(*keep, "url", "html")),
         _tag("div", "listing-item-container"),
         lambda item: first_attr(
             subtree(subtree(item, lambda n: has_class(n, "car-details-headline-wrapper")), _tag("h3")), _tag("a"), "href"
@@ -294,6 +301,7 @@ def shallow_u(pages: DataFrame, origin: str) -> DataFrame:
         F.concat(F.lit(origin), F.col("link")).alias("origin_link"),
         *[value.alias(name) for name, value in facet.items()],
         price.try_cast("double").cast("bigint").alias("sales_price_incl_vat"),
+        *keep,
     )
 
 
@@ -330,7 +338,12 @@ SPEC_U = {
 
 
 def detail_u(pages: DataFrame) -> DataFrame:
-    """Typed listing rows from detail pages; `pages` has url, html, model and maybe status."""
+    """Typed listing rows from detail pages; `pages` has url, html and maybe status and model.
+
+    The model stands on the result page only. Without it see `with_model_u`.
+    """
+    if "model" not in pages.columns:
+        pages = pages.withColumn("model", F.lit(None).cast("string"))
     keep = [c for c in ("url", "status", "model") if c in pages.columns]
     nodes = page_nodes(pages.select(*keep, "html"))
     tags = text_nodes(
@@ -382,13 +395,21 @@ def detail_u(pages: DataFrame) -> DataFrame:
     return as_listing(typed)
 
 
+def with_model_u(detail: DataFrame, shallow: DataFrame) -> DataFrame:
+    """Detail rows with the model of their shallow row, which also leaves the headline."""
+    model = shallow.select("origin_link", F.col("model").alias("_model"))
+    title = headline(F.col("marketing_headline"), F.lit(None).cast("string"), F.col("_model"), plus_is_space=True)
+    joined = detail.join(model, "origin_link", "left")
+    return joined.withColumns({"marketing_headline": title, "model": F.col("_model")}).drop("_model")
+
+
 # Site A
 
 
-def shallow_a(pages: DataFrame, origin: str) -> DataFrame:
+def shallow_a(pages: DataFrame, origin: str, keep: Sequence[str] = ()) -> DataFrame:
     """(origin_link, sales_price_incl_vat) per listing of a result page."""
     rows = page_rows(
-        page_nodes(pages.select("url", "html")),
+        page_nodes(pages.select(*keep, "url", "html")),
         _tag("li", "offers", "size1of1", "contentDesc"),
         lambda item: first_attr(item, _tag("a", "vehicleOffersBox"), "href"),
     )
@@ -396,6 +417,7 @@ def shallow_a(pages: DataFrame, origin: str) -> DataFrame:
     return rows.select(
         F.concat(F.lit(origin), F.col("link")).alias("origin_link"),
         nth_int(drop_dots(price)).alias("sales_price_incl_vat"),
+        *keep,
     )
 
 

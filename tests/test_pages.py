@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from lotledger.functions.predicates import REQUIRED_FIELDS
 from lotledger.operators import pages as G
 from lotledger.operators.catalog import brands, catalog, models
+from lotledger.operators.merge import Run
 from lotledger.plans import sites
+from lotledger.plans.site_run import run_captures
+from lotledger.schema import LISTING
 
 EURO = "\N{EURO SIGN}"
 NBSP = "\N{NO-BREAK SPACE}"
@@ -248,3 +251,55 @@ def test_catalog(spark):
     script = 'x brandsAndModels: {"Hummer":[["H3 Alpha","H3 Alpha"],["H3T","H3T"]],"VW":[["up","up!"]]},\n y'
     rows = catalog(spark.createDataFrame([(1, script)], "page_id int, html string")).collect()
     assert sorted((r.brand, r.model) for r in rows) == [("Hummer", "H3+Alpha"), ("Hummer", "H3T"), ("VW", "up!")]
+
+
+# Whole runs from captures
+
+
+def empty_table(spark):
+    return spark.createDataFrame([], LISTING)
+
+
+def result_pages(spark, *pages):
+    return spark.createDataFrame([(i, url, html) for i, (url, html) in enumerate(pages)], "page_id int, url string, html string")
+
+
+def test_run_captures_s(spark):
+    link = "<a data-item-name='detail-page-link' href='/d/{}'>x</a>"
+    item = "<div data-item-name='listing-summary-container'>" + link + "<span data-item-name='price'>E {}</span></div>"
+    results = result_pages(
+        spark, ("https://s.example/list?p=1", item.format(1, "9.990") + item.format(2, "5")), ("https://s.example/list?p=2", item.format(1, "1"))
+    )
+    url = "https://s.example/d/{}?mmvmk0=13&mmvmd0=1639"
+    details = frame(spark, (url.format(1), DETAIL_S, 200), (url.format(2), "<main></main>", 200))
+    catalogs = (
+        spark.createDataFrame([("13", "BMW")], "key string, value string"),
+        spark.createDataFrame([("13", "1639", "116")], "brand_key string, key string, value string"),
+    )
+    run = Run("S", 1, "2018-03-09")
+    out = run_captures("S", results, details, empty_table(spark), run, "https://s.example", catalogs=catalogs)
+    row = out.table.first()
+    assert out.table.count() == 1 and row.origin_link == "https://s.example/d/1" and row.site == "S"
+    assert (row.make, row.model, row.marketing_headline, row.iteration_id) == ("BMW", "116", "BMW i", 1)
+    assert [tuple(r) for r in out.rejects.collect()] == [("https://s.example/d/2", "Car will parse again")]
+    assert out.control.first().bad_fields == []
+    again = run_captures("S", results, details, out.table, Run("S", 2, "2018-03-10"), "https://s.example", catalogs=catalogs)
+    row = again.table.first()
+    assert (row.iteration_id, row.sales_price_incl_vat, str(row.parse_date)) == (2, 12345, "2018-03-10")
+
+
+def test_run_captures_u_and_a(spark):
+    item = (
+        "<div class='listing-item-container'><div class='car-details-headline-wrapper'><h3><a href='/d/1'>t</a></h3></div>"
+        "<div class='price-container'><span class='price' content='500'>p</span></div></div>"
+    )
+    url = "https://u.example/?s%5Bbrand%5D=Alfa&s%5Bcar_model%5D=Giulia&s%5Bbody_types%5D%5B%5D=Van&s%5Bcolors%5D%5B%5D=Rot"
+    details = frame(spark, ("https://u.example/d/1", DETAIL_U, 200))
+    run = Run("U", 1, "2018-03-09")
+    row = run_captures("U", result_pages(spark, (url, item)), details, empty_table(spark), run, "https://u.example").table.first()
+    assert (row.model, row.marketing_headline, row.colour, row.body_type) == ("Giulia", "Veloce", "Rot", "Van")
+    item = "<li class='offers size1of1 contentDesc'><a class='vehicleOffersBox' href='/d/1'>x</a><span class='priceBig'>5 E</span></li>"
+    details = frame(spark, ("https://a.example/d/1", DETAIL_A, 200))
+    run = Run("A", 1, "2018-03-09")
+    row = run_captures("A", result_pages(spark, ("u", item)), details, empty_table(spark), run, "https://a.example").table.first()
+    assert (row.make, row.sales_price_incl_vat, row.interior, row.is_synced) == ("VW", 1234567, "Leder", 0)
