@@ -29,10 +29,10 @@ def _plain(words: Column) -> Column:
     return F.transform(words, lambda w: F.translate(w, ',"\\[]{}', ""))
 
 
-@query("s1_captures", "SELECT page_id, url, length(html) AS n_chars, CAST(NULL AS INTEGER) AS status FROM pages")
+@query("s1_captures", "SELECT page_id, url, length(html) AS n_chars, 1 AS no_status FROM pages")
 def s1_captures(spark: SparkSession, sf: str) -> DataFrame:
     pages = readers.captures(spark, f"{sf.rstrip('/')}/pages.parquet")
-    return pages.select("page_id", "url", F.length("html").cast("bigint").alias("n_chars"), "status")
+    return pages.select("page_id", "url", F.length("html").cast("bigint").alias("n_chars"), F.isnull("status").cast("int").alias("no_status"))
 
 
 @query(

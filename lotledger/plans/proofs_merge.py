@@ -296,14 +296,18 @@ _SQL_OUTCOME = (
 )
 
 
-@query("m6_outcome", _SQL_OUTCOME + "SELECT origin_link, seen, information FROM labelled")
-def m6_outcome(spark: SparkSession, sf: str) -> DataFrame:
+def _labels(spark: SparkSession, sf: str) -> DataFrame:
     return M.outcome(_batch(spark, sf), _stored(spark, sf), _detail(spark, sf), required=["make"])
 
 
+@query("m6_outcome", _SQL_OUTCOME + "SELECT origin_link, CAST(seen AS INTEGER) AS seen, information FROM labelled")
+def m6_outcome(spark: SparkSession, sf: str) -> DataFrame:
+    return _labels(spark, sf).withColumn("seen", F.col("seen").cast("int"))
+
+
 @query("m6_outcome_counts", _SQL_OUTCOME + "SELECT information, count(*) AS n FROM labelled GROUP BY 1")
 def m6_outcome_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return m6_outcome(spark, sf).groupBy("information").agg(F.count("*").alias("n"))
+    return _labels(spark, sf).groupBy("information").agg(F.count("*").alias("n"))
 
 
 @query(
@@ -312,7 +316,7 @@ def m6_outcome_counts(spark: SparkSession, sf: str) -> DataFrame:
     + "SELECT origin_link, information AS reason FROM labelled WHERE NOT seen AND information <> 'inserted'",
 )
 def k6_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    labels = m6_outcome(spark, sf).where("NOT seen").drop("seen")
+    labels = _labels(spark, sf).where("NOT seen").drop("seen")
     failed = F.when(F.col("information") != M.INSERTED, F.col("information"))
     _, rejects = J.split_rejects(labels, failed)
     path = scratch_dir(spark, "rejects")

@@ -24,7 +24,7 @@ EURO = "\N{EURO SIGN}"
     """
     SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS price, o_custkey AS power_in_ps,
            CAST(floor(o_totalprice) AS BIGINT) * 100 + 50 AS inflated,
-           CAST(floor(o_totalprice) AS BIGINT) AS exact, CAST(NULL AS BIGINT) AS none
+           CAST(floor(o_totalprice) AS BIGINT) AS exact, 1 AS no_number
     FROM orders
     """,
 )
@@ -36,14 +36,14 @@ def f1_nth_int(spark: SparkSession, sf: str) -> DataFrame:
         X.nth_int(text("66 kW / ", F.col("o_custkey"), " PS"), 1).alias("power_in_ps"),
         X.nth_int(text(price, ",50")).alias("inflated"),
         X.nth_int(text(price, ",50"), decimal=True).alias("exact"),
-        X.nth_int(text("keine ", F.lit(","))).alias("none"),
+        X.nth_int(text("keine ", F.lit(","))).isNull().cast("int").alias("no_number"),
     )
 
 
 @query(
     "f2_nth_float",
     """
-    SELECT p_partkey, CAST(p_size AS DOUBLE) / 10 AS comb, CAST(NULL AS DOUBLE) AS broken FROM part
+    SELECT p_partkey, CAST(p_size AS DOUBLE) / 10 AS comb, 1 AS broken FROM part
     """,
 )
 def f2_nth_float(spark: SparkSession, sf: str) -> DataFrame:
@@ -51,7 +51,7 @@ def f2_nth_float(spark: SparkSession, sf: str) -> DataFrame:
     return read(spark, sf, "part").select(
         "p_partkey",
         X.nth_float(shown).alias("comb"),
-        X.nth_float(text("1.234,", F.col("p_size"))).alias("broken"),
+        X.nth_float(text("1.234,", F.col("p_size"))).isNull().cast("int").alias("broken"),
     )
 
 

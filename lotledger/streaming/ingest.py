@@ -44,6 +44,9 @@ def ingest_batch(
     runs on new links only. Rows without a price neither touch nor insert.
     """
     spark = batch.sparkSession
+    # A stream's session has adaptive execution off for the sake of state stores. This job
+    # keeps none, and its join wants runtime sizes and skew splitting.
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
     base, touched = f"{path}/base", f"{path}/touch"
     rows = dedupe_run(batch, key, order).where(F.col(price).isNotNull())
     schema = (detail(rows) if detail else rows).schema
