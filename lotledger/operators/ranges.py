@@ -277,11 +277,14 @@ def ranked(
     `cap` rows per map task. Above the threshold the cell is ranked in two
     steps: each salted slice of it gives up at most `cap` rows, and only those
     are ranked together. That is exact, as a row past the cap in its slice is
-    past the cap in its cell. `order` must be unique within a cell.
+    past the cap in its cell. There are as many slices as shuffle partitions,
+    so a hot cell spreads over the whole cluster. `order` must be unique within
+    a cell.
     """
     if salts is None:
-        threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-        salts = 1 if cap <= threshold else 64
+        conf = df.sparkSession.conf
+        threshold = int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+        salts = 1 if cap <= threshold else max(8, int(conf.get("spark.sql.shuffle.partitions")))
     if salts > 1:
         slices = Window.partitionBy(*cell, "_salt").orderBy(*order)
         df = (
