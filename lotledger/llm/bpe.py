@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 
 #: Code points that a chunk owns, and how far it reads on into the next.
 CHUNK, OVERLAP = 32768, 1024
+#: Rows that are turned into ids or bytes at once; this bounds a worker's memory.
+ROWS = 256
 #: A pre-token that ends this near to a chunk's end may go on beyond it (contractions look two ahead).
 MARGIN = 4
 
@@ -19,29 +21,37 @@ MARGIN = 4
 class Codec:
     """Ranks and pattern; the encoder is made once in each Python worker."""
 
-    _made: dict[str, tuple] = {}
+    _encoders: dict[str, object] = {}
+    _tables: dict[str, pa.Array] = {}
 
     def __init__(self, lines: bytes, pattern: str):
         self.lines, self.pattern = lines, pattern
         self.key = hashlib.sha256(lines + pattern.encode()).hexdigest()
 
-    def _tools(self) -> tuple:
-        if self.key not in self._made:
-            import regex
+    def _ranks(self) -> dict[bytes, int]:
+        pairs = (line.split() for line in self.lines.splitlines() if line)
+        return {base64.b64decode(token): int(rank) for token, rank in pairs}
+
+    def _encoder(self):
+        if self.key not in self._encoders:
             import tiktoken
 
-            pairs = (line.split() for line in self.lines.splitlines() if line)
-            ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
-            encoding = tiktoken.Encoding(self.key, pat_str=self.pattern, mergeable_ranks=ranks, special_tokens={})
+            self._encoders[self.key] = tiktoken.Encoding(self.key, pat_str=self.pattern, mergeable_ranks=self._ranks(), special_tokens={})
+        return self._encoders[self.key]
+
+    def _table(self) -> pa.Array:
+        """The bytes of each id."""
+        if self.key not in self._tables:
+            ranks = self._ranks()
             table = [b""] * (max(ranks.values()) + 1)
             for token, rank in ranks.items():
                 table[rank] = token
-            self._made[self.key] = encoding, regex.compile(self.pattern), pa.array(table, pa.large_binary())
-        return self._made[self.key]
+            self._tables[self.key] = pa.array(table, pa.large_binary())
+        return self._tables[self.key]
 
     def encode(self, pieces: list[str | None]) -> pa.Array:
         """Lists of ids."""
-        encoding = self._tools()[0]
+        encoding = self._encoder()
         ids = [encoding.encode_to_numpy(x or "", disallowed_special=()) for x in pieces]
         ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
         values = np.concatenate([np.empty(0, np.uint32), *ids]).astype(np.int32)
@@ -49,11 +59,13 @@ class Codec:
 
     def ends(self, text: str) -> np.ndarray:
         """Where the pre-tokens of a text end."""
-        return np.fromiter((m.end() for m in self._tools()[1].finditer(text)), np.int64)
+        import regex
+
+        return np.fromiter((m.end() for m in regex.finditer(self.pattern, text)), np.int64)
 
     def decode(self, ids: pa.Array) -> pa.Array:
         """The bytes of lists of ids: the tokens' bytes lie one after the other, so only the row ends are picked."""
-        tokens = self._tools()[2].take(ids.flatten())
+        tokens = self._table().take(ids.flatten())
         lengths = np.where(np.asarray(ids.is_valid()), np.asarray(ids.value_lengths().fill_null(0)), 0)
         _, offsets, data = tokens.buffers()
         at = np.frombuffer(offsets, np.int64)[: len(tokens) + 1] if len(tokens) else np.zeros(1, np.int64)
@@ -74,7 +86,7 @@ def _mapped(df: DataFrame, codec: Codec, source: str, target: str, kind: str, fn
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = Codec(*shared.value)
-        for b in batches:
+        for b in (batch.slice(i, ROWS) for batch in batches for i in range(0, batch.num_rows, ROWS)):
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], fn(tool, b.column(source))], [*keep, target])
 
     fields = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep]
