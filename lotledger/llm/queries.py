@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lotledger.llm import bpe, decontaminate
+from lotledger.llm import bpe, chat, decontaminate, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,6 +32,46 @@ def codec() -> bpe.Codec:
     return bpe.read_codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@query("op1_shards")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(read(spark, sf_dir, "documents"), 16)
+
+
+@query(
+    "op2_perspectives",
+    """
+    WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+    n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS k FROM t),
+    p AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
+    v AS (SELECT n.conv_id, speaker, CAST(k // 64 AS INTEGER) AS part, k, role = speaker AS own,
+                 '<|im_start|>' || CASE WHEN role = speaker THEN 'assistant' WHEN role = 'system' THEN 'system'
+                   ELSE 'user name=' || regexp_replace(role, '[^0-9A-Za-z_-]', '_', 'g') END || chr(10) AS head,
+                 replace(text, '<|', '< |') || '<|im_end|>' || chr(10) AS body
+          FROM n JOIN p ON n.conv_id IS NOT DISTINCT FROM p.conv_id),
+    o AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker, part ORDER BY k) - length(body) AS off FROM v)
+    SELECT conv_id, speaker, part, count(*) AS n_turns, string_agg(head || body, '' ORDER BY k) AS rendered,
+           coalesce(string_agg(CAST(CAST(off AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(off + length(body) AS BIGINT) AS VARCHAR), ',' ORDER BY k) FILTER (WHERE own), '') AS mask
+    FROM o GROUP BY conv_id, speaker, part
+    """,
+)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(read(spark, sf_dir, "conversations"))
+
+
+@query(
+    "op3_warc",
+    """
+    WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+    g AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM p)
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM g
+    """,
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
 _WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
