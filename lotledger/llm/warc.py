@@ -18,7 +18,11 @@ from lotledger.session import scratch_dir
 REVISIT_BYTES = 1000
 #: Bytes of an archive that one row of work covers, and that are read at once.
 RANGE, READ = 8 << 20, 1 << 20
+#: Ranges that a task takes one after the other, in large archives.
+PER_TASK = 16
 MAGIC = b"\x1f\x8b\x08"
+#: Bytes that are inflated at once.
+STEP = 64 << 10
 #: Bytes of a member that must suffice to decode its first header line.
 PROBE = 4096
 
@@ -101,7 +105,9 @@ class _Window:
         return self.start + len(self.data) >= end
 
     def drop(self, place: int) -> None:
-        self.data, self.start = self.data[place - self.start :], place
+        """Forget what lies before a place, once that is worth the copy."""
+        if place - self.start >= READ:
+            self.data, self.start = self.data[place - self.start :], place
 
 
 def _starts_record(data: bytes) -> bool:
@@ -117,8 +123,8 @@ def _record(window: _Window, at: int) -> tuple[dict[str, str], bytes, int] | Non
     unzip, out, place = zlib.decompressobj(31), [], at
     try:
         while not unzip.eof:
-            window.upto(place + READ)
-            chunk = window.data[place - window.start : place - window.start + READ]
+            window.upto(place + STEP)
+            chunk = window.data[place - window.start : place - window.start + STEP]
             if not chunk:
                 return None
             out.append(unzip.decompress(chunk))
@@ -145,11 +151,11 @@ def scan(file, start: int, end: int, size: int) -> Iterator[tuple[dict[str, str]
     while place < end:
         window.drop(place)
         window.upto(min(end + len(MAGIC), place + READ) + PROBE)
-        hit = window.data.find(MAGIC)
+        hit = window.data.find(MAGIC, place - window.start)
         if hit < 0:
-            place += max(1, len(window.data) - len(MAGIC) + 1)
+            place = max(place + 1, window.start + len(window.data) - len(MAGIC) + 1)
             continue
-        place += hit
+        place = window.start + hit
         if place >= end:
             return
         window.upto(place + PROBE)
@@ -165,7 +171,10 @@ def read(spark: SparkSession, archives: DataFrame, span: int = RANGE) -> DataFra
     """Records of listed archives (`path`, `bytes`), ranges apart: `record_id`, `url`, `record_type`, `refers_to`, `payload`, `digest`."""
     count = F.ceil(F.col("bytes") / span).cast("int")
     ranges = archives.select("path", "bytes", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), count) - 1)).alias("k"))
-    ranges = ranges.select("path", "bytes", (F.col("k").cast("bigint") * span).alias("start")).repartition("path", "start")
+    ranges = ranges.select("path", "bytes", (F.col("k").cast("bigint") * span).alias("start"))
+    # A row stands for megabytes, which Spark can't know: the number of tasks is told.
+    total = archives.agg(F.sum(F.greatest(F.lit(1), count))).first()[0] or 1
+    ranges = ranges.repartition(max(min(total, 4 * spark.sparkContext.defaultParallelism), -(-total // PER_TASK)), "path", "start")
     names = ["record_id", "url", "record_type", "refers_to", "payload", "digest"]
     schema = pa.schema([(n, pa.binary() if n == "payload" else pa.string()) for n in names])
 
@@ -188,12 +197,14 @@ def read(spark: SparkSession, archives: DataFrame, span: int = RANGE) -> DataFra
     return ranges.mapInArrow(run, "record_id string, url string, record_type string, refers_to string, payload binary, digest string")
 
 
-def resolved(records: DataFrame) -> DataFrame:
+def resolved(records: DataFrame, folder: str) -> DataFrame:
     """Per record `page_id`, `payload_bytes`, `payload_digest`, `record_type`, `refers_to`; a revisit's payload is that of the response it names.
 
-    Digests are those of the payloads that were read, not of the headers.
+    Digests are those of the payloads that were read, not of the headers. The
+    records without their payloads are written to the folder, so archives are read once.
     """
-    own = records.select("record_id", "record_type", "refers_to", F.octet_length("payload").cast("bigint").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"), "digest")
+    records.select("record_id", "record_type", "refers_to", F.octet_length("payload").cast("bigint").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"), "digest").write.parquet(f"{folder}/read")
+    own = records.sparkSession.read.parquet(f"{folder}/read")
     full = own.where("record_type = 'response'").select("record_id", "refers_to", "record_type", "payload_bytes", "payload_digest")
     named = full.select(F.col("record_id").alias("_id"), F.col("payload_bytes").alias("bytes"), F.col("payload_digest").alias("_digest"))
     # An id that was archived twice may have several responses; the digest tells which is meant.
@@ -213,4 +224,4 @@ def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
     spark = pages.sparkSession
     folder = folder or scratch_dir(spark, "warc")
     uri = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
-    return resolved(read(spark, write(pages, uri)))
+    return resolved(read(spark, write(pages, uri)), uri)
