@@ -93,7 +93,7 @@ def ngrams(digests: np.ndarray, bounds: np.ndarray, steps: tuple[int, ...], salt
     """Digests of the words at i + steps of every row, and each row's first one (and the end)."""
     n = len(digests)
     reach = steps[-1]
-    out = np.full(n, np.uint64(salt * 2 + 1) * _BACK)
+    out = np.full(n, np.uint64((salt * 2 + 1) * int(_BACK) % (1 << 64)))
     for k, step in enumerate(steps):
         out[: max(0, n - step)] += digests[step:] * np.uint64(0xD1342543DE82EF95 + 2 * k * 0x632BE59BD9B4E019 & (1 << 64) - 1 | 1)
     size = np.diff(bounds)

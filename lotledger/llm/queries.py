@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lotledger.llm import bpe, chat, decontaminate, sharding, warc
+from lotledger.llm import bpe, chat, decontaminate, secret_scan, sharding, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -101,3 +101,17 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_bpe")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digested(read(spark, sf_dir, "documents"), codec(), ["doc_id"])
+
+
+@query("op8_secrets")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return secret_scan.reported(secret_scan.find(docs, secret_scan.fit(docs), ["doc_id"]), ["doc_id"])
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
