@@ -69,8 +69,12 @@ class Join:
         df.write.parquet(f"{self.folder}/{name}")
         return self.spark.read.parquet(f"{self.folder}/{name}")
 
-    def counts(self) -> np.ndarray:
-        """How many documents have a shingle of a cell: at most 2**CELL_BITS numbers, whatever the corpus."""
+    def levels(self) -> np.ndarray:
+        """How frequent the shingles of a cell are, in half powers of two over the mean; 0 up to twice the mean.
+
+        Counted over all documents. Fewer than half of the 2**CELL_BITS cells can be
+        over twice the mean; those alone go to the driver.
+        """
         k = self.k
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,22 +87,24 @@ class Join:
                 part = at[i : i + (1 << 16)]
                 yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(cells[part])], ["cell", "n"])
 
-        told = self.docs.select("text").mapInArrow(run, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-        out = np.zeros(1 << CELL_BITS, np.int64)
-        out[told["cell"]] = told["n"]
+        cells = self.kept(self.docs.select("text").mapInArrow(run, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")), "cells")
+        mean = max(1.0, (cells.agg(F.sum("n")).first()[0] or 0) / (1 << CELL_BITS))
+        told = cells.where(F.col("n") >= 2 * mean).select("cell", F.floor(2 * F.log2(F.col("n") / mean)).cast("int").alias("level")).toPandas()
+        out = np.zeros(1 << CELL_BITS, np.int8)
+        out[told["cell"]] = told["level"]
         return out
 
     def sets(self) -> DataFrame:
         """Per row `id`, `n`, digest of the set (`d1`, `d2`), and of its rarest shingles: `prefix`, their digest (`p1`, `p2`), `score`."""
         k, percent = self.k, self.percent
-        shared = self.spark.sparkContext.broadcast(self.counts())
+        shared = self.spark.sparkContext.broadcast(self.levels())
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            counts = shared.value
+            levels = shared.value
             for b in (batch.slice(i, ROWS) for batch in batches for i in range(0, batch.num_rows, ROWS)):
                 n, digests, prefixes, scores = [], [], [], []
                 for s in shingle_sets(b.column("text"), k):
-                    often = counts[(s >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
+                    often = levels[(s >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
                     first = s[np.lexsort((s, often))][: prefix_length(len(s), percent) if len(s) else 0]
                     n.append(len(s))
                     digests.append([d for x in (s, first) for d in (mix(x).sum(), mix(x ^ np.uint64(len(x))).sum())])
