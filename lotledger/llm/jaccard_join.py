@@ -13,6 +13,8 @@ from lotledger.session import scratch_dir
 
 #: Shingles are counted in this many cells; only their order, never the result, depends on how many share one.
 CELL_BITS = 20
+#: Bits of the filter that keeps texts without candidates out of a shuffle.
+FILTER_BITS = 1 << 22
 #: Rows whose sets are held at once.
 ROWS = 256
 
@@ -105,10 +107,12 @@ class Join:
                 n, digests, prefixes, scores = [], [], [], []
                 for s in shingle_sets(b.column("text"), k):
                     often = levels[(s >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
-                    first = s[np.lexsort((s, often))][: prefix_length(len(s), percent) if len(s) else 0]
+                    # Level and digest in one number: it orders the shingles and, but for a rare tie that costs a pair more, names them.
+                    ranks = np.sort(often.astype(np.int64) << 57 | (s >> np.uint64(7)).astype(np.int64))
+                    first = ranks[: prefix_length(len(s), percent) if len(s) else 0]
                     n.append(len(s))
-                    digests.append([d for x in (s, first) for d in (mix(x).sum(), mix(x ^ np.uint64(len(x))).sum())])
-                    prefixes.append(first.view(np.int64))
+                    digests.append([d for x in (s, first.view(np.uint64)) for d in (mix(x).sum(), mix(x ^ np.uint64(len(x))).sum())])
+                    prefixes.append(first)
                     scores.append(int(often.min()) if len(s) else 0)
                 table = np.array(digests, np.uint64).reshape(-1, 4).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -138,9 +142,47 @@ class Join:
     def fits(self, a: Column, b: Column) -> Column:
         return F.least(a, b) * 100 >= F.greatest(a, b) * self.percent
 
-    def verified(self, pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+    def possible(self, pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
+        """The pairs (a, b) that may link, as far as their prefixes tell.
+
+        Up to the earlier of the two last prefix shingles both sets are known; what
+        they share beyond it is at most what either has beyond it.
+        """
+        x, y = (classes.select(F.col("c").alias(c), F.col("n").alias(f"n{c}"), F.col("prefix").alias(f"p{c}")) for c in "ab")
+        both = pairs.join(x, "a").where("a != b").join(y, "b").where(self.fits(F.col("na"), F.col("nb")))
+        known = F.least(F.element_at("pa", -1), F.element_at("pb", -1))
+        beyond = [F.col(f"n{c}") - F.size(F.filter(f"p{c}", lambda t: t <= F.col("known"))) for c in "ab"]
+        most = F.size(F.array_intersect("pa", "pb")) + F.least(*beyond)
+        need = F.ceil(self.percent * (F.col("na") + F.col("nb")) / (100 + self.percent))
+        return self.kept(both.withColumn("known", known).where(most >= need).select("a", "b"), name)
+
+    def texts(self, pairs: DataFrame, name: str) -> DataFrame:
+        """The texts of the classes in some pairs: `c`, `text`.
+
+        A filter of FILTER_BITS bits, whatever the number of classes, keeps most
+        other texts out of the shuffle; a join keeps the rest out.
+        """
+        own = self.kept(pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct(), f"{name}_ids")
+        spot = F.pmod(F.xxhash64("c"), F.lit(FILTER_BITS))
+        told = own.groupBy(F.shiftright(spot, 5).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(c), {FILTER_BITS}) & 31 AS int))")).alias("bits")).toPandas()
+        table = np.zeros(FILTER_BITS >> 5, np.int64)
+        table[told["word"]] = told["bits"]
+        shared = self.spark.sparkContext.broadcast(table)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bits = shared.value
+            for b in batches:
+                at = np.asarray(b.column("spot").fill_null(0))
+                yield b.select(["id", "text"]).filter(pa.array(bits[at >> 5] >> (at & 31) & 1 == 1))
+
+        rows = self.docs.withColumn("spot", F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))).mapInArrow(run, "id bigint, text binary")
+        return self.kept(rows.join(own, F.col("id") == F.col("c"), "left_semi").select(F.col("id").alias("c"), "text").dropDuplicates(["c"]), name)
+
+    def verified(self, pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
         """The pairs (a, b) that link, by their whole sets."""
         k, percent = self.k, self.percent
+        pairs = self.possible(pairs, classes, f"{name}_pairs")
+        texts = self.texts(pairs, f"{name}_texts")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in (batch.slice(i, ROWS) for batch in batches for i in range(0, batch.num_rows, ROWS)):
@@ -164,10 +206,7 @@ class Join:
         mates = classes.where("c != g").select(F.col("c").alias("a"), F.col("g").alias("b"))
         stars = shared.where("g != centre").where(self.fits(F.col("n"), F.col("centre_n"))).select(F.col("g").alias("a"), F.col("centre").alias("b")).distinct()
         first = self.kept(mates.unionByName(stars), "first")
-        wanted = shared.select("g").distinct().unionByName(mates.select(F.col("b").alias("g"))).distinct()
-        own = classes.join(wanted, "g", "left_semi").select("c")
-        texts = self.kept(self.docs.join(own, F.col("id") == F.col("c"), "left_semi").select(F.col("id").alias("c"), "text").dropDuplicates(["c"]), "texts")
-        found = self.verified(first, texts, "found")
+        found = self.verified(first, classes, "found")
 
         to_group = found.join(mates, ["a", "b"], "left_semi").select(F.col("a").alias("c"), F.lit(True).alias("mate"))
         to_centre = found.join(stars, ["a", "b"], "left_semi").groupBy(F.col("a").alias("g")).agg(F.min("b").alias("centre"))
@@ -190,7 +229,7 @@ class Join:
         )
         tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         rest = self.kept(pairs.join(tried, ["a", "b"], "left_anti"), "rest")
-        return found.unionByName(self.verified(rest, texts, "more"))
+        return found.unionByName(self.verified(rest, classes, "more"))
 
     def components(self, links: DataFrame) -> DataFrame:
         """Per linked class `c` the smallest class `component` it reaches, by alternating stars; a hub is only ever a minimum."""
