@@ -13,6 +13,8 @@ from lotledger.session import scratch_dir
 
 #: Shingles are counted in this many cells; only their order, never the result, depends on how many share one.
 CELL_BITS = 20
+#: Columns of 64 bits that mark which shingles a prefix has.
+MARKS = ("m0", "m1", "m2", "m3")
 #: Bits of the filter that keeps texts without candidates out of a shuffle.
 FILTER_BITS = 1 << 22
 #: Rows whose sets are held at once.
@@ -104,7 +106,7 @@ class Join:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             levels = shared.value
             for b in (batch.slice(i, ROWS) for batch in batches for i in range(0, batch.num_rows, ROWS)):
-                n, digests, prefixes, scores = [], [], [], []
+                n, digests, prefixes, scores, marks = [], [], [], [], []
                 for s in shingle_sets(b.column("text"), k):
                     often = levels[(s >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
                     # Level and digest in one number: it orders the shingles and, but for a rare tie that costs a pair more, names them.
@@ -113,21 +115,25 @@ class Join:
                     n.append(len(s))
                     digests.append([d for x in (s, first.view(np.uint64)) for d in (mix(x).sum(), mix(x ^ np.uint64(len(x))).sum())])
                     prefixes.append(first)
+                    marks.append(np.zeros(64 * len(MARKS), bool))
+                    marks[-1][first & 64 * len(MARKS) - 1] = True
                     scores.append(int(often.min()) if len(s) else 0)
                 table = np.array(digests, np.uint64).reshape(-1, 4).view(np.int64)
+                bits = np.packbits(np.array(marks).reshape(-1, 64 * len(MARKS)), axis=1).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("id"), pa.array(n, pa.int32()), *[pa.array(table[:, i]) for i in range(4)], pa.array(prefixes, pa.list_(pa.int64())), pa.array(scores, pa.int64())],
-                    ["id", "n", "d1", "d2", "p1", "p2", "prefix", "score"],
+                    [b.column("id"), pa.array(n, pa.int32()), *[pa.array(table[:, i]) for i in range(4)], pa.array(prefixes, pa.list_(pa.int64())), pa.array(scores, pa.int64()), *[pa.array(bits[:, i]) for i in range(len(MARKS))]],
+                    ["id", "n", "d1", "d2", "p1", "p2", "prefix", "score", *MARKS],
                 )
 
-        return self.kept(self.docs.mapInArrow(run, "id bigint, n int, d1 bigint, d2 bigint, p1 bigint, p2 bigint, prefix array<bigint>, score bigint"), "sets")
+        marked = ", ".join(f"{m} bigint" for m in MARKS)
+        return self.kept(self.docs.mapInArrow(run, f"id bigint, n int, d1 bigint, d2 bigint, p1 bigint, p2 bigint, prefix array<bigint>, score bigint, {marked}"), "sets")
 
     def classes(self, sets: DataFrame) -> DataFrame:
         """Equal sets are one class `c` (its smallest id), classes of equal size and prefix one group `g` (the smallest c)."""
-        same = sets.where("n > 0 AND id IS NOT NULL").groupBy("n", "d1", "d2").agg(F.min(F.struct("id", "p1", "p2", "prefix", "score")).alias("s"))
-        one = self.kept(same.select("n", "d1", "d2", F.col("s.id").alias("c"), "s.p1", "s.p2", "s.prefix", "s.score"), "one")
+        same = sets.where("n > 0 AND id IS NOT NULL").groupBy("n", "d1", "d2").agg(F.min(F.struct("id", "p1", "p2", "prefix", "score", *MARKS)).alias("s"))
+        one = self.kept(same.select("n", "d1", "d2", F.col("s.id").alias("c"), "s.p1", "s.p2", "s.prefix", "s.score", *[f"s.{m}" for m in MARKS]), "one")
         groups = one.groupBy("n", "p1", "p2").agg(F.min("c").alias("g"))
-        return self.kept(one.join(groups, ["n", "p1", "p2"]).select("c", "g", "n", "d1", "d2", "prefix", "score"), "classes")
+        return self.kept(one.join(groups, ["n", "p1", "p2"]).select("c", "g", "n", "d1", "d2", "prefix", "score", *MARKS), "classes")
 
     def shared(self, classes: DataFrame) -> DataFrame:
         """Prefix shingles that several groups have: `tok`, `g`, `n`, `pos`, and the bucket's centre: `centre`, `centre_n`.
@@ -210,21 +216,24 @@ class Join:
 
         to_group = found.join(mates, ["a", "b"], "left_semi").select(F.col("a").alias("c"), F.lit(True).alias("mate"))
         to_centre = found.join(stars, ["a", "b"], "left_semi").groupBy(F.col("a").alias("g")).agg(F.min("b").alias("centre"))
-        family = classes.select("c", "g", "n").join(to_group, "c", "left").join(to_centre, "g", "left")
+        family = classes.select("c", "g", *MARKS, F.size("prefix").alias("size"), F.element_at("prefix", -1).alias("last")).join(to_group, "c", "left").join(to_centre, "g", "left")
         label = F.when(F.col("mate") | (F.col("c") == F.col("g")), F.coalesce("centre", "g")).otherwise(F.col("c"))
-        family = self.kept(family.select("c", "g", label.alias("family")), "family")
+        family = self.kept(family.select("c", "g", *MARKS, "size", "last", label.alias("family")), "family")
 
         rows = shared.select("tok", "g", "n", "pos").join(family, "g")
         heads = rows.groupBy("tok", "family").agg(F.count("*").alias("m")).groupBy("tok").agg(F.count("*").alias("k"), F.max(F.struct("m", "family")).alias("x"))
         rows = self.kept(rows.join(heads.where("k > 1").select("tok", F.col("x.family").alias("head")), "tok"), "open")
-        low, high = (rows.select("tok", *[F.col(c).alias(f"{c}{i}") for c in ("c", "n", "pos", "family")], *(["head"] if i == 1 else [])) for i in (1, 2))
+        low, high = (rows.select("tok", *[F.col(c).alias(f"{c}{i}") for c in ("c", "n", "pos", "family", "size", "last", *MARKS)], *(["head"] if i == 1 else [])) for i in (1, 2))
         small, pos = F.least("n1", "n2"), F.when(F.col("n1") <= F.col("n2"), F.col("pos1")).otherwise(F.col("pos2"))
         need = F.ceil(self.percent * (F.col("n1") + F.col("n2")) / (100 + self.percent))
-        room = F.least("pos1", "pos2") + 1 + F.least(F.col("n1") - 1 - F.col("pos1"), F.col("n2") - 1 - F.col("pos2"))
+        # A mark that only one of the two has stands for a shingle, at least, that the other lacks.
+        common = F.least(*[F.col(f"size{i}") - sum((F.bit_count(F.col(f"{m}{i}").bitwiseAND(F.bitwise_not(f"{m}{j}"))) for m in MARKS), F.lit(0)) for i, j in ((1, 2), (2, 1))])
+        room = F.least(F.col("pos1") + 1, F.col("pos2") + 1, common) + F.least(F.col("n1") - 1 - F.col("pos1"), F.col("n2") - 1 - F.col("pos2"))
+        beyond = F.when(F.col("last1") <= F.col("last2"), F.col("n1") - F.col("size1")).otherwise(F.col("n2") - F.col("size2"))
         short = small - F.ceil(2 * self.percent * small / (100 + self.percent)) + 1
         pairs = (
             low.where("family1 != head").join(high, "tok").where("family1 != family2").where((F.col("family2") == F.col("head")) | (F.col("c1") < F.col("c2")))
-            .where(self.fits(F.col("n1"), F.col("n2"))).where(room >= need).where(F.when(F.col("n1") == F.col("n2"), F.least("pos1", "pos2")).otherwise(pos) < short)
+            .where(self.fits(F.col("n1"), F.col("n2"))).where(room >= need).where(common + beyond >= need).where(F.when(F.col("n1") == F.col("n2"), F.least("pos1", "pos2")).otherwise(pos) < short)
             .select(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b")).distinct()
         )
         tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
