@@ -120,3 +120,29 @@ def ranked(df: DataFrame, order: list[Column], name: str) -> tuple[DataFrame, Da
         .drop("_mid")
     )
     return rows, rows.groupBy("part").agg(F.count("*").alias("n"))
+
+
+#: Bits of the filter of `only`; its size doesn't follow the data.
+FILTER_BITS = 1 << 22
+
+
+def only(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose long `key` is in `wanted` (a table that was written), told by a join on the key.
+
+    A filter of FILTER_BITS bits goes ahead and keeps most of the rest out of the
+    shuffle; in a corpus that fills it, the join alone does the work.
+    """
+    spark = rows.sparkSession
+    place = f"pmod(xxhash64(`{key}`), {FILTER_BITS})"
+    told = wanted.groupBy(F.expr(f"shiftright({place}, 5)").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast({place} & 31 AS int))")).alias("bits")).toPandas()
+    table = np.zeros(FILTER_BITS >> 5, np.int64)
+    table[told["word"]] = told["bits"]
+    shared = spark.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for b in batches:
+            at = np.asarray(b.column("_at").fill_null(0))
+            yield b.drop_columns(["_at"]).filter(pa.array(bits[at >> 5] >> (at & 31) & 1 == 1))
+
+    return rows.withColumn("_at", F.expr(place)).mapInArrow(run, rows.schema).join(wanted.select(F.col(key)), key, "left_semi")

@@ -8,15 +8,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lotledger.llm.arrays import lowered, mix, ngrams, pieces, words
+from lotledger.llm.arrays import lowered, mix, ngrams, only, pieces, words
 from lotledger.session import scratch_dir
 
 #: Shingles are counted in this many cells; only their order, never the result, depends on how many share one.
 CELL_BITS = 20
 #: Columns of 64 bits that mark which shingles a prefix has.
 MARKS = ("m0", "m1", "m2", "m3")
-#: Bits of the filter that keeps texts without candidates out of a shuffle.
-FILTER_BITS = 1 << 22
 #: Rows whose sets are held at once.
 ROWS = 256
 
@@ -163,26 +161,9 @@ class Join:
         return self.kept(both.withColumn("known", known).where(most >= need).select("a", "b"), name)
 
     def texts(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The texts of the classes in some pairs: `c`, `text`.
-
-        A filter of FILTER_BITS bits, whatever the number of classes, keeps most
-        other texts out of the shuffle; a join keeps the rest out.
-        """
-        own = self.kept(pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct(), f"{name}_ids")
-        spot = F.pmod(F.xxhash64("c"), F.lit(FILTER_BITS))
-        told = own.groupBy(F.shiftright(spot, 5).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(c), {FILTER_BITS}) & 31 AS int))")).alias("bits")).toPandas()
-        table = np.zeros(FILTER_BITS >> 5, np.int64)
-        table[told["word"]] = told["bits"]
-        shared = self.spark.sparkContext.broadcast(table)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            bits = shared.value
-            for b in batches:
-                at = np.asarray(b.column("spot").fill_null(0))
-                yield b.select(["id", "text"]).filter(pa.array(bits[at >> 5] >> (at & 31) & 1 == 1))
-
-        rows = self.docs.withColumn("spot", F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))).mapInArrow(run, "id bigint, text binary")
-        return self.kept(rows.join(own, F.col("id") == F.col("c"), "left_semi").select(F.col("id").alias("c"), "text").dropDuplicates(["c"]), name)
+        """The texts of the classes in some pairs: `c`, `text`."""
+        own = self.kept(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), f"{name}_ids")
+        return self.kept(only(self.docs, "id", own).select(F.col("id").alias("c"), "text").dropDuplicates(["c"]), name)
 
     def verified(self, pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
         """The pairs (a, b) that link, by their whole sets."""
