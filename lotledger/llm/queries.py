@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lotledger.llm import bpe, chat, decontaminate, jaccard_join, secret_scan, sharding, suffix_dedup, toxicity, warc
+from lotledger.llm import bpe, chat, decontaminate, fingerprint, jaccard_join, secret_scan, sharding, suffix_dedup, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -140,3 +140,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_suffix_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(read(spark, sf_dir, "documents"))
+
+
+@query("op7_fingerprints")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compared(read(spark, sf_dir, "documents"))
