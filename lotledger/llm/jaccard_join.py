@@ -14,7 +14,9 @@ from lotledger.session import scratch_dir
 #: Shingles are counted in this many cells; only their order, never the result, depends on how many share one.
 CELL_BITS = 20
 #: Columns of 64 bits that mark which shingles a prefix has.
-MARKS = ("m0", "m1", "m2", "m3")
+MARKS = tuple(f"m{i}" for i in range(8))
+#: Eighths of a prefix whose last shingles travel with it.
+EIGHTHS = (4, 6, 7, 8)
 #: Rows whose sets are held at once.
 ROWS = 256
 
@@ -197,20 +199,22 @@ class Join:
 
         to_group = found.join(mates, ["a", "b"], "left_semi").select(F.col("a").alias("c"), F.lit(True).alias("mate"))
         to_centre = found.join(stars, ["a", "b"], "left_semi").groupBy(F.col("a").alias("g")).agg(F.min("b").alias("centre"))
-        family = classes.select("c", "g", *MARKS, F.size("prefix").alias("size"), F.element_at("prefix", -1).alias("last")).join(to_group, "c", "left").join(to_centre, "g", "left")
+        family = classes.select("c", "g", *MARKS, F.size("prefix").alias("size"), *[F.expr(f"element_at(prefix, cast(ceil(size(prefix) * {e} / 8) AS int))").alias(f"q{e}") for e in EIGHTHS]).join(to_group, "c", "left").join(to_centre, "g", "left")
         label = F.when(F.col("mate") | (F.col("c") == F.col("g")), F.coalesce("centre", "g")).otherwise(F.col("c"))
-        family = self.kept(family.select("c", "g", *MARKS, "size", "last", label.alias("family")), "family")
+        family = self.kept(family.select("c", "g", *MARKS, "size", *[f"q{e}" for e in EIGHTHS], label.alias("family")), "family")
 
         rows = shared.select("tok", "g", "n", "pos").join(family, "g")
         heads = rows.groupBy("tok", "family").agg(F.count("*").alias("m")).groupBy("tok").agg(F.count("*").alias("k"), F.max(F.struct("m", "family")).alias("x"))
         rows = self.kept(rows.join(heads.where("k > 1").select("tok", F.col("x.family").alias("head")), "tok"), "open")
-        low, high = (rows.select("tok", *[F.col(c).alias(f"{c}{i}") for c in ("c", "n", "pos", "family", "size", "last", *MARKS)], *(["head"] if i == 1 else [])) for i in (1, 2))
+        low, high = (rows.select("tok", *[F.col(c).alias(f"{c}{i}") for c in ("c", "n", "pos", "family", "size", *[f"q{e}" for e in EIGHTHS], *MARKS)], *(["head"] if i == 1 else [])) for i in (1, 2))
         small, pos = F.least("n1", "n2"), F.when(F.col("n1") <= F.col("n2"), F.col("pos1")).otherwise(F.col("pos2"))
         need = F.ceil(self.percent * (F.col("n1") + F.col("n2")) / (100 + self.percent))
         # A mark that only one of the two has stands for a shingle, at least, that the other lacks.
         common = F.least(*[F.col(f"size{i}") - sum((F.bit_count(F.col(f"{m}{i}").bitwiseAND(F.bitwise_not(f"{m}{j}"))) for m in MARKS), F.lit(0)) for i, j in ((1, 2), (2, 1))])
         room = F.least(F.col("pos1") + 1, F.col("pos2") + 1, common) + F.least(F.col("n1") - 1 - F.col("pos1"), F.col("n2") - 1 - F.col("pos2"))
-        beyond = F.when(F.col("last1") <= F.col("last2"), F.col("n1") - F.col("size1")).otherwise(F.col("n2") - F.col("size2"))
+        # So many of a prefix's shingles, at least, come no later than the other prefix's last one: up to there both are known.
+        known = [F.greatest(*[F.when(F.col(f"q{e}{i}") <= F.col(f"q8{j}"), F.ceil(F.col(f"size{i}") * e / 8)).otherwise(0) for e in EIGHTHS]) for i, j in ((1, 2), (2, 1))]
+        beyond = F.least(F.col("n1") - known[0], F.col("n2") - known[1])
         short = small - F.ceil(2 * self.percent * small / (100 + self.percent)) + 1
         pairs = (
             low.where("family1 != head").join(high, "tok").where("family1 != family2").where((F.col("family2") == F.col("head")) | (F.col("c1") < F.col("c2")))
