@@ -215,23 +215,34 @@ class Dedup:
         """Runs of bytes (`row`, `start`, `end`) that repeated strings cover."""
         window = self.window
 
-        def solve(rows: list[tuple]) -> pa.RecordBatch:
+        def solve(groups: list[dict]) -> pa.RecordBatch:
+            """Anchors' contexts, each with the places that have it. One that several places have is repeated as a whole."""
             out: list[tuple[int, int, int]] = []
-            for (row, lo, _, _), starts in zip(rows, repeated_starts([r[3] for r in rows], [r[2] for r in rows], window, SYMBOL)):
-                out += [(row, s + lo, e + lo) for s, e in runs(starts, window)]
+            several = [(off, c, places) for g in groups if len(g) > 1 for (off, c), places in g.items()]
+            starts = repeated_starts([c for _, c, _ in several], [off for off, _, _ in several], window, SYMBOL)
+            for (_, c, places), found in zip(several, starts):
+                spans = [(0, len(c))] if len(places) > 1 else runs(found, window)
+                out += [(row, s + lo, e + lo) for row, lo in places for s, e in spans]
+            for g in groups:
+                if len(g) == 1:
+                    (((_, c), places),) = g.items()
+                    out += [(row, lo, lo + len(c)) for row, lo in places if len(places) > 1]
             return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in range(3)], ["row", "start", "end"])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            rows, before = [], None
+            groups, size, before = [], 0, None
             for b in batches:
-                for h, *r in zip(*[b.column(c).to_pylist() for c in ("hash", "row", "lo", "off", "context")]):
-                    if h != before and len(rows) >= COLLECTION:
-                        yield solve(rows)
-                        rows = []
-                    rows.append(tuple(r))
-                    before = h
-            if rows:
-                yield solve(rows)
+                for h, row, lo, off, c in zip(*[b.column(x).to_pylist() for x in ("hash", "row", "lo", "off", "context")]):
+                    if h != before:
+                        if size >= COLLECTION:
+                            yield solve(groups)
+                            groups, size = [], 0
+                        groups.append({})
+                        before = h
+                    groups[-1].setdefault((off, c), []).append((row, lo))
+                    size += 1
+            if groups:
+                yield solve(groups)
 
         usual = contexts.where(F.col("n") <= self.hot).repartition("hash").sortWithinPartitions("hash").select("hash", "row", "lo", "off", "context")
         return usual.mapInArrow(run, "row bigint, start bigint, end bigint").unionByName(self.hot_covered(contexts.where(F.col("n") > self.hot)))
