@@ -8,7 +8,7 @@ from lotledger.llm.arrays import ranked
 from lotledger.session import scratch_dir
 
 #: Cells of each of the three tables of a fingerprint.
-CELLS = 5
+CELLS = 4
 #: Keys that a bin of a retried pair has on average, and the cells of its tables; these grow by GROWTH until all is peeled.
 BIN, BIN_CELLS, GROWTH = 12, 12, 4
 #: Peeling steps: by turns, finding the keys that are alone in a cell and taking them out.
@@ -80,14 +80,21 @@ def followers(docs: DataFrame) -> DataFrame:
 
 
 def edited(docs: DataFrame) -> DataFrame:
-    """Rows (`doc_id`, `text`) with `changed`: the last half replaced by the start of the next document; and `next_keys`."""
+    """Of rows (`doc_id`, `text`): `n`, `own` keys, `changed` (the last half replaced by the start of the next document), `next_keys`.
+
+    Only the half that stays, and the start that is put in, travel.
+    """
     known = docs.where("doc_id IS NOT NULL")
     heads = known.join(followers(known), "doc_id").select("before", F.expr("substring(text, 1, cast(floor(before_n / 2) AS int))").alias("head"), keys("text").alias("next_keys"))
     # Where an id is repeated, its least text is the next one of the id before.
     heads = heads.groupBy("before").agg(F.min(F.struct("head", "next_keys")).alias("h")).select(F.col("before").alias("doc_id"), "h.head", "h.next_keys")
-    rows = known.join(heads, "doc_id").unionByName(docs.where("doc_id IS NULL").withColumn("head", F.lit("")).withColumn("next_keys", F.lit(None).cast("array<bigint>")))
-    half = "cast(floor(length(text) / 2) AS int)"
-    return rows.withColumn("changed", F.expr(f"concat(substring(text, 1, length(text) - {half}), substring(head, 1, {half}))")).drop("head")
+    half = "cast(floor(n / 2) AS int)"
+
+    def halved(df: DataFrame) -> DataFrame:
+        return df.select("doc_id", F.length("text").alias("n"), keys("text").alias("own"), F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 2) AS int))").alias("front"))
+
+    rows = halved(known).join(heads, "doc_id").unionByName(halved(docs.where("doc_id IS NULL")).withColumn("head", F.lit("")).withColumn("next_keys", F.lit(None).cast("array<bigint>")))
+    return rows.withColumn("changed", F.expr(f"concat(front, substring(head, 1, {half}))")).drop("front", "head")
 
 
 def differences(pairs: DataFrame, folder: str) -> DataFrame:
@@ -128,8 +135,8 @@ def compared(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     folder = scratch_dir(spark, "sketches")
     rows = edited(docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")))
     rows = rows.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", F.length("text").cast("bigint").alias("n_chars"), F.sha2("changed", 256).alias("edited_sha256"),
-        keys("text").alias("own"), keys("changed").alias("edit"), F.coalesce("next_keys", F.array().cast("array<bigint>")).alias("next"), F.col("next_keys").isNull().alias("last"),
+        F.monotonically_increasing_id().alias("row"), "doc_id", F.col("n").cast("bigint").alias("n_chars"), F.sha2("changed", 256).alias("edited_sha256"),
+        "own", keys("changed").alias("edit"), F.coalesce("next_keys", F.array().cast("array<bigint>")).alias("next"), F.col("next_keys").isNull().alias("last"),
     )
     sketches = rows.select("*", *[F.expr(sketch(signed(c, 1), CELLS)).alias(f"s_{c}") for c in ("own", "edit", "next")])
     peeled = sketches.select("*", *[F.expr(peel(subtract("s_own", f"s_{c}"), CELLS)).alias(f"p_{c}") for c in ("edit", "next")])

@@ -87,6 +87,8 @@ def cut_keys(groups: DataFrame, shards: int) -> tuple[int, list[str]]:
     split by further digits; what remains whole cannot change the answer.
     """
     cells = _cells(groups, FIRST)
+    if not cells:
+        return 0, []
     while True:
         sizes, ends = [c.size for c in cells], list(accumulate(c.size for c in cells))
         high, low = smallest_capacity(sizes, shards), relaxed_capacity(cells, shards)
