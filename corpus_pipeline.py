@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lotledger.llm import bpe, decontaminate, jaccard_join, queries, secret_scan, toxicity
+from lotledger.llm.arrays import small_batches
 from lotledger.session import scratch_dir
 
 #: Near duplicates share four fifths of their five-word shingles.
@@ -22,6 +23,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Documents without shingles or without an id are nobody's copies and stay.
     """
+    small_batches(spark)
     found = jaccard_join.components(docs, SHINGLE_WORDS, PERCENT)
     kept = docs.join(found.where("component_id <> doc_id").select("doc_id").distinct(), "doc_id", "left_anti")
     again = docs.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id")
@@ -39,11 +41,13 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; each secret in a text gives way to its kind in brackets."""
+    small_batches(spark)
     return secret_scan.redact(docs, secret_scan.fit(docs))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document the number of ids of its text, and digests of the ids and of the text they decode to."""
+    small_batches(spark)
     return bpe.digested(docs, queries.codec(), ["doc_id"])
 
 

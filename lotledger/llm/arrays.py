@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lotledger.session import scratch_dir
 
@@ -19,6 +19,15 @@ _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: list[np.ndarray] = []
 
 
+#: Rows of whole texts that go to a Python worker at once: some megabytes, where Spark's own setting may mean hundreds.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """For queries and stages over long texts: smaller Arrow batches, which change no result."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64 bits that leaves no pattern."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

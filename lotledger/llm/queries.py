@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lotledger.llm import bpe, chat, decontaminate, fingerprint, jaccard_join, secret_scan, sharding, suffix_dedup, toxicity, warc
+from lotledger.llm.arrays import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -23,6 +24,7 @@ def query(name: str, sql: str | None = None):
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
