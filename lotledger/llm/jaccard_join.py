@@ -136,14 +136,15 @@ class Join:
         return self.kept(one.join(groups, ["n", "p1", "p2"]).select("c", "g", "n", "d1", "d2", "prefix", "score", *MARKS), "classes")
 
     def shared(self, classes: DataFrame) -> DataFrame:
-        """Prefix shingles that several groups have: `tok`, `g`, `n`, `pos`, and the bucket's centre: `centre`, `centre_n`.
+        """Prefix shingles that several groups have: `tok`, `g`, `n`, `pos`, `prev` (the one before), and the bucket's centre: `centre`, `centre_n`.
 
         The centre is the group whose rarest shingle is the most frequent one: of
         near copies, the text with the fewest edits of its own.
         """
-        rows = classes.where("c = g").select("g", "n", "score", F.posexplode("prefix").alias("pos", "tok"))
+        rows = classes.where("c = g").select("g", "n", "score", "prefix", F.posexplode("prefix").alias("pos", "tok"))
+        rows = rows.withColumn("prev", F.when(F.col("pos") > 0, F.element_at("prefix", F.col("pos")))).drop("prefix")
         centres = rows.groupBy("tok").agg(F.count("*").alias("m"), F.max(F.struct("score", (-F.col("g")).alias("g"), "n")).alias("x")).where("m > 1")
-        return self.kept(rows.join(centres, "tok").select("tok", "g", "n", "pos", (-F.col("x.g")).alias("centre"), F.col("x.n").alias("centre_n")), "shared")
+        return self.kept(rows.join(centres, "tok").select("tok", "g", "n", "pos", "prev", (-F.col("x.g")).alias("centre"), F.col("x.n").alias("centre_n")), "shared")
 
     def fits(self, a: Column, b: Column) -> Column:
         return F.least(a, b) * 100 >= F.greatest(a, b) * self.percent
@@ -203,10 +204,10 @@ class Join:
         label = F.when(F.col("mate") | (F.col("c") == F.col("g")), F.coalesce("centre", "g")).otherwise(F.col("c"))
         family = self.kept(family.select("c", "g", *MARKS, "size", *[f"q{e}" for e in EIGHTHS], label.alias("family")), "family")
 
-        rows = shared.select("tok", "g", "n", "pos").join(family, "g")
+        rows = shared.select("tok", "g", "n", "pos", "prev").join(family, "g")
         heads = rows.groupBy("tok", "family").agg(F.count("*").alias("m")).groupBy("tok").agg(F.count("*").alias("k"), F.max(F.struct("m", "family")).alias("x"))
         rows = self.kept(rows.join(heads.where("k > 1").select("tok", F.col("x.family").alias("head")), "tok"), "open")
-        low, high = (rows.select("tok", *[F.col(c).alias(f"{c}{i}") for c in ("c", "n", "pos", "family", "size", *[f"q{e}" for e in EIGHTHS], *MARKS)], *(["head"] if i == 1 else [])) for i in (1, 2))
+        low, high = (rows.select("tok", *[F.col(c).alias(f"{c}{i}") for c in ("c", "n", "pos", "prev", "family", "size", *[f"q{e}" for e in EIGHTHS], *MARKS)], *(["head"] if i == 1 else [])) for i in (1, 2))
         small, pos = F.least("n1", "n2"), F.when(F.col("n1") <= F.col("n2"), F.col("pos1")).otherwise(F.col("pos2"))
         need = F.ceil(self.percent * (F.col("n1") + F.col("n2")) / (100 + self.percent))
         # A mark that only one of the two has stands for a shingle, at least, that the other lacks.
@@ -216,8 +217,10 @@ class Join:
         known = [F.greatest(*[F.when(F.col(f"q{e}{i}") <= F.col(f"q8{j}"), F.ceil(F.col(f"size{i}") * e / 8)).otherwise(0) for e in EIGHTHS]) for i, j in ((1, 2), (2, 1))]
         beyond = F.least(F.col("n1") - known[0], F.col("n2") - known[1])
         short = small - F.ceil(2 * self.percent * small / (100 + self.percent)) + 1
+        # Where both have the same shingle just before, its bucket makes the pair: there too the families differ, and the room is no smaller.
+        fresh = F.coalesce(F.col("prev1") != F.col("prev2"), F.lit(True))
         pairs = (
-            low.where("family1 != head").join(high, "tok").where("family1 != family2").where((F.col("family2") == F.col("head")) | (F.col("c1") < F.col("c2")))
+            low.where("family1 != head").join(high, "tok").where("family1 != family2").where(fresh).where((F.col("family2") == F.col("head")) | (F.col("c1") < F.col("c2")))
             .where(self.fits(F.col("n1"), F.col("n2"))).where(room >= need).where(common + beyond >= need).where(F.when(F.col("n1") == F.col("n2"), F.least("pos1", "pos2")).otherwise(pos) < short)
             .select(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b")).distinct()
         )
