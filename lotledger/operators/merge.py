@@ -99,9 +99,9 @@ def insert_new(batch: DataFrame, table: DataFrame, run: Run, key: str = KEY) ->
 def update_price(table: DataFrame, batch: DataFrame, run: Run, key: str = KEY, price: str = PRICE) -> DataFrame:
     """Touch, and where the price of the batch differs take it over and reset `is_synced`.
 
-    A seen row without a price is skipped.
+    A seen row without a price is skipped. Of a link's prices in the batch the lowest counts.
     """
-    new = batch.where(F.col(price).isNotNull()).select(key, F.col(price).alias("_price"))
+    new = batch.where(F.col(price).isNotNull()).groupBy(key).agg(F.min(price).alias("_price"))
     matched = F.col("_price").isNotNull()
     changed = matched & ~F.col(price).eqNullSafe(F.col("_price"))
     return (
@@ -119,22 +119,26 @@ def update_price(table: DataFrame, batch: DataFrame, run: Run, key: str = KEY, p
 
 
 def merge_run(
-    table: DataFrame, batch: DataFrame, run: Run, change_price: bool = False, key: str = KEY, price: str = PRICE
+    table: DataFrame, batch: DataFrame, run: Run, change_price: bool = False, key: str = KEY, price: str = PRICE, inserted: DataFrame | None = None
 ) -> DataFrame:
     """Stored rows not in the batch, touched rows and inserted rows, as one full outer join.
 
     `batch` has one row per link (see `dedupe_run`) and the table's columns. Both
     sides are unique on the key, so no join key is hot and each side is
-    shuffled once. Rows without a price neither touch nor insert.
+    shuffled once. Rows of `batch` without a price neither touch nor insert; those of
+    `inserted` were judged before and come in whatever their price.
     """
     columns = table.columns
     new = batch.where(F.col(price).isNotNull())
-    new = new.select(F.col(key), F.struct(*[F.col(c) for c in new.columns if c != key]).alias("_new"))
+    if inserted is not None:
+        new = new.unionByName(inserted, allowMissingColumns=True)
+    new_columns = new.columns
+    new = new.select(F.col(key), F.struct(*[F.col(c) for c in new_columns if c != key]).alias("_new"))
     old = table.select(F.col(key), F.struct(*[F.col(c) for c in columns if c != key]).alias("_old"))
     both = old.join(new, key, "full_outer")
     in_old, in_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
     changed = in_old & in_new & ~F.col(f"_old.{price}").eqNullSafe(F.col(f"_new.{price}")) & F.lit(change_price)
-    taken = set(batch.columns)
+    taken = set(new_columns)
 
     def merged(c: str) -> Column:
         stored = F.col(f"_old.{c}")

@@ -62,7 +62,8 @@ def run_site(
     lost executor does not send the run back to the captures.
     """
     batch = dedupe_run(shallow, KEY, order)
-    detail = first_per_key(empty_to_null(detail), [KEY], [F.col("status").desc_nulls_last(), PRICE])
+    # A good page counts before a failed one, and a priced one before one without a price.
+    detail = first_per_key(empty_to_null(detail), [KEY], [~F.coalesce(F.col("status").between(200, 299), F.lit(False)), F.col(PRICE).isNull(), "status", PRICE])
     if from_shallow:
         detail = enrich(batch, detail, from_shallow)
     items = _written(classify(batch, table, detail, required))
@@ -72,9 +73,8 @@ def run_site(
     # A touched row needs only the key and the batch price; an inserted row is its detail row.
     full = stamp_run(items.where(inserted).select(KEY, "detail.*").drop("status"), run)
     touched = items.where(seen).select(KEY, F.col("price").alias(PRICE))
-    changes = full.withColumn("site", F.lit(run.site)).unionByName(touched, allowMissingColumns=True)
     return RunResult(
-        table=merge_run(table, changes, run, change_price),
+        table=merge_run(table, touched, run, change_price, inserted=full.withColumn("site", F.lit(run.site))),
         outcomes=items.select(KEY, "seen", "information"),
         rejects=items.where(~F.col("seen") & ~inserted).select(KEY, F.col("information").alias("reason")),
         control=control_row(bad_fields(items.where("NOT seen").select("information", "detail.*"), inserted), run),

@@ -12,9 +12,12 @@ def append(df: DataFrame, path: str, site: str | None = None) -> None:
     df.write.mode("append").partitionBy("site").parquet(path)
 
 
-def write_version(df: DataFrame, root: str, run_id: int) -> str:
-    """Write a merged table beside its predecessor; readers move on when the run control says so."""
-    path = f"{root}/run={run_id}"
+def write_version(df: DataFrame, root: str, run_id: int, of: str | None = None) -> str:
+    """Write a merged table beside its predecessor; readers move on when the run control says so.
+
+    Run numbers count per site: under a root that sites share, `of` names the site.
+    """
+    path = f"{root}/{of}/run={run_id}" if of is not None else f"{root}/run={run_id}"
     df.write.mode("overwrite").partitionBy("site").parquet(path)
     return path
 

@@ -39,11 +39,16 @@ def alert_stream(
 ) -> StreamingQuery:
     """Write each alert once, whatever the polling interval: the file sink commits a batch as a whole.
 
-    A row sent twice by the source is dropped while it is within the horizon.
+    A row sent twice by the source is dropped while it is within the horizon. Only
+    errors within the horizon are remembered, and the watermark never passes `now`
+    less the horizon, so no alert is late, whatever the other rows' times.
     """
-    marked = logs.withWatermark("ts", horizon).dropDuplicatesWithinWatermark([key])
+    error = is_error(F.col("level")) if code is None else is_error(F.col("level"), code)
+    until = (F.lit(now).cast("timestamp") if isinstance(now, str) else now) - F.expr("INTERVAL 1 SECOND")
+    recent = logs.where(error & is_recent(F.col("ts"), now, horizon)).withColumn("_at", F.least("ts", until))
+    marked = recent.withWatermark("_at", horizon).dropDuplicatesWithinWatermark([key])
     return (
-        alerts(marked, now, horizon, key, code)
+        alerts(marked.drop("_at"), now, horizon, key, code)
         .writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
