@@ -141,13 +141,13 @@ def compared(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     sketches = rows.select("*", *[F.expr(sketch(signed(c, 1), CELLS)).alias(f"s_{c}") for c in ("own", "edit", "next")])
     peeled = sketches.select("*", *[F.expr(peel(subtract("s_own", f"s_{c}"), CELLS)).alias(f"p_{c}") for c in ("edit", "next")])
     told = lambda c: F.expr(f"CASE WHEN {_CLEAN.format(f'p_{c}')} THEN p_{c}.d END").alias(f"d_{c}")
-    peeled.select("row", "doc_id", "n_chars", "edited_sha256", "own", "edit", "next", "last", printed("s_own").alias("fingerprint"), printed("s_edit").alias("edited_fingerprint"), told("edit"), told("next")).write.parquet(f"{folder}/first")
+    peeled.select("row", "doc_id", "n_chars", "edited_sha256", "own", "edit", "next", "last", *[F.size(c).alias(f"n_{c}") for c in ("own", "edit", "next")], printed("s_own").alias("fingerprint"), printed("s_edit").alias("edited_fingerprint"), told("edit"), told("next")).write.parquet(f"{folder}/first")
     first = spark.read.parquet(f"{folder}/first")
     failed = [first.where(F.col(f"d_{c}").isNull()).select("row", F.lit(c).alias("which"), F.col("own").alias("a"), F.col(c).alias("b")) for c in ("edit", "next")]
     more = differences(failed[0].unionByName(failed[1]), folder)
     late = more.groupBy("row").agg(*[F.max(F.when(F.col("which") == c, F.col("d"))).alias(f"l_{c}") for c in ("edit", "next")])
     whole = first.join(late, "row", "left")
-    near = lambda c: likeness(F.size("own"), F.size(c), F.coalesce(f"d_{c}", f"l_{c}"))
+    near = lambda c: likeness(F.col("n_own"), F.col(f"n_{c}"), F.coalesce(f"d_{c}", f"l_{c}"))
     return whole.select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", near("edit").alias("near_edited"), F.when(F.col("last"), 0.0).otherwise(near("next")).alias("near_next")
     )
