@@ -205,7 +205,8 @@ class Dedup:
         each = texts.select("row", "n_bytes", F.posexplode("hash").alias("k", "hash"), "pos", "lo")
         last = F.when(F.col("k") + 1 < F.size("lo"), F.element_at("lo", F.col("k") + 2) - 1).otherwise(F.col("n_bytes").cast("int") - self.window)
         each = each.select("row", "hash", F.element_at("pos", F.col("k") + 1).alias("pos"), F.element_at("lo", F.col("k") + 1).alias("lo"), last.alias("hi"))
-        often = each.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
+        # Written, so that both sides of the join below come from a shuffle of their own and a hot anchor can be split.
+        often = self.kept(each.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"), "often")
         wanted = each.join(often, "hash").groupBy("row").agg(F.collect_list(F.struct("hash", "n", "pos", "lo", "hi")).alias("want"))
         wanted = self.kept(wanted, "wanted")
         one = only(self.docs.select("row", "text"), "row", wanted).join(wanted, "row").select("row", "text", F.explode("want").alias("w"))
