@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lotledger.functions.predicates import over_cap
+from lotledger.session import Scratch, scratch_dir, written
 
 # Root ranges and page limits of the two range-searched sites.
 PRICE_RANGE_S = (0, 1_000_000_000)
@@ -30,15 +31,41 @@ MAX_PAGES_U = 100
 # Levels that one counting pass covers.
 BAND = 15
 
+# Slices of a cell that are ranked apart.
+SALTS = 64
+
 
 def _depth(lo: int, hi: int) -> int:
     return (hi - lo).bit_length()
 
 
+def _value(col: Column, lo: int, hi: int) -> Column:
+    """The whole value inside [lo, hi]; null outside."""
+    v = F.floor(col).cast("bigint")
+    return F.when(v.between(lo, hi), v)
+
+
 def histogram(df: DataFrame, col: Column, lo: int, hi: int, by: Sequence[str] = ()) -> DataFrame:
     """(by, v, n): rows per whole value inside [lo, hi]."""
-    v = F.floor(col).cast("bigint")
-    return df.select(*by, v.alias("v")).where(F.col("v").between(lo, hi)).groupBy(*by, "v").agg(F.count("*").alias("n"))
+    v = _value(col, lo, hi)
+    return df.select(*by, v.alias("v")).where(F.col("v").isNotNull()).groupBy(*by, "v").agg(F.count("*").alias("n"))
+
+
+def outside_root(df: DataFrame, col: Column, lo: int, hi: int, by: Sequence[str] = ()) -> DataFrame:
+    """(by, n_missing, n_outside): rows that no range of [lo, hi] can reach, for groups that have any."""
+    rest = df.select(*by, col.alias("_col"), _value(col, lo, hi).alias("_v")).where(F.col("_v").isNull())
+    return rest.groupBy(*by).agg(
+        F.count(F.when(F.col("_col").isNull(), 1)).alias("n_missing"), F.count("_col").alias("n_outside")
+    )
+
+
+def _same(by: Sequence[str]) -> Column:
+    """Equality with columns that carry a leading underscore, null beside null."""
+    return reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by], F.lit(True))
+
+
+def _other(df: DataFrame, by: Sequence[str], *more: Column) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"_{c}") for c in by], *more)
 
 
 def _halve(s: Column, v: Column) -> tuple[Column, Column, Column]:
@@ -105,23 +132,25 @@ def _prefix(path: Column, level: Column | int, depth: int) -> Column:
     return F.call_function("shiftright", path, shift)
 
 
-def _children(cells: DataFrame, first: int, levels: int, depth: int, by: list[str]) -> DataFrame:
-    """Cells of the levels below `first`, each with its own count and that of its parent.
+def _children(cells: DataFrame, first: int, end: int, depth: int, by: list[str]) -> DataFrame:
+    """Cells of the levels first + 1 to end, each with its own count and that of its parent.
 
-    One aggregation per parent cell counts both halves. Sums are combined
-    map-side, so the few wide cells near the root are no hot keys.
+    Values are summed to the cells of the lowest level first, map-side too, and
+    only these, at most 2 ** (end - first) per open cell, are rolled up. One
+    aggregation per parent cell counts both halves.
     """
     level = F.col("level")
-    down = cells.select(
-        *by, "v", "n", "leaf", "path", F.explode(F.sequence(F.lit(first), F.lit(first + levels - 1))).alias("level")
-    ).select(
+    lowest = cells.groupBy(*by, _prefix(F.col("path"), end, depth).alias("path")).agg(
+        F.sum("n").alias("n"), F.min("v").alias("v"), F.min("leaf").alias("leaf")
+    )
+    down = lowest.select(*by, "v", "n", "leaf", "path", F.explode(F.sequence(F.lit(first), F.lit(end - 1))).alias("level")).select(
         *by,
         "level",
         "v",
         "n",
         "leaf",
-        _prefix(F.col("path"), level, depth).alias("cell"),
-        (_prefix(F.col("path"), level + 1, depth) % 2 == 1).alias("right"),
+        _prefix(F.col("path"), level, end).alias("cell"),
+        (_prefix(F.col("path"), level + 1, end) % 2 == 1).alias("right"),
     )
     sides = []
     for side, here in (("l", ~F.col("right")), ("r", F.col("right"))):
@@ -156,35 +185,50 @@ def split_counts(hist: DataFrame, lo: int, hi: int, cap: int, by: Sequence[str]
     A cell is a result if it fits while its parent does not, so the counts of
     a cell and its parent settle it, without a walk. The levels are counted in
     bands, and only values in cells that still overflow enter the next band.
-    A band's plan holds its predecessor twice, so there are at most four.
+    The values and each band are written once; the result is a stored table.
+    """
+    by, depth, spark = list(by), _depth(lo, hi), hist.sparkSession
+    level = F.col("level")
+    fits = (F.col("n") <= cap) | (F.col("leaf") <= level)
+    open_parent = (F.col("n_parent") > cap) & (F.col("leaf_parent") > level - 1)
+    with Scratch(spark, "split") as scratch:
+        cells = scratch.keep(with_path(hist, lo, hi))
+        roots = cells.groupBy(*by).agg(F.sum("n").alias("n")).where("n > 0")
+        out = roots.where((F.col("n") <= cap) | F.lit(depth == 0)).select(*by, _long(lo).alias("lo"), _long(hi).alias("hi"), "n")
+        for first in range(0, depth, band):
+            end = min(first + band, depth)
+            children = scratch.keep(_children(cells, first, end, depth, by).where(open_parent & (fits | (level == end))))
+            found = children.where(fits).select(*by, "n", _bounds(F.col("v"), level, lo, hi).alias("b"))
+            out = out.unionByName(found.select(*by, "b.lo", "b.hi", "n"))
+            over = _other(children.where(~fits), by, F.col("cell").alias("_cell"))
+            if end == depth or over.isEmpty():
+                break
+            inside = _same(by) & (_prefix(F.col("path"), end, depth) == F.col("_cell"))
+            cells = scratch.keep(cells.join(over, inside, "left_semi"))
+        return written(out, scratch_dir(spark, "cells"))
+
+
+def split_ranges(
+    df: DataFrame, col: Column, lo: int, hi: int, cap: int, by: Sequence[str] = (), whole: bool = False
+) -> DataFrame:
+    """(by, lo, hi, n): ranges of at most `cap` rows, or of one value.
+
+    Rows without a value, or with one outside [lo, hi], are in no range;
+    `outside_root` counts them. With `whole`, a group of at most `cap` rows is
+    one cell without bounds (null lo and hi) that holds those rows too, and only
+    larger groups are cut.
     """
-    by, depth = list(by), _depth(lo, hi)
-    band = max(band, -(-depth // 4))
-    cells = with_path(hist, lo, hi)
-    roots = hist.groupBy(*by).agg(F.sum("n").alias("n"))
-    fits_root = (F.col("n") <= cap) if depth else F.lit(True)
-    out = roots.where(fits_root & (F.col("n") > 0)).select(*by, _long(lo).alias("lo"), _long(hi).alias("hi"), "n")
-    fits = (F.col("n") <= cap) | (F.col("leaf") <= F.col("level"))
-    open_parent = (F.col("n_parent") > cap) & (F.col("leaf_parent") > F.col("level") - 1)
-    for first in range(0, depth, band):
-        levels = min(band, depth - first)
-        children = _children(cells, first, levels, depth, by).where(open_parent)
-        found = children.where(fits).select(*by, "n", _bounds(F.col("v"), F.col("level"), lo, hi).alias("b"))
-        out = out.unionByName(found.select(*by, "b.lo", "b.hi", "n"))
-        end = first + levels
-        if end < depth:
-            over = children.where(~fits & (F.col("level") == end)).select(
-                *[F.col(c).alias(f"_{c}") for c in by], F.col("cell").alias("_cell")
-            )
-            same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
-            same.append(_prefix(F.col("path"), end, depth) == F.col("_cell"))
-            cells = cells.join(over, reduce(and_, same)).select(*by, "v", "n", "path", "leaf")
-    return out
-
-
-def split_ranges(df: DataFrame, col: Column, lo: int, hi: int, cap: int, by: Sequence[str] = ()) -> DataFrame:
-    """(by, lo, hi, n): ranges of at most `cap` rows, or of one value."""
-    return split_counts(histogram(df, col, lo, hi, by), lo, hi, cap, by)
+    if not whole:
+        return split_counts(histogram(df, col, lo, hi, by), lo, hi, cap, by)
+    with Scratch(df.sparkSession, "groups") as scratch:
+        hist = df.select(*by, _value(col, lo, hi).alias("v")).groupBy(*by, "v").agg(F.count("*").alias("n"))
+        hist = scratch.keep(hist)
+        totals = scratch.keep(hist.groupBy(*by).agg(F.sum("n").alias("n")))
+        large = _other(totals.where(F.col("n") > cap), by)
+        cut = split_counts(hist.where("v IS NOT NULL").join(large, _same(by), "left_semi"), lo, hi, cap, by)
+        none = F.lit(None).cast("bigint")
+        small = totals.where(F.col("n").between(1, cap)).select(*by, none.alias("lo"), none.alias("hi"), "n")
+        return written(small.unionByName(cut), scratch_dir(df.sparkSession, "cells"))
 
 
 def overflow_report(cells: DataFrame, cap: int) -> DataFrame:
@@ -201,98 +245,100 @@ def split_two(
     cap: int,
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """(by, lo, hi, lo2, hi2, n): one-value cells over the cap are split again by a second column.
+    """(by, lo, hi, lo2, hi2, n, outside): one-value cells over the cap are split again by a second column.
 
     The rows are counted once, per pair of values; the first cut is a roll-up of
-    those counts. Cells that needed no second cut have null lo2, hi2.
+    those counts. Cells that needed no second cut have null lo2, hi2. Rows of a
+    second cut that no range of `bounds2` reaches are one row with null lo2, hi2
+    and `outside`; those outside `bounds1` are counted by `outside_root`.
     """
-    by = list(by)
-    first, second = F.floor(col1).cast("bigint"), F.floor(col2).cast("bigint")
-    pairs = (
-        df.select(*by, first.alias("v1"), second.alias("v2"))
-        .where(F.col("v1").between(*bounds1))
-        .groupBy(*by, "v1", "v2")
-        .agg(F.count("*").alias("n"))
-    )
-    hist = pairs.groupBy(*by, F.col("v1").alias("v")).agg(F.sum("n").alias("n"))
-    cells = split_counts(hist, *bounds1, cap, by)
-    over = overflow_report(cells, cap).select(*by, F.col("lo").alias("v1"))
-    again = (
-        pairs.where(F.col("v2").between(*bounds2))
-        .join(over, [*by, "v1"], "left_semi")
-        .select(*by, "v1", F.col("v2").alias("v"), "n")
-    )
-    deep = split_counts(again, *bounds2, cap, [*by, "v1"]).select(
-        *by, F.col("v1").alias("lo"), F.col("v1").alias("hi"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), "n"
-    )
+    by, spark = list(by), df.sparkSession
     none = F.lit(None).cast("bigint")
+    with Scratch(spark, "pairs") as scratch:
+        pairs = scratch.keep(
+            df.select(*by, _value(col1, *bounds1).alias("v1"), _value(col2, *bounds2).alias("v2"))
+            .where(F.col("v1").isNotNull())
+            .groupBy(*by, "v1", "v2")
+            .agg(F.count("*").alias("n"))
+        )
+        cells = split_counts(pairs.groupBy(*by, F.col("v1").alias("v")).agg(F.sum("n").alias("n")), *bounds1, cap, by)
+        over = _other(overflow_report(cells, cap), by, F.col("lo").alias("_v1"))
+        again = scratch.keep(pairs.join(over, _same([*by, "v1"]), "left_semi"))
+        deep = split_counts(again.where("v2 IS NOT NULL").select(*by, "v1", F.col("v2").alias("v"), "n"), *bounds2, cap, [*by, "v1"])
+        rest = again.where("v2 IS NULL").select(
+            *by, F.col("v1").alias("lo"), F.col("v1").alias("hi"), none.alias("lo2"), none.alias("hi2"), "n", F.lit(True).alias("outside")
+        )
+        rest = written(rest, scratch_dir(spark, "cells"))
+    inside = F.lit(False).alias("outside")
+    deep = deep.select(
+        *by, F.col("v1").alias("lo"), F.col("v1").alias("hi"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), "n", inside
+    )
     shallow = cells.where((F.col("n") <= cap) | (F.col("lo") < F.col("hi"))).select(
-        *by, "lo", "hi", none.alias("lo2"), none.alias("hi2"), "n"
+        *by, "lo", "hi", none.alias("lo2"), none.alias("hi2"), "n", inside
     )
-    return shallow.unionByName(deep)
+    return shallow.unionByName(deep).unionByName(rest)
 
 
 def count_by_range(
     df: DataFrame, col: Column, ranges: DataFrame, lo: int, hi: int, by: Sequence[str] = ()
 ) -> DataFrame:
-    """(by, lo, hi, n): rows of `df` per given range of a split of [lo, hi]; ranges without rows count 0.
+    """(by, lo, hi, n): rows of `df` inside [lo, hi] per given range; ranges without rows count 0.
 
-    Rows are first counted per value; each value then lists its cells at all
-    levels and meets the ranges by an equi-join, so no range join is needed.
+    Any ranges will do: overlapping ones, ones that cross the root (only its
+    inside counts), and ones with a null bound (open on that side). A count is a
+    difference of two running counts, so no range join is needed. Runs are summed
+    within slices of the root and over the slices, at most about the square root
+    of its width each, so neither window grows with the rows.
     """
-    by, depth = list(by), _depth(lo, hi)
-
-    def step(s: Column, _: Column) -> Column:
-        low, high, right = _halve(s, F.col("lo"))
-        inner = (s["lo"] < F.col("lo")) | (s["hi"] > F.col("hi"))
-        return F.struct(
-            F.when(inner, low).otherwise(s["lo"]).alias("lo"),
-            F.when(inner, high).otherwise(s["hi"]).alias("hi"),
-            F.when(inner, F.shiftleft(s["cell"], 1) + F.when(right, _long(1)).otherwise(_long(0)))
-            .otherwise(s["cell"])
-            .alias("cell"),
-            (s["level"] + F.when(inner, 1).otherwise(0)).alias("level"),
-        )
-
-    root = F.struct(_long(lo).alias("lo"), _long(hi).alias("hi"), _long(0).alias("cell"), F.lit(0).alias("level"))
-    wanted = ranges.select(*by, "lo", "hi").withColumn("_at", F.aggregate(_steps(depth), root, step))
-    wanted = wanted.select(*by, "lo", "hi", F.col("_at.level").alias("level"), F.col("_at.cell").alias("cell"))
-    counted = (
-        with_path(histogram(df, col, lo, hi, by), lo, hi)
-        .select(*by, "n", "path", F.explode(F.sequence(F.lit(0), F.col("leaf"))).alias("level"))
-        .groupBy(*by, "level", _prefix(F.col("path"), F.col("level"), depth).alias("cell"))
-        .agg(F.sum("n").alias("n"))
+    by, half = list(by), -(-_depth(lo, hi) // 2)
+    part = F.shiftright(F.col("v") - lo, half).alias("part")
+    ends = ranges.select(
+        *by,
+        "lo",
+        "hi",
+        (F.least(F.greatest(F.coalesce("lo", _long(lo)), _long(lo)), _long(hi + 1)) - 1).alias("_before"),
+        F.greatest(F.least(F.coalesce("hi", _long(hi)), _long(hi)), _long(lo - 1)).alias("_last"),
     )
-    keys = [*by, "level", "cell"]
-    return wanted.join(counted, keys, "left").select(*by, "lo", "hi", F.coalesce("n", F.lit(0)).alias("n"))
-
-
-def ranked(
-    df: DataFrame, cell: Sequence[str], order: Sequence[str], cap: int, salts: int | None = None
-) -> DataFrame:
+    marks = ends.select(*by, F.col("_before").alias("v")).unionByName(ends.select(*by, F.col("_last").alias("v")))
+    marks = marks.where(F.col("v") >= lo).distinct().select(*by, "v", _long(0).alias("n"), F.lit(True).alias("mark"))
+    with Scratch(df.sparkSession, "counts") as scratch:
+        counts = histogram(df, col, lo, hi, by).withColumn("mark", F.lit(False))
+        both = scratch.keep(counts.unionByName(marks).select("*", part))
+        inner = Window.partitionBy(*by, "part").orderBy("v")
+        running = both.withColumn("upto", F.sum("n").over(inner)).where("mark").select(*by, "part", "v", "upto")
+        outer = Window.partitionBy(*by).orderBy("part")
+        slices = both.groupBy(*by, "part").agg(F.sum("n").alias("m"))
+        slices = _other(slices.withColumn("before", F.sum("m").over(outer) - F.col("m")), [*by, "part"], F.col("before"))
+        upto = running.join(slices, _same([*by, "part"])).select(*by, "v", (F.col("upto") + F.col("before")).alias("upto"))
+        upto = written(upto, scratch_dir(df.sparkSession, "running"))
+    for edge in ("_before", "_last"):
+        at = _other(upto, by, F.col("v").alias("_v"), F.col("upto").alias(f"_upto{edge}"))
+        ends = ends.join(at, _same(by) & (F.col(edge) == F.col("_v")), "left").drop("_v", *[f"_{c}" for c in by])
+    n = F.coalesce("_upto_last", _long(0)) - F.coalesce("_upto_before", _long(0))
+    return ends.select(*by, "lo", "hi", F.greatest(n, _long(0)).alias("n"))
+
+
+def ranked(df: DataFrame, cell: Sequence[str], order: Sequence[str], cap: int, salts: int = SALTS) -> DataFrame:
     """First `cap` rows per cell with their 1-based `rank` in the cell.
 
-    A rank filter up to the session's group-limit threshold is applied by each
-    map task before the shuffle, so a cell with a third of all rows arrives as
-    `cap` rows per map task. Above the threshold the cell is ranked in two
-    steps: each salted slice of it gives up at most `cap` rows, and only those
-    are ranked together. That is exact, as a row past the cap in its slice is
-    past the cap in its cell. There are as many slices as shuffle partitions,
-    so a hot cell spreads over the whole cluster. `order` must be unique within
-    a cell.
+    A cell is ranked in two steps: each salted slice of it gives up at most
+    `cap` rows, and only those are ranked together. That is exact, as a row past
+    the cap in its slice is past the cap in its cell. Each map task cuts its rows
+    of a slice to `cap` before the shuffle, for which the session's group-limit
+    threshold is raised to the cap. A cell with a third of all rows is so
+    sorted by `salts` tasks, and the last step gets `salts * cap` of its rows at
+    most, whatever the cluster. `order` must be unique within a cell.
     """
-    if salts is None:
-        conf = df.sparkSession.conf
-        threshold = int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-        salts = 1 if cap <= threshold else max(8, int(conf.get("spark.sql.shuffle.partitions")))
-    if salts > 1:
-        slices = Window.partitionBy(*cell, "_salt").orderBy(*order)
-        df = (
-            df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
-            .withColumn("_slice_rank", F.row_number().over(slices))
-            .where(F.col("_slice_rank") <= cap)
-            .drop("_salt", "_slice_rank")
-        )
+    conf, limit = df.sparkSession.conf, "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(conf.get(limit, "1000")) < cap:
+        conf.set(limit, str(cap))
+    slices = Window.partitionBy(*cell, "_salt").orderBy(*order)
+    df = (
+        df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
+        .withColumn("_slice_rank", F.row_number().over(slices))
+        .where(F.col("_slice_rank") <= cap)
+        .drop("_salt", "_slice_rank")
+    )
     whole = Window.partitionBy(*cell).orderBy(*order)
     return df.withColumn("rank", F.row_number().over(whole)).where(F.col("rank") <= cap)
 

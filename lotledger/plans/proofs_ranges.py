@@ -78,9 +78,80 @@ def r2_split2(spark: SparkSession, sf: str) -> DataFrame:
         R.PRICE_RANGE_S,
         R.MILEAGE_RANGE_S,
         CAP_S,
+    ).drop("outside")
+
+
+# Prices that are absent or beyond the root, and a group without a name.
+def _gaps(spark: SparkSession, sf: str) -> DataFrame:
+    price = F.when(F.col("l_linenumber") == 5, F.lit(-1)).otherwise(F.floor("l_extendedprice").cast("bigint"))
+    return read(spark, sf, "lineitem").select(
+        F.expr("nullif(l_returnflag, 'A')").alias("g"),
+        "l_suppkey",
+        F.floor("l_quantity").cast("bigint").alias("quantity"),
+        F.when(F.col("l_linenumber") != 3, price).alias("price"),
     )
 
 
+_SQL_GAPS = """
+    gaps AS (SELECT nullif(l_returnflag, 'A') AS g, l_suppkey, CAST(floor(l_quantity) AS BIGINT) AS quantity,
+                    CASE l_linenumber WHEN 3 THEN NULL WHEN 5 THEN -1 ELSE CAST(floor(l_extendedprice) AS BIGINT) END AS price FROM lineitem)
+"""
+# A supplier's rows are few at every scale, so some groups fit this cap and some don't.
+_GROUP_CAP = 600
+
+
+@query(
+    "r1_split_whole",
+    f"""
+    WITH RECURSIVE {_SQL_GAPS},
+    total AS (SELECT l_suppkey AS g, count(*) AS n FROM gaps GROUP BY 1),
+    hist AS (SELECT l_suppkey AS g, price AS v, count(*) AS n FROM gaps
+             WHERE price BETWEEN 0 AND 10000000 AND l_suppkey IN (SELECT g FROM total WHERE n > {_GROUP_CAP}) GROUP BY 1, 2),
+    {_sql_split("t", "hist", R.PRICE_RANGE_U, _GROUP_CAP)}
+    SELECT g AS l_suppkey, lo, hi, n FROM t WHERE n <= {_GROUP_CAP} OR lo = hi
+    UNION ALL SELECT g, NULL, NULL, n FROM total WHERE n <= {_GROUP_CAP}
+    """,
+)
+def r1_split_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """Layout U: a group that fits is searched without price limits, so it has its unpriced rows too."""
+    return R.split_ranges(_gaps(spark, sf), F.col("price"), *R.PRICE_RANGE_U, _GROUP_CAP, by=["l_suppkey"], whole=True)
+
+
+@query(
+    "r1_outside",
+    f"WITH {_SQL_GAPS} SELECT g, count(*) - count(price) AS n_missing, count(price) AS n_outside FROM gaps "
+    "WHERE price IS NULL OR price NOT BETWEEN 0 AND 10000000 GROUP BY g",
+)
+def r1_outside(spark: SparkSession, sf: str) -> DataFrame:
+    return R.outside_root(_gaps(spark, sf), F.col("price"), *R.PRICE_RANGE_U, by=["g"])
+
+
+@query(
+    "r2_split2_rest",
+    f"""
+    WITH RECURSIVE {_SQL_GAPS},
+    h1 AS (SELECT coalesce(g, '') AS g, quantity AS v, count(*) AS n FROM gaps GROUP BY 1, 2),
+    {_sql_split("t1", "h1", R.PRICE_RANGE_S, CAP_S)},
+    cell AS (SELECT g, lo, hi, n FROM t1 WHERE lo = hi AND n > {CAP_S}),
+    h2 AS (SELECT coalesce(g, '') || '/' || quantity AS g, price AS v, count(*) AS n FROM gaps
+           WHERE price BETWEEN 0 AND 10000000 AND (coalesce(g, ''), quantity) IN (SELECT (g, lo) FROM cell) GROUP BY 1, 2),
+    {_sql_split("t2", "h2", R.MILEAGE_RANGE_S, CAP_S)},
+    deep AS (SELECT split_part(g, '/', 1) AS g, CAST(split_part(g, '/', 2) AS BIGINT) AS q, lo, hi, n
+             FROM t2 WHERE n <= {CAP_S} OR lo = hi),
+    rest AS (SELECT cell.g, cell.lo, cell.n - coalesce(sum(deep.n), 0) AS n FROM cell LEFT JOIN deep ON deep.g = cell.g AND deep.q = cell.lo
+             GROUP BY cell.g, cell.lo, cell.n)
+    SELECT nullif(g, '') AS g, lo, hi, CAST(NULL AS BIGINT) AS lo2, CAST(NULL AS BIGINT) AS hi2, n, 0 AS outside FROM t1 WHERE n <= {CAP_S}
+    UNION ALL SELECT nullif(g, ''), q, q, lo, hi, n, 0 FROM deep
+    UNION ALL SELECT nullif(g, ''), lo, lo, NULL, NULL, CAST(n AS BIGINT), 1 FROM rest WHERE n > 0
+    """,
+)
+def r2_split2_rest(spark: SparkSession, sf: str) -> DataFrame:
+    cells = R.split_two(
+        _gaps(spark, sf), F.col("quantity"), F.col("price"), R.PRICE_RANGE_S, R.MILEAGE_RANGE_S, CAP_S, by=["g"]
+    )
+    return cells.withColumn("outside", F.col("outside").cast("int"))
+
+
 _LINE = ["l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
 
 
@@ -138,6 +209,27 @@ def a2_counts(spark: SparkSession, sf: str) -> DataFrame:
     return R.count_by_range(read(spark, sf, "lineitem"), F.col("l_extendedprice"), ranges, *R.PRICE_RANGE_S)
 
 
+@query(
+    "a2_counts_any",
+    f"""
+    WITH {_SQL_GAPS},
+    hist AS (SELECT g, price AS v, count(*) AS n FROM gaps WHERE price BETWEEN 0 AND 10000000 GROUP BY 1, 2),
+    ranges AS (SELECT nullif(o_orderstatus, 'P') AS g, CAST(floor(o_totalprice / 10) AS BIGINT) - 50 AS lo,
+                      max(CAST(floor(o_totalprice / 5) AS BIGINT)) AS hi FROM orders GROUP BY 1, 2)
+    SELECT r.g, lo, hi, CAST(coalesce(sum(n), 0) AS BIGINT) AS n
+    FROM ranges AS r LEFT JOIN hist AS h ON r.g IS NOT DISTINCT FROM CASE h.g WHEN 'N' THEN 'O' WHEN 'R' THEN 'F' END AND v BETWEEN lo AND hi
+    GROUP BY r.g, lo, hi
+    """,
+)
+def a2_counts_any(spark: SparkSession, sf: str) -> DataFrame:
+    """Ranges that are no cells of a split, overlap and cross the root."""
+    rows = _gaps(spark, sf).withColumn("g", F.when(F.col("g") == "N", "O").when(F.col("g") == "R", "F"))
+    ranges = read(spark, sf, "orders").groupBy(
+        F.expr("nullif(o_orderstatus, 'P')").alias("g"), (F.floor(F.col("o_totalprice") / 10).cast("bigint") - 50).alias("lo")
+    ).agg(F.max(F.floor(F.col("o_totalprice") / 5).cast("bigint")).alias("hi"))
+    return R.count_by_range(rows, F.col("price"), ranges, *R.PRICE_RANGE_U, by=["g"])
+
+
 @query(
     "a4_overflow",
     f"""

@@ -24,7 +24,7 @@ from lotledger.operators.merge import (
 )
 from lotledger.operators.pages import hrefs, tag_text
 from lotledger.plans import sites
-from lotledger.session import scratch_dir
+from lotledger.session import scratch_dir, written
 
 
 @dataclass(frozen=True)
@@ -66,7 +66,7 @@ def run_site(
     detail = first_per_key(empty_to_null(detail), [KEY], [~F.coalesce(F.col("status").between(200, 299), F.lit(False)), F.col(PRICE).isNull(), "status", PRICE])
     if from_shallow:
         detail = enrich(batch, detail, from_shallow)
-    items = _written(classify(batch, table, detail, required))
+    items = written(classify(batch, table, detail, required), scratch_dir(batch.sparkSession, "run"))
     inserted = F.col("information") == INSERTED
     seen = F.col("seen") & F.col("information").isNotNull()
 
@@ -111,12 +111,6 @@ def run_captures(
     raise ValueError(f"unknown page layout {layout!r}")
 
 
-def _written(df: DataFrame) -> DataFrame:
-    path = scratch_dir(df.sparkSession, "run")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def pages_added(pages: DataFrame, stored: DataFrame, run: Run) -> DataFrame:
     """Distinct pages that a run adds, with title, heading and link count and the run metadata.
 

@@ -48,6 +48,30 @@ def _local_base() -> str:
     return _LOCAL_BASE[0]
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """The rows as a stored table: what reads them later doesn't compute them again."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Tables that live only inside a `with` block, in one folder under the shared scratch folder."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder, self.count = spark, scratch_dir(spark, name), 0
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.count += 1
+        return written(df, f"{self.folder}/{self.count}")
+
+    def __exit__(self, *_) -> None:
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
+        where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """The rows over all cores, if the input comes in fewer pieces than there are cores.
 

@@ -25,6 +25,20 @@ def test_rank_filter_is_cut_before_the_shuffle(spark, name):
     assert "Partial" in "".join(re.findall(r"WindowGroupLimit.*", plan(entry.queries()[name](spark, SF))))
 
 
+@pytest.mark.parametrize("name", ["r3_cap", "r3_cap_u", "w2_pages"])
+def test_cells_are_ranked_in_slices(spark, name):
+    text = plan(entry.queries()[name](spark, SF))
+    exchanges = re.findall(r"Exchange hashpartitioning\((.*?)\d+\)", text)
+    assert len(exchanges) == 2 and "_salt" in exchanges[1]
+    assert len(re.findall(r"WindowGroupLimit.*Partial", text)) == 2
+
+
+@pytest.mark.parametrize("name,most", [("r1_split", 1), ("r2_split2", 4), ("a2_counts", 4)])
+def test_splits_read_stored_counts(spark, name, most):
+    text = plan(entry.queries()[name](spark, SF))
+    assert len(re.findall(r"FileScan|BatchScan", text)) <= most and "lineitem" not in text and "Python" not in text
+
+
 def test_scan_reads_only_what_is_used(spark):
     text = plan(entry.queries()["p7_recent"](spark, SF))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in text and "GreaterThanOrEqual(ts" in text

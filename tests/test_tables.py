@@ -85,10 +85,54 @@ def test_split_two_levels(spark):
         else:
             want.append((lo, hi, None, None, n))
     df = spark.createDataFrame(data, "p int, m int")
-    got = rows(R.split_two(df, F.col("p"), F.col("m"), (0, 63), (0, 1023), 20))
+    got = rows(R.split_two(df, F.col("p"), F.col("m"), (0, 63), (0, 1023), 20).drop("outside"))
     assert got == sorted(want, key=repr)
 
 
+def test_split_loses_no_row(spark):
+    rng = random.Random(5)
+    data = [
+        (rng.choice(["a", None]), rng.choice([None, -1, 7, 7, 7, rng.randrange(64), 99]), rng.choice([None, -3, 2, rng.randrange(16), 50]))
+        for _ in range(600)
+    ]
+    df = spark.createDataFrame(data, "g string, p int, m int")
+    outside = {r.g: (r.n_missing, r.n_outside) for r in R.outside_root(df, F.col("p"), 0, 63, ["g"]).collect()}
+    cells = R.split_two(df, F.col("p"), F.col("m"), (0, 63), (0, 15), 20, ["g"]).collect()
+    once = R.split_ranges(df, F.col("p"), 0, 63, 20, ["g"]).collect()
+    for g in ("a", None):
+        own = [(p, m) for k, p, m in data if k == g]
+        assert outside[g] == (sum(p is None for p, _ in own), sum(p in (-1, 99) for p, _ in own))
+        for out in (cells, once):
+            assert sum(r.n for r in out if r.g == g) + sum(outside[g]) == len(own)
+        rest = [r for r in cells if r.g == g and r.outside and r.lo == 7]
+        assert [r.n for r in rest] == [sum(p == 7 and (m is None or not 0 <= m <= 15) for p, m in own)]
+
+
+def test_split_takes_a_group_that_fits_whole(spark):
+    data = [("few", None), ("few", 3), ("few", 99), (None, None), (None, 1)] + [("many", v) for v in [None, 99, 0, 1, 2, 3]]
+    df = spark.createDataFrame(data, "g string, x int")
+    got = rows(R.split_ranges(df, F.col("x"), 0, 3, 3, ["g"], whole=True))
+    assert got == sorted([("few", None, None, 3), (None, None, None, 2), ("many", 0, 1, 2), ("many", 2, 3, 2)], key=repr)
+    one = rows(R.split_ranges(df.where("g = 'few'").drop("g"), F.col("x"), 0, 3, 3, whole=True))
+    assert one == [(None, None, 3)]
+
+
+@pytest.mark.parametrize("lo,hi", [(0, 15), (-3, 40), (5, 5)])
+def test_count_by_any_range(spark, lo, hi):
+    rng = random.Random(hi)
+    data = [(rng.choice(["a", None, "b"]), rng.choice([None, rng.randrange(-10, 60)])) for _ in range(300)]
+    wanted = [(g, a, b) for g in ("a", None, "z") for a in (None, -50, -3, 0, 3, 5, 44) for b in (None, -9, 2, 5, 12, 39, 70)]
+    df = spark.createDataFrame(data, "g string, x int")
+    ranges = spark.createDataFrame(wanted + wanted[:2], "g string, lo bigint, hi bigint")
+
+    def count(g, a, b):
+        a, b = lo if a is None else a, hi if b is None else b
+        return sum(k == g and x is not None and max(a, lo) <= x <= min(b, hi) for k, x in data)
+
+    got = rows(R.count_by_range(df, F.col("x"), ranges, lo, hi, ["g"]))
+    assert got == sorted([(*w, count(*w)) for w in wanted + wanted[:2]], key=repr)
+
+
 def test_overflow(spark):
     df = spark.createDataFrame([(7,)] * 5 + [(1,)], "x int")
     cells = R.split_ranges(df, F.col("x"), 0, 15, 2)
