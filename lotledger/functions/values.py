@@ -89,7 +89,7 @@ def address(c: Column) -> Column:
 def engine(c: Column) -> Column:
     """struct<litres,fuel> of an engine line such as `2.0 Diesel`."""
     return F.struct(
-        match(c, r"\d+\.?\d*").try_cast("decimal(6,2)").alias("litres"),
+        match(c, r"\d+\.?\d*").try_cast("decimal(18,6)").alias("litres"),
         match(c, "[a-zA-Z]+").alias("fuel"),
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lotledger.functions.urls import clear_params
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """First row per key in a given order.
 
     `row_number() = 1` is limited per map task before the shuffle (window group
@@ -40,6 +40,11 @@ def dedupe_in(df: DataFrame, facet: str, key: str) -> DataFrame:
     return df.dropDuplicates([facet, key])
 
 
-def dedupe_run(df: DataFrame, key: str, order: Sequence[str], run: str | None = None) -> DataFrame:
+def priced_first(order: Sequence[str], price: str) -> list[Column]:
+    """An order in which rows without a price come last, so that one of them never hides a priced row of its link."""
+    return [F.col(price).isNull(), *[F.col(c) for c in order]]
+
+
+def dedupe_run(df: DataFrame, key: str, order: Sequence[str | Column], run: str | None = None) -> DataFrame:
     """One row per link within one run: the earliest capture."""
     return first_per_key(df, [run, key] if run else [key], order)

@@ -121,39 +121,31 @@ def update_price(table: DataFrame, batch: DataFrame, run: Run, key: str = KEY, p
 def merge_run(
     table: DataFrame, batch: DataFrame, run: Run, change_price: bool = False, key: str = KEY, price: str = PRICE, inserted: DataFrame | None = None
 ) -> DataFrame:
-    """Stored rows not in the batch, touched rows and inserted rows, as one full outer join.
-
-    `batch` has one row per link (see `dedupe_run`) and the table's columns. Both
-    sides are unique on the key, so no join key is hot and each side is
-    shuffled once. Rows of `batch` without a price neither touch nor insert; those of
-    `inserted` were judged before and come in whatever their price.
+    """Stored rows, touched where the batch has their link, and inserted rows.
+
+    `batch` has one row per link (see `dedupe_run`) and the table's columns. Stored
+    rows meet only the links and prices of the batch, which Spark broadcasts while
+    they are small, so that a small batch does not shuffle the table. Rows of
+    `batch` without a price neither touch nor insert. Where `inserted` is given,
+    `batch` is the rows that touch; those of `inserted` were judged before and come
+    in whatever their price.
     """
-    columns = table.columns
     new = batch.where(F.col(price).isNotNull())
-    if inserted is not None:
-        new = new.unionByName(inserted, allowMissingColumns=True)
-    new_columns = new.columns
-    new = new.select(F.col(key), F.struct(*[F.col(c) for c in new_columns if c != key]).alias("_new"))
-    old = table.select(F.col(key), F.struct(*[F.col(c) for c in columns if c != key]).alias("_old"))
-    both = old.join(new, key, "full_outer")
-    in_old, in_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
-    changed = in_old & in_new & ~F.col(f"_old.{price}").eqNullSafe(F.col(f"_new.{price}")) & F.lit(change_price)
-    taken = set(new_columns)
-
-    def merged(c: str) -> Column:
-        stored = F.col(f"_old.{c}")
-        if c == "iteration_id":
-            return F.when(in_new, F.lit(run.iteration_id).cast("bigint")).otherwise(stored)
-        if c == "parse_date":
-            return F.when(in_new, stamp(run.run_date)).otherwise(stored)
-        if c == "is_synced":
-            return F.when(~in_old | changed, F.lit(0).cast("int")).otherwise(stored)
-        if c == price:
-            return F.when(~in_old | changed, F.col(f"_new.{c}")).otherwise(stored)
-        fresh = F.col(f"_new.{c}") if c in taken else F.lit(None)
-        return F.when(in_old, stored).otherwise(fresh)
-
-    return both.select(*[F.col(c) if c == key else merged(c).alias(c) for c in columns])
+    hits = new.select(key, F.col(price).alias("_price"))
+    matched = F.col("_price").isNotNull()
+    changed = matched & ~F.col(price).eqNullSafe(F.col("_price")) & F.lit(change_price)
+    values = {
+        "iteration_id": F.when(matched, F.lit(run.iteration_id).cast("bigint")).otherwise(F.col("iteration_id")),
+        "parse_date": F.when(matched, stamp(run.run_date)).otherwise(F.col("parse_date")),
+        "is_synced": F.when(changed, F.lit(0).cast("int")).otherwise(F.col("is_synced")),
+        price: F.when(changed, F.col("_price")).otherwise(F.col(price)),
+    }
+    stored = table.join(hits, key, "left").select(*[values.get(c, F.col(c)).alias(c) for c in table.columns])
+    fresh = stamp_run(inserted if inserted is not None else new.join(table.select(key), key, "left_anti"), run)
+    absent = F.lit(None)
+    return stored.unionByName(
+        fresh.select(*[(F.col(f.name) if f.name in fresh.columns else absent).cast(f.dataType).alias(f.name) for f in table.schema])
+    )
 
 
 def classify(

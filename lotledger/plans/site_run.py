@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lotledger.functions.predicates import REQUIRED_FIELDS
 from lotledger.functions.urls import clear_params
-from lotledger.operators.dedupe import dedupe_run, first_per_key
+from lotledger.operators.dedupe import dedupe_run, first_per_key, priced_first
 from lotledger.operators.joins import KEY, enrich
 from lotledger.operators.merge import (
     INSERTED,
@@ -37,9 +37,14 @@ class RunResult:
     control: DataFrame
 
 
-def new_links(shallow: DataFrame, table: DataFrame, order: Sequence[str]) -> DataFrame:
-    """One shallow row per link that the table does not have: the pages to extract in detail."""
-    return dedupe_run(shallow, KEY, order).join(table.select(KEY), KEY, "left_anti")
+def new_links(batch: DataFrame, table: DataFrame) -> DataFrame:
+    """The links of a batch that the table does not have: the pages to extract in detail."""
+    return batch.select(KEY).join(table.select(KEY), KEY, "left_anti")
+
+
+def own_rows(table: DataFrame, run: Run) -> DataFrame:
+    """The table's rows of the run's site; where it is partitioned by site, no other is read."""
+    return table.where(F.col("site") == run.site) if "site" in table.columns else table
 
 
 def run_site(
@@ -54,6 +59,9 @@ def run_site(
 ) -> RunResult:
     """Merge one run's rows into the site table.
 
+    Only the site's own rows of `table` are seen, touched and returned: a link of
+    another site is another listing.
+
     `detail` holds listing rows (with `status`) for new links. `required` is set
     for layout S, `from_shallow` for layout U (colour and body type).
 
@@ -61,7 +69,8 @@ def run_site(
     All outputs read that table, so pages are extracted a single time, and a
     lost executor does not send the run back to the captures.
     """
-    batch = dedupe_run(shallow, KEY, order)
+    table = own_rows(table, run)
+    batch = dedupe_run(shallow, KEY, priced_first(order, PRICE))
     # A good page counts before a failed one, and a priced one before one without a price.
     detail = first_per_key(empty_to_null(detail), [KEY], [~F.coalesce(F.col("status").between(200, 299), F.lit(False)), F.col(PRICE).isNull(), "status", PRICE])
     if from_shallow:
@@ -71,7 +80,7 @@ def run_site(
     seen = F.col("seen") & F.col("information").isNotNull()
 
     # A touched row needs only the key and the batch price; an inserted row is its detail row.
-    full = stamp_run(items.where(inserted).select(KEY, "detail.*").drop("status"), run)
+    full = items.where(inserted).select(KEY, "detail.*").drop("status")
     touched = items.where(seen).select(KEY, F.col("price").alias(PRICE))
     return RunResult(
         table=merge_run(table, touched, run, change_price, inserted=full.withColumn("site", F.lit(run.site))),
@@ -94,21 +103,25 @@ def run_captures(
 ) -> RunResult:
     """A whole run from stored captures of result pages and detail pages.
 
-    `order` names capture columns of `results`; the earliest capture of a link
-    counts. `catalogs` are the (brands, models) of layout S.
+    `order` names capture columns of `results`; the earliest priced capture of a
+    link counts. `catalogs` are the (brands, models) of layout S. Result pages are
+    extracted once; of the detail pages only those of links that the site's table
+    lacks.
     """
+    if layout not in ("S", "U", "A"):
+        raise ValueError(f"unknown page layout {layout!r}")
+    found = {"S": sites.shallow_s, "U": sites.shallow_u, "A": sites.shallow_a}[layout](results, origin, order)
+    batch = written(dedupe_run(found, KEY, priced_first(order, PRICE)), scratch_dir(results.sparkSession, "batch"))
+    link = clear_params(F.col("url")) if layout == "S" else F.col("url")
+    fresh = new_links(batch, own_rows(table, run)).withColumnRenamed(KEY, "_link")
+    details = details.withColumn("_link", link).join(fresh, "_link", "left_semi").drop("_link")
     if layout == "S":
-        shallow = sites.shallow_s(results, origin, order)
         detail = sites.detail_s(details, *(catalogs or ()))
-        return run_site(shallow, detail, table, run, order, REQUIRED_FIELDS, change_price=change_price)
+        return run_site(batch, detail, table, run, order, REQUIRED_FIELDS, change_price=change_price)
     if layout == "U":
-        shallow = sites.shallow_u(results, origin, order)
-        detail = sites.with_model_u(sites.detail_u(details), dedupe_run(shallow, KEY, order))
-        return run_site(shallow, detail, table, run, order, (), ("colour", "body_type"), change_price)
-    if layout == "A":
-        shallow = sites.shallow_a(results, origin, order)
-        return run_site(shallow, sites.detail_a(details), table, run, order, change_price=change_price)
-    raise ValueError(f"unknown page layout {layout!r}")
+        detail = sites.with_model_u(sites.detail_u(details), batch)
+        return run_site(batch, detail, table, run, order, (), ("colour", "body_type"), change_price)
+    return run_site(batch, sites.detail_a(details), table, run, order, change_price=change_price)
 
 
 def pages_added(pages: DataFrame, stored: DataFrame, run: Run) -> DataFrame:

@@ -29,7 +29,7 @@ LISTING_FIELDS = {
     "colour": _TEXT,
     "colour_manufacturer": _TEXT,
     "mileage": _LONG,
-    "cubic_capacity_l": T.DecimalType(6, 2),
+    "cubic_capacity_l": T.DecimalType(18, 6),
     "cubic_capacity_cm3": _LONG,
     "power_in_kw": _LONG,
     "power_in_ps": _LONG,

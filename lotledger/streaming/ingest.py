@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lotledger.functions.text import stamp
-from lotledger.operators.dedupe import dedupe_run
+from lotledger.operators.dedupe import dedupe_run, priced_first
 from lotledger.operators.joins import KEY, mark_seen
 from lotledger.operators.merge import PRICE, Run, stamp_run
 
@@ -44,17 +44,18 @@ def ingest_batch(
     runs on new links only. Rows without a price neither touch nor insert.
     """
     spark = batch.sparkSession
-    # A stream's session has adaptive execution off for the sake of state stores. This job
-    # keeps none, and its join wants runtime sizes and skew splitting.
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
     base, touched = f"{path}/base", f"{path}/touch"
-    rows = dedupe_run(batch, key, order).where(F.col(price).isNotNull())
+    rows = dedupe_run(batch, key, priced_first(order, price)).where(F.col(price).isNotNull())
     schema = (detail(rows) if detail else rows).schema
     part = f"run={run.iteration_id}/batch={batch_id}"
     # The empty folders make the first read find a table.
     for folder in (base, touched):
         _make(spark, folder)
     marked = mark_seen(rows, _stored_keys(spark, base, schema, run, batch_id, key), key).persist()
+    # A stream's session has adaptive execution off for the sake of state stores. This job
+    # keeps none, and its join wants runtime sizes and skew splitting; later batches get the setting back.
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
     try:
         new = marked.where(~F.col("seen")).drop("seen")
         full = stamp_run(detail(new) if detail else new, run)
@@ -65,6 +66,7 @@ def ingest_batch(
         again.write.mode("overwrite").parquet(f"{touched}/{part}")
     finally:
         marked.unpersist()
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
 def _make(spark: SparkSession, folder: str) -> None:

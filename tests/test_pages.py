@@ -284,6 +284,7 @@ def test_run_captures_s(spark):
     assert [tuple(r) for r in out.rejects.collect()] == [("https://s.example/d/2", "Car will parse again")]
     assert out.control.first().bad_fields == []
     again = run_captures("S", results, details, out.table, Run("S", 2, "2018-03-10"), "https://s.example", catalogs=catalogs)
+    assert again.outcomes.where("NOT seen").count() == 1
     row = again.table.first()
     assert (row.iteration_id, row.sales_price_incl_vat, str(row.parse_date)) == (2, 12345, "2018-03-10")
 

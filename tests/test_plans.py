@@ -39,6 +39,11 @@ def test_splits_read_stored_counts(spark, name, most):
     assert len(re.findall(r"FileScan|BatchScan", text)) <= most and "lineitem" not in text and "Python" not in text
 
 
+@pytest.mark.parametrize("name", ["m3_merge", "m4_run", "m5_merge_price"])
+def test_merge_does_not_need_the_whole_table_shuffled(spark, name):
+    assert "FullOuter" not in plan(entry.queries()[name](spark, SF))
+
+
 def test_scan_reads_only_what_is_used(spark):
     text = plan(entry.queries()["p7_recent"](spark, SF))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in text and "GreaterThanOrEqual(ts" in text

@@ -323,6 +323,26 @@ def test_site_run(spark):
     assert control.iteration_id == 2 and "make" in control.bad_fields and "currency" not in control.bad_fields
 
 
+def test_site_run_keeps_to_its_site_and_loses_no_item(spark):
+    stored = table(spark, "a", "b").withColumns(
+        {"make": F.lit("m"), "currency": F.lit("EUR"), "site": F.when(F.col("origin_link") == "a", "U").otherwise("S")}
+    )
+    shallow = spark.createDataFrame(
+        [("a", 3, 1), ("b", 7, 1), ("c", None, 1), ("c", 5, 2), ("d", 9, 1), ("e", None, 1), ("f", 4, 1)],
+        "origin_link string, sales_price_incl_vat bigint, at int",
+    )
+    # The detail price may be absent where the shallow one is not, and the other way round.
+    detail = spark.createDataFrame(
+        [("a", 30, "x", "EUR", 200), ("c", None, "x", "EUR", 200), ("d", 1, "x", "EUR", 503), ("d", 90, "y", "EUR", 200), ("e", 50, "x", "EUR", 200)],
+        "origin_link string, sales_price_incl_vat bigint, make string, currency string, status int",
+    )
+    result = run_site(shallow, detail, stored, RUN, order=["at"])
+    assert state(result.table) == {"a": (30, 2, 0, NEW), "b": (10, 2, 1, NEW), "c": (None, 2, 0, NEW), "d": (90, 2, 0, NEW)}
+    assert {r.site for r in result.table.collect()} == {"S"}
+    assert rows(result.rejects) == [("e", "Car hasn't price"), ("f", "Car will parse again")]
+    assert result.outcomes.count() == 6 == 3 + 1 + result.rejects.count()
+
+
 def test_versions(spark):
     path = scratch_dir(spark, "versions")
     df = table(spark, "a").withColumn("site", F.lit("S"))

@@ -131,6 +131,8 @@ def test_extracted_values(values):
         V.address(lit("80331 Muenchen Ost"))["country"],
         V.engine(lit("2.0 Diesel"))["litres"],
         V.engine(lit("2.0 Diesel"))["fuel"],
+        V.engine(lit("12800 Diesel"))["litres"].cast("string"),
+        V.engine(lit("1.995"))["litres"].cast("string"),
         V.engine(null())["litres"],
         V.count_text(lit("1.234 Angebote")),
         V.count_text(null()),
@@ -148,6 +150,8 @@ def test_extracted_values(values):
         "Muenchen Ost",
         Decimal("2.00"),
         "Diesel",
+        "12800.000000",
+        "1.995000",
         None,
         1234,
         0,
