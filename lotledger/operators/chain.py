@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lotledger.session import scratch_dir
+from lotledger.session import Scratch, scratch_dir, written
 
 
 def walk_chain(
@@ -12,39 +12,29 @@ def walk_chain(
 ) -> DataFrame:
     """(url, step): pages reached from the seeds by following `next_url` until null.
 
-    `pages` holds one row per URL. The walk doubles its stride each round, so a
+    A page has one next link: of captures that differ, the smallest link counts, so
+    that paths never multiply. The walk doubles its stride each round, so a
     chain of n pages takes about log2(n) rounds and not n. A round joins on the
     URL, which is unique on the right-hand side; it ends once a round finds
     nothing new, which also ends cycles. Each round is written to the shared
-    folder, so the plan stays short and a lost executor costs one round.
+    folder, so the plan stays short and a lost executor costs one round; when the
+    walk is over, only its result stays there.
     Running out of rounds with pages still open is an error, not a cut result.
     """
     spark = pages.sparkSession
-    root = scratch_dir(spark, "chain")
-
-    def store(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{root}/{name}")
-        return spark.read.parquet(f"{root}/{name}")
-
-    jump = store(
-        pages.where(F.col(next_url).isNotNull()).select(F.col(url).alias("src"), F.col(next_url).alias("dst")).distinct(),
-        "jump-0",
-    )
-    reached = store(
-        seeds.select(F.col(url)).distinct().select(F.col(url).alias("url"), F.lit(0).cast("bigint").alias("step")),
-        "reached-0",
-    )
-    count = reached.count()
-    for k in range(max_rounds):
-        ahead = reached.join(jump, reached["url"] == jump["src"]).select(
-            F.col("dst").alias("url"), (F.col("step") + (1 << k)).alias("step")
-        )
-        reached = store(
-            reached.unionByName(ahead).groupBy("url").agg(F.min("step").alias("step")), f"reached-{k + 1}"
-        )
-        before, count = count, reached.count()
-        if count == before:
-            return reached
-        on = jump.select(F.col("src").alias("mid"), F.col("dst").alias("end"))
-        jump = store(jump.join(on, F.col("dst") == F.col("mid")).select("src", F.col("end").alias("dst")), f"jump-{k + 1}")
+    links = pages.where(F.col(next_url).isNotNull()).groupBy(F.col(url).alias("src")).agg(F.min(next_url).alias("dst"))
+    starts = seeds.select(F.col(url)).distinct().select(F.col(url).alias("url"), F.lit(0).cast("bigint").alias("step"))
+    with Scratch(spark, "chain") as scratch:
+        jump, reached = scratch.keep(links), scratch.keep(starts)
+        count = reached.count()
+        for k in range(max_rounds):
+            ahead = reached.join(jump, reached["url"] == jump["src"]).select(
+                F.col("dst").alias("url"), (F.col("step") + (1 << k)).alias("step")
+            )
+            reached = scratch.keep(reached.unionByName(ahead).groupBy("url").agg(F.min("step").alias("step")))
+            before, count = count, reached.count()
+            if count == before:
+                return written(reached, scratch_dir(spark, "walked"))
+            on = jump.select(F.col("src").alias("mid"), F.col("dst").alias("end"))
+            jump = scratch.keep(jump.join(on, F.col("dst") == F.col("mid")).select("src", F.col("end").alias("dst")))
     raise RuntimeError(f"chain still open after {max_rounds} rounds")

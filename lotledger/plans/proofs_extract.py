@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lotledger.functions import values as V
+from lotledger.functions.predicates import has_errors, in_state, is_error
 from lotledger.operators import catalog as C
 from lotledger.operators import pages as G
 from lotledger.operators.chain import walk_chain
 from lotledger.operators.dedupe import dedupe_url
+from lotledger.operators.joins import job_logs
 from lotledger.plans import sites
 from lotledger.plans.proofs_text import EURO, NBSP
 from lotledger.plans.registry import dotted, query, read, text, whole
@@ -86,6 +88,10 @@ def s5_facets(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def s6_logs(spark: SparkSession, sf: str) -> DataFrame:
+    return _logs(spark, sf)
+
+
+def _logs(spark: SparkSession, sf: str) -> DataFrame:
     logs = read(spark, sf, "events").select(
         F.col("user_id").cast("string").alias("job_id"),
         F.when(F.col("event_type") == "error", 40).otherwise(20).alias("level"),
@@ -97,6 +103,32 @@ def s6_logs(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_logs(spark, path)
 
 
+@query(
+    "s6_job_errors",
+    """
+    WITH counts AS (SELECT user_id, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY 1),
+    jobs AS (SELECT c_custkey AS id, CASE WHEN c_nationkey < 12 THEN 'running' ELSE 'finished' END AS state, n
+             FROM customer LEFT JOIN counts ON user_id = c_custkey)
+    SELECT CAST(id AS VARCHAR) AS job_id, n AS errors_count, epoch_us(ts) // 1000 AS time, props AS message
+    FROM jobs JOIN events ON user_id = id WHERE state = 'running' AND n <> 0 AND event_type = 'error'
+    """,
+)
+def s6_job_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """The error logs of running jobs that count errors, from job and log files."""
+    errors = read(spark, sf, "events").where("event_type = 'error'").groupBy("user_id").agg(F.count("*").alias("errors_count"))
+    customers = read(spark, sf, "customer")
+    jobs = customers.join(errors, customers["c_custkey"] == errors["user_id"], "left").select(
+        F.col("c_custkey").cast("string").alias("id"),
+        F.when(F.col("c_nationkey") < 12, "running").otherwise("finished").alias("state"),
+        "errors_count",
+    )
+    path = scratch_dir(spark, "jobs")
+    writers.export_json(jobs, path)
+    wanted = readers.read_jobs(spark, path).where(in_state(F.col("state"), "running") & has_errors(F.col("errors_count")))
+    logs = _logs(spark, sf).where(is_error(F.col("level")))
+    return job_logs(wanted.select(F.col("id").alias("job_id"), "errors_count"), logs).select("job_id", "errors_count", "time", "message")
+
+
 def _listings(spark: SparkSession, sf: str) -> DataFrame:
     return read(spark, sf, "orders").select(
         text("/o/", F.col("o_orderkey")).alias("origin_link"),

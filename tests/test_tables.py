@@ -205,6 +205,8 @@ def test_chain(spark):
     # Many pages point at one, and two seeds share a tail.
     edges = [(f"n{i}", "hub") for i in range(30)] + [("hub", "t1"), ("t1", "t2"), ("t2", "hub"), ("s", "n3")]
     assert walk(edges, ["s", "n7"]) == {"s": 0, "n3": 1, "n7": 0, "hub": 1, "t1": 2, "t2": 3}
+    # A page that was captured twice, with different next links, has one of them.
+    assert walk([("a", "c"), ("a", "b"), ("a", "b"), ("b", "d")], ["a"]) == {"a": 0, "b": 1, "d": 2}
     long = [(f"p{i}", f"p{i + 1}") for i in range(37)]
     assert walk(long, ["p0"]) == {f"p{i}": i for i in range(38)}
 
