@@ -372,11 +372,12 @@ def k4_run_row(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_control(spark, path).withColumn("bad_fields", F.array_join("bad_fields", ", "))
 
 
-def _site_run(spark: SparkSession, sf: str):
+def _site_run(spark: SparkSession, sf: str, detail_price: str = "sales_price_incl_vat"):
     stored = _stored(spark, sf).withColumns(
         {"make": F.lit("old"), "currency": F.lit("EUR"), "mileage": F.lit(None).cast("bigint"), "site": F.lit("S")}
     )
-    detail = _detail(spark, sf).join(_batch(spark, sf).select("origin_link", "sales_price_incl_vat"), "origin_link")
+    prices = _batch(spark, sf).select("origin_link", F.expr(detail_price).alias("sales_price_incl_vat"))
+    detail = _detail(spark, sf).join(prices, "origin_link")
     return run_site(
         _batch(spark, sf), detail, stored, RUN, order=["o_orderpriority"], required=["make"]
     )
@@ -400,6 +401,25 @@ def m4_run(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(table).select("origin_link", "sales_price_incl_vat", "make", "iteration_id", "is_synced", "parse_date")
 
 
+@query(
+    "m4_run_u",
+    _SQL_OUTCOME
+    + f"""
+    SELECT origin_link, s.price AS sales_price_incl_vat, CAST(CASE WHEN l.information IS NULL THEN it ELSE 2 END AS BIGINT) AS iteration_id,
+           CASE WHEN l.information IS NULL THEN d ELSE '{_RUN_DATE}' END AS parse_date
+    FROM stored s LEFT JOIN labelled l USING (origin_link)
+    UNION ALL
+    SELECT origin_link, CASE WHEN o_orderpriority <> '1-URGENT' THEN coalesce(price, 0) + 7 END, CAST(2 AS BIGINT), '{_RUN_DATE}'
+    FROM batch JOIN labelled USING (origin_link) WHERE information = 'inserted'
+    """,
+)
+def m4_run_u(spark: SparkSession, sf: str) -> DataFrame:
+    """The price of a detail page differs from that of the result page, and either may be absent."""
+    detail_price = "CASE WHEN o_orderpriority <> '1-URGENT' THEN coalesce(sales_price_incl_vat, 0) + 7 END"
+    table = _site_run(spark, sf, detail_price).table
+    return _shown(table).select("origin_link", "sales_price_incl_vat", "iteration_id", "parse_date")
+
+
 @query(
     "m4_control",
     """
