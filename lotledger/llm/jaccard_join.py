@@ -19,6 +19,8 @@ MARKS = tuple(f"m{i}" for i in range(8))
 EIGHTHS = (4, 6, 7, 8)
 #: Rows whose sets are held at once.
 ROWS = 256
+#: Classes of a group that the others are held against, where many did not link to the first; and how many are many.
+LEADERS, MANY = 4, 16
 
 _LOWER = lowered()
 _INNER = np.ones(256, bool)
@@ -183,6 +185,19 @@ class Join:
         both = left.join(texts.select(F.col("c").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
         return self.kept(both.mapInArrow(run, "a bigint, b bigint, ok boolean").where("ok").select("a", "b"), name)
 
+    def led(self, apart: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+        """Where many classes of a group are apart from its first, a few of them lead: the pairs (a, b) of the others with each leader, and those that link.
+
+        So a large family that the first class is no part of costs rows, not pairs.
+        """
+        drawn = [F.min(F.struct(F.xxhash64("c", F.lit(i)).alias("h"), "c"))["c"] for i in range(LEADERS)]
+        leaders = self.kept(apart.groupBy("g").agg(F.count("*").alias("m"), F.array_distinct(F.array(*drawn)).alias("leaders")).where(F.col("m") > MANY).select("g", "leaders"), "leaders")
+        if leaders.isEmpty():
+            return None
+        others = apart.join(leaders, "g").where(~F.array_contains("leaders", F.col("c")))
+        pairs = self.kept(others.select(F.col("c").alias("a"), F.explode("leaders").alias("b")), "led_first")
+        return pairs, self.verified(pairs, classes, "led")
+
     def links(self, classes: DataFrame) -> DataFrame:
         """Links (a, b) of classes that have the components of all links.
 
@@ -190,7 +205,9 @@ class Join:
         centres of its buckets: one pair per row. What is linked to the same centre
         is connected and needs no pair of its own, so large families of near copies
         cost rows, not pairs. Then, in buckets that still hold several families, all
-        pairs between different ones are held against each other.
+        pairs between different ones are held against each other. A group with
+        classes apart from its first has several families by itself: the bucket of
+        its first shingle is among these even if no other group has that shingle.
         """
         shared = self.shared(classes)
         mates = classes.where("c != g").select(F.col("c").alias("a"), F.col("g").alias("b"))
@@ -200,11 +217,18 @@ class Join:
 
         to_group = found.join(mates, ["a", "b"], "left_semi").select(F.col("a").alias("c"), F.lit(True).alias("mate"))
         to_centre = found.join(stars, ["a", "b"], "left_semi").groupBy(F.col("a").alias("g")).agg(F.min("b").alias("centre"))
+        apart = self.kept(classes.where("c != g").select("c", "g").join(to_group, "c", "left_anti"), "apart")
+        led, leader, tried = self.led(apart, classes), F.lit(None).cast("bigint"), first
         family = classes.select("c", "g", *MARKS, F.size("prefix").alias("size"), *[F.expr(f"element_at(prefix, cast(ceil(size(prefix) * {e} / 8) AS int))").alias(f"q{e}") for e in EIGHTHS]).join(to_group, "c", "left").join(to_centre, "g", "left")
-        label = F.when(F.col("mate") | (F.col("c") == F.col("g")), F.coalesce("centre", "g")).otherwise(F.col("c"))
+        if led:
+            family = family.join(led[1].groupBy(F.col("a").alias("c")).agg(F.min("b").alias("leader")), "c", "left")
+            leader, tried, found = F.col("leader"), first.unionByName(led[0]), found.unionByName(led[1])
+        label = F.when(F.col("mate") | (F.col("c") == F.col("g")), F.coalesce("centre", "g")).otherwise(F.coalesce(leader, "c"))
         family = self.kept(family.select("c", "g", *MARKS, "size", *[f"q{e}" for e in EIGHTHS], label.alias("family")), "family")
 
-        rows = shared.select("tok", "g", "n", "pos", "prev").join(family, "g")
+        own = classes.where("c = g").join(apart.select("g").distinct(), "g", "left_semi").join(shared.where("pos = 0"), "g", "left_anti")
+        own = own.select(F.element_at("prefix", 1).alias("tok"), "g", "n", F.lit(0).alias("pos"), F.lit(None).cast("bigint").alias("prev"))
+        rows = shared.select("tok", "g", "n", "pos", "prev").unionByName(own).join(family, "g")
         heads = rows.groupBy("tok", "family").agg(F.count("*").alias("m")).groupBy("tok").agg(F.count("*").alias("k"), F.max(F.struct("m", "family")).alias("x"))
         rows = self.kept(rows.join(heads.where("k > 1").select("tok", F.col("x.family").alias("head")), "tok"), "open")
         low, high = (rows.select("tok", *[F.col(c).alias(f"{c}{i}") for c in ("c", "n", "pos", "prev", "family", "size", *[f"q{e}" for e in EIGHTHS], *MARKS)], *(["head"] if i == 1 else [])) for i in (1, 2))
@@ -224,7 +248,7 @@ class Join:
             .where(self.fits(F.col("n1"), F.col("n2"))).where(room >= need).where(common + beyond >= need).where(F.when(F.col("n1") == F.col("n2"), F.least("pos1", "pos2")).otherwise(pos) < short)
             .select(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b")).distinct()
         )
-        tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         rest = self.kept(pairs.join(tried, ["a", "b"], "left_anti"), "rest")
         return found.unionByName(self.verified(rest, classes, "more"))
 

@@ -186,6 +186,25 @@ def test_components(spark, docs, k, percent):
     assert jaccard_join.components(docs, k, percent).count() == len(rows())
 
 
+@pytest.mark.parametrize("members,outsider", [(2, False), (2, True), (20, False)])
+def test_components_within_a_group(spark, members, outsider):
+    # Documents 1.. have size and prefix (the words p and q) in common; 1 links with none of the others, which link with each other.
+    first = [f"x{i}" for i in range(4)]
+    others = [["y0", "y1", "y2", f"z{i}"] for i in range(members)]
+    body = [(i, " ".join([*(f"p{j}" for j in range(5)), "q", *tail])) for i, tail in enumerate([first, *others], 1)]
+    # These make x, y and z the most frequent words and link with nothing.
+    often = sorted({*first, *sum(others, [])})
+    body += [(100 + i, " ".join([*often, *(f"f{i}_{j}" for j in range(100))])) for i in range(40)]
+    # The last word of the prefix is in another group too; the first is not.
+    body += [(200 + i, " ".join(["q", *(f"o{i}_{j}" for j in range(9))])) for i in range(3 if outsider else 0)]
+    df = spark.createDataFrame(body, "doc_id bigint, text string")
+    by_hand = components_by_hand(body, 1, 50)
+    assert by_hand[(1, 10, 1)] == 1 and by_hand[(3, 10, 2)] == 1
+    join = jaccard_join.Join(df, 1, 50)
+    assert join.classes(join.sets()).where(f"c <= {members + 1} AND g = 1").count() == members + 1
+    assert got(jaccard_join.components(df, 1, 50), "doc_id", "n_shingles", "component_id") == by_hand
+
+
 def test_components_of_nothing(empty):
     assert jaccard_join.components(empty, 3, 90).count() == 0
 
