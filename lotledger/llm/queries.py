@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lotledger.llm import bpe, chat, decontaminate, fingerprint, jaccard_join, secret_scan, sharding, suffix_dedup, toxicity, warc
+from lotledger.llm import bpe, chat, decontaminate, fingerprint, jaccard_join, secret_scan, sharding, suffix_dedup, toxicity, vector_code, warc
 from lotledger.llm.arrays import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +147,32 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_fingerprints")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compared(read(spark, sf_dir, "documents"))
+
+
+def _sql_op11(rounds: int = 6) -> str:
+    """Component rows; a round is three tables: entries, distances, and the nearest entry per part."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+    d{r} AS MATERIALIZED (SELECT vec_id, q.part, entry, sum((z - c) * (z - c)) AS d FROM q JOIN b{r} AS b ON b.part = q.part AND b.pos = q.pos GROUP BY ALL),
+    a{r} AS MATERIALIZED (SELECT vec_id, part, entry, d FROM d{r} QUALIFY row_number() OVER (PARTITION BY vec_id, part ORDER BY d, entry) = 1)""")
+        if r < rounds:
+            steps.append(f"""
+    m{r} AS MATERIALIZED (SELECT q.part, entry, pos, CAST(sum(z) AS BIGINT) AS s, count(*) AS n FROM q JOIN a{r} AS a ON a.vec_id = q.vec_id AND a.part = q.part GROUP BY ALL),
+    b{r + 1} AS MATERIALIZED (SELECT b.part, b.entry, b.pos, CASE WHEN n IS NULL THEN c ELSE (s - ((s % n) + n) % n) // n END AS c
+          FROM b{r} AS b LEFT JOIN m{r} AS m ON m.part = b.part AND m.entry = b.entry AND m.pos = b.pos)""")
+    return f"""
+    WITH v AS (SELECT vec_id, label, unnest(embedding) AS x, unnest(range(len(embedding))) AS i FROM embeddings WHERE embedding IS NOT NULL),
+    k AS MATERIALIZED (SELECT vec_id, label FROM v GROUP BY ALL HAVING bool_and(coalesce(isfinite(x), false))),
+    q AS MATERIALIZED (SELECT vec_id, CAST(i // 8 AS INTEGER) AS part, CAST(i % 8 AS INTEGER) AS pos, CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT) AS z FROM v JOIN k USING (vec_id)),
+    b0 AS MATERIALIZED (SELECT part, entry, pos, z AS c FROM q JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM k) USING (vec_id) WHERE entry < 16),{",".join(steps)},
+    e AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+           (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM b{rounds}) AS codebooks_sha256
+    FROM e JOIN k USING (vec_id)
+    """
+
+
+@query("op11_vector_codes", _sql_op11())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_code.encode(read(spark, sf_dir, "embeddings"))
