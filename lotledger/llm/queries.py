@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lotledger.llm import bpe, chat, decontaminate, fingerprint, jaccard_join, secret_scan, sharding, suffix_dedup, toxicity, vector_code, warc
+from lotledger.llm import bpe, chat, decontaminate, fingerprint, jaccard_join, ranked_search, secret_scan, sharding, suffix_dedup, toxicity, vector_code, warc
 from lotledger.llm.arrays import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,3 +176,26 @@ def _sql_op11(rounds: int = 6) -> str:
 @query("op11_vector_codes", _sql_op11())
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_code.encode(read(spark, sf_dir, "embeddings"))
+
+
+_TERMS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op12_ranked_search",
+    f"""
+    WITH t AS (SELECT doc_id, unnest({_TERMS.format("text")}) AS t FROM documents),
+    f AS MATERIALIZED (SELECT doc_id, t, count(*) AS tf FROM t GROUP BY ALL),
+    n AS MATERIALIZED (SELECT doc_id, sum(tf) AS n FROM f GROUP BY doc_id),
+    c AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM n),
+    q AS (SELECT DISTINCT item_id, unnest({_TERMS.format("text")}) AS t FROM benchmark),
+    w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+          FROM f, c WHERE t IN (SELECT t FROM q) GROUP BY t),
+    s AS (SELECT item_id, f.doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * CAST(n AS BIGINT) * n_docs) // n_terms))))) AS BIGINT) AS score
+          FROM q JOIN w USING (t) JOIN f USING (t) JOIN n ON n.doc_id = f.doc_id, c GROUP BY ALL),
+    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
