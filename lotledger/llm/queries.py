@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lotledger.llm import bpe, chat, decontaminate, fingerprint, jaccard_join, ranked_search, secret_scan, sharding, suffix_dedup, toxicity, vector_code, warc
+from lotledger.llm import bpe, chat, decontaminate, fingerprint, jaccard_join, ranked_search, recompression, secret_scan, sharding, suffix_dedup, toxicity, vector_code, warc
 from lotledger.llm.arrays import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -199,3 +199,21 @@ _TERMS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcde
 )
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query(
+    "op13_recompression",
+    r"""
+    WITH w AS MATERIALIZED (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+    c AS MATERIALIZED (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM w WHERE len(w) >= 13)),
+    m AS (SELECT s, min(doc_id) AS least FROM c GROUP BY s HAVING count(*) > 1),
+    h AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS k FROM c JOIN m USING (s) WHERE doc_id > least),
+    u AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS k FROM w),
+    r AS (SELECT u.doc_id, count(h.k) AS n_removed, string_agg(x, ' ' ORDER BY u.k) FILTER (WHERE h.k IS NULL) AS kept
+          FROM u LEFT JOIN h ON h.doc_id = u.doc_id AND h.k = u.k GROUP BY u.doc_id)
+    SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM w LEFT JOIN r ON r.doc_id = w.doc_id
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.dedup(read(spark, sf_dir, "documents"))
