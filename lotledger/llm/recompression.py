@@ -15,7 +15,7 @@ from lotledger.session import scratch_dir
 #: Words of a window.
 WINDOW = 13
 #: Levels at which windows look for a mark; levels that a task makes before names are compared; levels of a Spark round.
-MARKS, BASE, STEP = 4, 11, 4
+MARKS, BASE, STEP = 2, 11, 6
 #: Bits of the filter of repeated marks; its size doesn't follow the data.
 FILTER_BITS = 1 << 24
 
@@ -73,15 +73,15 @@ class Parsed:
         self.a[place], self.b[place] = one, two
 
     def levels(self) -> Iterator[tuple]:
-        """Per level: symbol starts, names, fences, and the places left and right that were looked at to know each start, with a name of what was seen there."""
+        """Per level: symbol starts, names, fences, and the places left and right that were looked at to know each start, with the digest of the words between."""
         a, b, start, fence = self.a, self.b, np.arange(len(self.a)), self.fence
         left, right = start, start
         for level in range(1, max(MARKS, BASE) + 1):
             apart = fence | np.concatenate([[True], fence[:-1]])
             head, na, nb = shrink(a, b, apart, level)
             before, after = np.maximum(head - 1, 0), np.minimum(head + 1, len(a) - 1)
-            seen = mix(a[before] * np.uint64(0xD1342543DE82EF95) + a[head] * np.uint64(0x2545F4914F6CDD1D) + np.uint64(level)) if level <= MARKS else None
             left, right = left[before], right[after]
+            seen = digests(self.a, left, right) if level <= MARKS else None
             a, b, start, fence = na, nb, start[head], fence[head]
             yield start, a, b, fence, left, right, seen
 
@@ -89,7 +89,7 @@ class Parsed:
         """Marks as (row, name, first window); a mark serves the windows up to the row's next mark.
 
         A window takes the highest level of which it has a symbol boundary with all that
-        made it one, and of these the boundary whose surroundings have the least name.
+        made it one. Of several it takes the one with the most words around it, then that with the least digest.
         That depends on the window's words only, so equal windows have equal marks. Without
         any (as in a long run of one word) its mark is its own digest.
         """
@@ -100,6 +100,7 @@ class Parsed:
         todo = np.arange(len(first))
         for start, _, _, _, left, right, seen in reversed(levels[:MARKS]):
             s = first[todo]
+            order = (np.maximum(63 - (right - left), 0).astype(np.uint64) << np.uint64(58)) | (seen >> np.uint64(6))
             lo, hi = np.searchsorted(left, s, "left"), np.searchsorted(right, s + self.window, "right")
             some = hi > lo
             mine, lo, hi = todo[some], lo[some], hi[some]
@@ -107,7 +108,7 @@ class Parsed:
             for k in range(1, int((hi - lo).max(initial=1))):
                 nearer = np.flatnonzero(lo + k < hi)
                 other = lo[nearer] + k
-                better = seen[other] < seen[best[nearer]]
+                better = order[other] < order[best[nearer]]
                 best[nearer[better]] = other[better]
             name[mine], at[mine] = seen[best], start[best]
             todo = todo[~some]
@@ -154,6 +155,13 @@ class Dedup:
         df.write.parquet(f"{self.folder}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
+    def drop(self, *names: str) -> None:
+        """Deletes tables that nothing reads any more."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        files = path(self.folder).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        for name in names:
+            files.delete(path(f"{self.folder}/{name}"), True)
+
     def scanned(self) -> DataFrame:
         """Per row `n_words`, `sha` of its words, its marks (`mark`, `lo`) and its symbols (`a`, `b`, `at`, `until`)."""
         window = self.window
@@ -181,9 +189,8 @@ class Dedup:
         """
         own = scanned.where(F.col("n_words") >= self.window).join(texts, "sha").where(F.col("doc") == F.col("least"))
         number = F.transform("a", lambda x, i: i)
-        strings, found, turn = own.select("doc", "row", number.alias("k"), "a", "b", "at", "until"), [], 0
+        strings, found, turn = self.kept(own.select("doc", "row", number.alias("k"), "a", "b", "at", "until"), "strings0"), [], 0
         while True:
-            strings = self.kept(strings, f"strings{turn}")
             each = strings.select("doc", "row", F.inline(F.arrays_zip("k", "a", "b", "at", "until")))
             # Written, so that both sides of the join below come from a shuffle of their own and a hot name can be split.
             shared = self.kept(each.groupBy("a", "b").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("a", "b", "least"), f"names{turn}")
@@ -192,12 +199,17 @@ class Dedup:
             found.append(hits.where((F.col("doc") > F.col("least")) & long).select("doc", "row", F.col("at").alias("start"), F.col("until").alias("end")))
             turn += 1
             strings = self.shrunk(hits.groupBy("doc", "row").agg(F.array_sort(F.collect_set(F.struct("k", "a", "b", "at", "until"))).alias("s")).where(F.size("s") > 1), BASE + (turn - 1) * STEP)
+            again = f"strings{turn}"
+            strings = self.kept(strings, again)
+            self.drop(f"strings{turn - 1}", f"names{turn - 1}")
             if strings.isEmpty():
                 break
         out = found[0]
         for f in found[1:]:
             out = out.unionByName(f)
-        return self.kept(out, "settled")
+        out = self.kept(out, "settled")
+        self.drop(again, *(f"hits{i}" for i in range(turn)))
+        return out
 
     def shrunk(self, strings: DataFrame, level: int) -> DataFrame:
         """Strings of shared symbols, STEP levels on; symbols that neither changed nor have a neighbour are done with."""
@@ -228,9 +240,11 @@ class Dedup:
         return strings.mapInArrow(run, "doc bigint, row bigint, k array<int>, a array<bigint>, b array<bigint>, at array<int>, until array<int>")
 
     def candidates(self, scanned: DataFrame, texts: DataFrame, settled: DataFrame) -> DataFrame:
-        """Per row the windows (`lo`, `hi` of each run) that aren't settled and whose mark occurs elsewhere."""
+        """Per row the windows (`lo`, `hi` of each run) that aren't settled and whose mark occurs in another text too."""
         window = self.window
-        often = self.kept(scanned.select(F.explode("mark").alias("mark")).groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark"), "often")
+        text = F.conv(F.substring("sha", 1, 15), 16, 10).cast("bigint").alias("text")
+        marks = scanned.select(F.explode("mark").alias("mark"), text).groupBy("mark").agg(F.min("text").alias("one"), F.max("text").alias("other"))
+        often = self.kept(marks.where("one <> other").select("mark"), "often")
         place = F.col("mark").bitwiseAND(FILTER_BITS - 1)
         told = often.groupBy(F.shiftright(place, 5).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(mark & {FILTER_BITS - 1} & 31 AS int))")).alias("bits")).toArrow()
         table = np.zeros(FILTER_BITS >> 5, np.int64)
@@ -279,7 +293,9 @@ class Dedup:
                 lists = _lists(row, len(out), *(np.concatenate([np.empty(0, np.int64), *(x[i] for x in out)]) for i in range(2)))
                 yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("row"), *lists], ["doc", "row", "lo", "hi"]).filter(pa.array(size > 0))
 
-        return self.kept(wanted.join(done, ["doc", "row"], "left").select("doc", "row", "want", "done").mapInArrow(rest, "doc bigint, row bigint, lo array<int>, hi array<int>"), "candidates")
+        out = self.kept(wanted.join(done, ["doc", "row"], "left").select("doc", "row", "want", "done").mapInArrow(rest, "doc bigint, row bigint, lo array<int>, hi array<int>"), "candidates")
+        self.drop("wanted", "often")
+        return out
 
     def verified(self, candidates: DataFrame) -> DataFrame:
         """Spans (`doc`, `row`, `start`, `end`) of windows that a document with a smaller id has word by word (128 bits of digest)."""
@@ -307,7 +323,9 @@ class Dedup:
         text = self.texts(candidates)
         windows = self.kept(text.select("doc", "row", "text", "lo", "hi").mapInArrow(run, "w1 bigint, w2 bigint, doc bigint, row bigint, start int, end int"), "windows")
         first = self.kept(windows.groupBy("w1", "w2").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("w1", "w2", "least"), "first")
-        return self.kept(windows.join(first, ["w1", "w2"]).where(F.col("doc") > F.col("least")).select("doc", "row", "start", "end"), "verified")
+        out = self.kept(windows.join(first, ["w1", "w2"]).where(F.col("doc") > F.col("least")).select("doc", "row", "start", "end"), "verified")
+        self.drop("windows", "first", "candidates")
+        return out
 
     def texts(self, wanted: DataFrame) -> DataFrame:
         """The written rows of `wanted` with their texts; those of no other row enter the shuffle, as far as a filter tells."""
