@@ -16,8 +16,8 @@ from lotledger.session import scratch_dir
 WINDOW = 13
 #: Levels at which windows look for a mark; levels that a task makes before names are compared; levels of a Spark round.
 MARKS, BASE, STEP = 2, 11, 6
-#: Bits of the filter of repeated marks; its size doesn't follow the data.
-FILTER_BITS = 1 << 24
+#: Bits of the filters that keep most rows without a partner out of a join; their size doesn't follow the data, and the joins are exact without them.
+FILTER_BITS = 1 << 25
 
 _INNER = np.ones(256, bool)
 _INNER[[0x20, *range(0x09, 0x0E)]] = False
@@ -142,6 +142,28 @@ def spans_of(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return np.column_stack([lo[first], hi[np.append(np.flatnonzero(first)[1:] - 1, len(lo) - 1)]])
 
 
+class Filter:
+    """Which values a long column of a written table may have: one bit for each remainder by FILTER_BITS."""
+
+    def __init__(self, table: DataFrame, key: str):
+        place = F.col(key).bitwiseAND(FILTER_BITS - 1)
+        told = table.groupBy(F.shiftright(place, 5).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(`{key}` & {FILTER_BITS - 1} & 31 AS int))")).alias("bits")).toArrow()
+        bits = np.zeros(FILTER_BITS >> 5, np.uint32)
+        bits[np.asarray(told.column("word"))] = np.asarray(told.column("bits"))
+        self.key, self.bits = key, table.sparkSession.sparkContext.broadcast(bits)
+
+    def may(self, values: np.ndarray) -> np.ndarray:
+        at = values & (FILTER_BITS - 1)
+        return self.bits.value[at >> 5] >> (at & 31) & 1 == 1
+
+    def of(self, rows: DataFrame) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield b.filter(pa.array(self.may(np.asarray(b.column(self.key)))))
+
+        return rows.mapInArrow(run, rows.schema)
+
+
 class Dedup:
     """The tables of one run, each written once to the shared scratch folder."""
 
@@ -180,21 +202,20 @@ class Dedup:
         kind = self.docs.schema["doc_id"].dataType.simpleString()
         return self.kept(self.docs.mapInArrow(run, f"doc_id {kind}, doc bigint, row bigint, n_words bigint, sha string, mark array<bigint>, lo array<int>, a array<bigint>, b array<bigint>, at array<int>, until array<int>"), "scanned")
 
-    def settled(self, scanned: DataFrame, texts: DataFrame) -> DataFrame:
+    def settled(self, scanned: DataFrame) -> DataFrame:
         """Spans (`doc`, `row`, `start`, `end`) whose words a document with a smaller id has in one piece, from rounds of names.
 
         A round finds the names that more than one document has, with the least of these. Only such
         names go on: a symbol that is no one else's stays between them as a gap, at which longer symbols end. Then
         what lies side by side is shrunk by STEP levels. The rounds end when nothing is left to join.
         """
-        own = scanned.where(F.col("n_words") >= self.window).join(texts, "sha").where(F.col("doc") == F.col("least"))
-        number = F.transform("a", lambda x, i: i)
-        strings, found, turn = self.kept(own.select("doc", "row", number.alias("k"), "a", "b", "at", "until"), "strings0"), [], 0
+        number = F.sequence(F.lit(0), F.size("a") - 1)
+        strings, found, turn = scanned.where(F.size("a") > 0).select("doc", "row", number.alias("k"), "a", "b", "at", "until"), [], 0
         while True:
             each = strings.select("doc", "row", F.inline(F.arrays_zip("k", "a", "b", "at", "until")))
             # Written, so that both sides of the join below come from a shuffle of their own and a hot name can be split.
             shared = self.kept(each.groupBy("a", "b").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("a", "b", "least"), f"names{turn}")
-            hits = self.kept(each.join(shared, ["a", "b"]), f"hits{turn}")
+            hits = self.kept(Filter(shared, "a").of(each).join(shared, ["a", "b"]), f"hits{turn}")
             long = F.col("until") - F.col("at") >= self.window
             found.append(hits.where((F.col("doc") > F.col("least")) & long).select("doc", "row", F.col("at").alias("start"), F.col("until").alias("end")))
             turn += 1
@@ -245,15 +266,10 @@ class Dedup:
         text = F.conv(F.substring("sha", 1, 15), 16, 10).cast("bigint").alias("text")
         marks = scanned.select(F.explode("mark").alias("mark"), text).groupBy("mark").agg(F.min("text").alias("one"), F.max("text").alias("other"))
         often = self.kept(marks.where("one <> other").select("mark"), "often")
-        place = F.col("mark").bitwiseAND(FILTER_BITS - 1)
-        told = often.groupBy(F.shiftright(place, 5).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(mark & {FILTER_BITS - 1} & 31 AS int))")).alias("bits")).toArrow()
-        table = np.zeros(FILTER_BITS >> 5, np.int64)
-        table[np.asarray(told.column("word"))] = np.asarray(told.column("bits"))
-        filled = self.spark.sparkContext.broadcast(table)
+        filled = Filter(often, "mark")
 
         def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             """Marks that may occur more than once, with their windows."""
-            bits = filled.value
             for b in batches:
                 length = np.asarray(b.column("mark").value_lengths())
                 mark, lo = (np.asarray(b.column(c).flatten()) for c in ("mark", "lo"))
@@ -261,8 +277,7 @@ class Dedup:
                 hi = np.append(lo[1:], 0) - 1
                 some = length > 0
                 hi[np.cumsum(length)[some] - 1] = (np.asarray(b.column("n_words")) - window)[some]
-                at = mark & (FILTER_BITS - 1)
-                hit = bits[at >> 5] >> (at & 31) & 1 == 1
+                hit = filled.may(mark)
                 of = pa.array(row[hit])
                 yield pa.RecordBatch.from_arrays([b.column("doc").take(of), b.column("row").take(of), pa.array(mark[hit]), pa.array(lo[hit]), pa.array(hi[hit].astype(np.int32))], ["doc", "row", "mark", "lo", "hi"])
 
@@ -323,7 +338,7 @@ class Dedup:
         text = self.texts(candidates)
         windows = self.kept(text.select("doc", "row", "text", "lo", "hi").mapInArrow(run, "w1 bigint, w2 bigint, doc bigint, row bigint, start int, end int"), "windows")
         first = self.kept(windows.groupBy("w1", "w2").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("w1", "w2", "least"), "first")
-        out = self.kept(windows.join(first, ["w1", "w2"]).where(F.col("doc") > F.col("least")).select("doc", "row", "start", "end"), "verified")
+        out = self.kept(Filter(first, "w1").of(windows).join(first, ["w1", "w2"]).where(F.col("doc") > F.col("least")).select("doc", "row", "start", "end"), "verified")
         self.drop("windows", "first", "candidates")
         return out
 
@@ -343,7 +358,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
     run = Dedup(docs, doc_id, text, window)
     scanned = run.scanned()
     texts = run.kept(scanned.where(F.col("n_words") >= window).groupBy("sha").agg(F.min("doc").alias("least")), "texts")
-    settled = run.settled(scanned, texts)
+    settled = run.settled(scanned)
     spans = settled.unionByName(run.verified(run.candidates(scanned, texts, settled)))
     some = run.kept(spans.groupBy("doc", "row").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "spans")
 
