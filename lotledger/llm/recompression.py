@@ -150,10 +150,10 @@ class Filter:
         told = table.groupBy(F.shiftright(place, 5).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(`{key}` & {FILTER_BITS - 1} & 31 AS int))")).alias("bits")).toArrow()
         bits = np.zeros(FILTER_BITS >> 5, np.uint32)
         bits[np.asarray(told.column("word"))] = np.asarray(told.column("bits"))
-        self.key, self.bits = key, table.sparkSession.sparkContext.broadcast(bits)
+        self.key, self.size, self.bits = key, FILTER_BITS, table.sparkSession.sparkContext.broadcast(bits)
 
     def may(self, values: np.ndarray) -> np.ndarray:
-        at = values & (FILTER_BITS - 1)
+        at = values & (self.size - 1)
         return self.bits.value[at >> 5] >> (at & 31) & 1 == 1
 
     def of(self, rows: DataFrame) -> DataFrame:
@@ -357,9 +357,13 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
     """
     run = Dedup(docs, doc_id, text, window)
     scanned = run.scanned()
-    texts = run.kept(scanned.where(F.col("n_words") >= window).groupBy("sha").agg(F.min("doc").alias("least")), "texts")
+    # The narrow columns apart, so that the marks can go before texts move.
+    every = run.kept(scanned.select("doc_id", "doc", "row", "n_words", "sha"), "rows")
+    texts = run.kept(every.where(F.col("n_words") >= window).groupBy("sha").agg(F.min("doc").alias("least")), "texts")
     settled = run.settled(scanned)
-    spans = settled.unionByName(run.verified(run.candidates(scanned, texts, settled)))
+    candidates = run.candidates(scanned, texts, settled)
+    run.drop("scanned")
+    spans = settled.unionByName(run.verified(candidates))
     some = run.kept(spans.groupBy("doc", "row").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,7 +380,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
             yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("row"), pa.array(gone, pa.int64()), pa.array(sha, pa.string())], ["doc", "row", "gone", "kept"])
 
     partly = run.texts(some).select("doc", "row", "text", "spans").mapInArrow(cut, "doc bigint, row bigint, gone bigint, kept string").dropDuplicates(["doc", "row"])
-    rows = scanned.select("doc_id", "doc", "row", "n_words", "sha").join(texts, "sha", "left").join(partly, ["doc", "row"], "left")
+    rows = every.join(texts, "sha", "left").join(partly, ["doc", "row"], "left")
     copied = F.coalesce(F.col("doc") > F.col("least"), F.lit(False))
     return rows.select(
         "doc_id",
