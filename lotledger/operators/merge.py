@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lotledger.functions.predicates import is_gone, is_valid
 from lotledger.functions.text import null_if_empty, stamp
+from lotledger.operators.dedupe import first_per_key
 from lotledger.operators.joins import KEY, mark_seen
 
 # Mandatory columns, and the label of each outcome.
@@ -123,15 +124,15 @@ def merge_run(
 ) -> DataFrame:
     """Stored rows, touched where the batch has their link, and inserted rows.
 
-    `batch` has one row per link (see `dedupe_run`) and the table's columns. Stored
-    rows meet only the links and prices of the batch, which Spark broadcasts while
+    `batch` has the table's columns; of rows that repeat a link the lowest price counts,
+    as in `update_price`, so stored rows never multiply. Stored rows meet only the links and prices of the batch, which Spark broadcasts while
     they are small, so that a small batch does not shuffle the table. Rows of
     `batch` without a price neither touch nor insert. Where `inserted` is given,
     `batch` is the rows that touch; those of `inserted` were judged before and come
     in whatever their price.
     """
     new = batch.where(F.col(price).isNotNull())
-    hits = new.select(key, F.col(price).alias("_price"))
+    hits = new.groupBy(key).agg(F.min(price).alias("_price"))
     matched = F.col("_price").isNotNull()
     changed = matched & ~F.col(price).eqNullSafe(F.col("_price")) & F.lit(change_price)
     values = {
@@ -141,7 +142,7 @@ def merge_run(
         price: F.when(changed, F.col("_price")).otherwise(F.col(price)),
     }
     stored = table.join(hits, key, "left").select(*[values.get(c, F.col(c)).alias(c) for c in table.columns])
-    fresh = stamp_run(inserted if inserted is not None else new.join(table.select(key), key, "left_anti"), run)
+    fresh = stamp_run(inserted if inserted is not None else first_per_key(new.join(table.select(key), key, "left_anti"), [key], [price, *(c for c in new.columns if c in table.columns and c not in (key, price))]), run)
     absent = F.lit(None)
     return stored.unionByName(
         fresh.select(*[(F.col(f.name) if f.name in fresh.columns else absent).cast(f.dataType).alias(f.name) for f in table.schema])

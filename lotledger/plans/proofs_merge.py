@@ -13,6 +13,7 @@ from lotledger.plans.registry import query, read, text, whole
 from lotledger.plans.site_run import pages_added, run_site
 from lotledger.session import scratch_dir
 from lotledger.sources import readers, writers
+from lotledger.sources.store import Store
 
 RUN = M.Run("S", 2, "2018-03-09")
 _RUN_DATE = "2018-03-09"
@@ -213,8 +214,7 @@ def m2_insert(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(M.insert_new(_batch(spark, sf).drop("o_orderpriority"), _stored(spark, sf), RUN))
 
 
-@query(
-    "m3_merge",
+_SQL_MERGE = (
     _SQL
     + f""",
     lines AS (
@@ -228,16 +228,80 @@ def m2_insert(spark: SparkSession, sf: str) -> DataFrame:
     SELECT origin_link, s.price, CAST(2 AS BIGINT), synced, '{_RUN_DATE}' FROM stored s JOIN first USING (origin_link)
     UNION ALL
     SELECT origin_link, price, CAST(2 AS BIGINT), CAST(0 AS INTEGER), '{_RUN_DATE}' FROM first ANTI JOIN stored USING (origin_link)
-    """,
+    """
 )
+
+
+@query("m3_merge", _SQL_MERGE)
 def m3_merge(spark: SparkSession, sf: str) -> DataFrame:
+    return _shown(M.merge_run(_stored(spark, sf), _line_batch(spark, sf), RUN))
+
+
+def _line_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """The first order line of every order that isn't finished, as a row per link."""
     wanted = read(spark, sf, "orders").where("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
     lines = read(spark, sf, "lineitem").join(wanted, "l_orderkey", "left_semi")
     captures = lines.select(
         _link("l_orderkey"), whole("l_extendedprice").alias("sales_price_incl_vat"), "l_shipdate", "l_linenumber", "l_extendedprice"
     )
     batch = dedupe_run(captures, "origin_link", ["l_shipdate", "l_linenumber", "l_extendedprice"])
-    return _shown(M.merge_run(_stored(spark, sf), batch.select("origin_link", "sales_price_incl_vat"), RUN))
+    return batch.select("origin_link", "sales_price_incl_vat")
+
+
+def _store(spark: SparkSession, sf: str) -> Store:
+    """The stored listings as version 1 of a bucketed table."""
+    stored = _stored(spark, sf)
+    store = Store(spark, scratch_dir(spark, "store"), stored.schema)
+    store.publish(stored, M.Run("S", 1, "2018-03-02"), ["colour"])
+    return store
+
+
+@query("m3_store", _SQL_MERGE)
+def m3_store(spark: SparkSession, sf: str) -> DataFrame:
+    """The same merge as the next version of a bucketed table; the stored rows aren't shuffled."""
+    store = _store(spark, sf)
+    store.merge(_line_batch(spark, sf), RUN)
+    return _shown(store.rows())
+
+
+@query(
+    "m4_switch",
+    _SQL
+    + f""",
+    new AS (
+        SELECT origin_link, s.price, CAST(CASE WHEN b.price IS NULL THEN it ELSE 2 END AS BIGINT) AS it, synced, CASE WHEN b.price IS NULL THEN d ELSE '{_RUN_DATE}' END AS d
+        FROM stored s LEFT JOIN batch b USING (origin_link)
+        UNION ALL
+        SELECT origin_link, price, CAST(2 AS BIGINT), CAST(0 AS INTEGER), '{_RUN_DATE}' FROM batch ANTI JOIN stored USING (origin_link) WHERE price IS NOT NULL)
+    SELECT 'before' AS seen_by, CAST(1 AS BIGINT) AS last_run, 'colour' AS bad_fields, origin_link, price AS sales_price_incl_vat, it AS iteration_id, synced AS is_synced, d AS parse_date FROM stored
+    UNION ALL SELECT 'dead', CAST(1 AS BIGINT), 'colour', * FROM stored
+    UNION ALL SELECT 'after', CAST(2 AS BIGINT), 'make', * FROM new
+    """,
+)
+def m4_switch(spark: SparkSession, sf: str) -> DataFrame:
+    """What readers see before a run, after one that died once its rows were written, and after one that was committed."""
+    store = _store(spark, sf)
+    batch = _batch(spark, sf).drop("o_orderpriority")
+
+    def seen(by: str) -> DataFrame:
+        m = store.manifest()
+        told = {"seen_by": F.lit(by), "last_run": F.lit(m.iteration_id).cast("bigint"), "bad_fields": F.lit(",".join(m.bad_fields))}
+        return store.rows(m).withColumns(told)
+
+    before = seen("before")
+    store._write_base(M.merge_run(store.rows(), batch, RUN), store.manifest().buckets)
+    dead = seen("dead")
+    store.merge(batch, RUN, ["make"])
+    return _shown(before.unionByName(dead).unionByName(seen("after")))
+
+
+@query("j1_seen_store", _SQL + "SELECT DISTINCT origin_link FROM batch SEMI JOIN stored USING (origin_link)")
+def j1_seen_store(spark: SparkSession, sf: str) -> DataFrame:
+    """The batch's links that a bucketed table has; only buckets of the batch are read."""
+    store = _store(spark, sf)
+    batch = _batch(spark, sf).select("origin_link").distinct()
+    return batch.join(store.keys_of(batch, store.manifest()), "origin_link", "left_semi")
+
 
 
 _SQL_PRICE = """

@@ -9,8 +9,9 @@ from lotledger.plans.registry import query, read, text, whole
 from lotledger.schema import LISTING
 from lotledger.session import scratch_dir
 from lotledger.sources.readers import captures_stream, table_stream
+from lotledger.sources.store import Store
 from lotledger.streaming.alerts import alert_stream, alerts
-from lotledger.streaming.ingest import current, ingest
+from lotledger.streaming.ingest import current, ingest, ingest_batch
 from lotledger.streaming.seen import seen_once
 
 _RUNS = 4
@@ -21,27 +22,36 @@ def _run_date(run: int) -> str:
     return f"2024-02-0{run}"
 
 
-@query(
-    "t1_ingest",
-    """
+_SQL_INGEST = """
     WITH e AS (SELECT *, least(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 8 + 1, 4) AS run FROM events),
          f AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM e),
          m AS (SELECT user_id, max(run) AS run FROM e GROUP BY 1)
     SELECT '/u/' || user_id AS origin_link, CAST(floor(value) AS BIGINT) AS sales_price_incl_vat, run AS iteration_id,
            CAST(0 AS INTEGER) AS is_synced, '2024-02-0' || run AS parse_date
     FROM f JOIN m USING (user_id) WHERE r = 1
-    """,
-)
-def t1_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Captures arrive week by week; each run drains what came and closes."""
+"""
+
+
+def _weeks(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as captures, with the run that drains them."""
     days = F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
-    events = read(spark, sf, "events").select(
+    return read(spark, sf, "events").select(
         text("/u/", F.col("user_id")).alias("origin_link"),
         whole("value").alias("sales_price_incl_vat"),
         "ts",
         "event_id",
         F.least(F.floor(days / 8) + 1, F.lit(_RUNS)).alias("run"),
     )
+
+
+def _listings(now: DataFrame) -> DataFrame:
+    return now.select("origin_link", "sales_price_incl_vat", "iteration_id", "is_synced", F.date_format("parse_date", "yyyy-MM-dd").alias("parse_date"))
+
+
+@query("t1_ingest", _SQL_INGEST)
+def t1_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Captures arrive week by week; each run drains what came."""
+    events = _weeks(spark, sf)
     incoming, table, checkpoint = (scratch_dir(spark, n) for n in ("incoming", "listings", "checkpoint"))
     rows = events.drop("run")
     for run in range(1, _RUNS + 1):
@@ -49,14 +59,50 @@ def t1_ingest(spark: SparkSession, sf: str) -> DataFrame:
         stream = captures_stream(spark, incoming, rows.schema)
         ingest(stream, table, checkpoint, Run("S", run, _run_date(run)), order=["ts", "event_id"]).awaitTermination()
     schema = T.StructType([*rows.schema.fields, *LISTING.fields[-3:]])
-    now = current(spark, table, schema)
-    return now.select(
-        "origin_link",
-        "sales_price_incl_vat",
-        "iteration_id",
-        "is_synced",
-        F.date_format("parse_date", "yyyy-MM-dd").alias("parse_date"),
-    )
+    return _listings(current(spark, table, schema))
+
+
+@query("t1_folded", _SQL_INGEST)
+def t1_folded(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batches a run in the order of time, folded every other batch; each is sent again, before and after the fold, and each run is closed."""
+    events, table = _weeks(spark, sf), scratch_dir(spark, "listings")
+    schema = T.StructType([*events.drop("run").schema.fields, *LISTING.fields[-3:]])
+    day = F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
+    half = day - 8 * (F.col("run") - 1) >= 4
+    for number in range(1, _RUNS + 1):
+        run = Run("S", number, _run_date(number))
+        own = events.where(F.col("run") == number)
+        for batch_id, part in enumerate((own.where(~half), own.where(half))):
+            for _ in range(2):
+                ingest_batch(part.drop("run"), batch_id, table, run, ["ts", "event_id"], fold_after=2)
+        Store(spark, table, schema).close(run)
+    return _listings(current(spark, table, schema))
+
+
+@query(
+    "a1_streamed",
+    """
+    SELECT 'S' AS site_name, CAST(3 AS BIGINT) AS iteration_id,
+           CASE WHEN count(*) = 0 THEN '' ELSE concat_ws(',',
+             'make', CASE WHEN count(CASE WHEN priced AND event_type <> 'error' THEN event_type END) = 0 THEN 'model' END,
+             CASE WHEN count(CASE WHEN priced THEN 1 END) = 0 THEN 'sales_price_incl_vat' END,
+             'currency', 'body_type', 'mileage', 'fuel_consumption_comb', 'first_registration', 'colour') END AS bad_fields
+    FROM (SELECT event_type, value >= 0 AS priced FROM events)
+    """,
+)
+def a1_streamed(spark: SparkSession, sf: str) -> DataFrame:
+    """A run in three batches; its control row comes from counts that the batches left."""
+    table = scratch_dir(spark, "listings")
+    rows = read(spark, sf, "events").select(
+        text("/e/", F.col("event_id")).alias("origin_link"), whole("value").alias("sales_price_incl_vat"), "event_id",
+        F.when(F.col("event_type") != "error", F.col("event_type")).alias("model"), F.lit(None).cast("string").alias("colour"),
+    )
+    run = Run("S", 3, _run_date(3))
+    for batch_id in range(3):
+        ingest_batch(rows.where(F.col("event_id") % 3 == batch_id), batch_id, table, run, ["event_id"])
+    store = Store(spark, table, T.StructType([*rows.schema.fields, *LISTING.fields[-3:]]))
+    store.close(run)
+    return store.control("S").withColumn("bad_fields", F.array_join("bad_fields", ","))
 
 
 def _drain(spark: SparkSession, stream: DataFrame) -> DataFrame:

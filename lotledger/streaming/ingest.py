@@ -1,10 +1,9 @@
-"""Micro-batch ingest of shallow rows into a listing table.
+"""Micro-batch ingest of shallow rows into a site's stored table.
 
-The table is two append-only Parquet folders. `base` has each listing once, as
-it was inserted; `touch` has one narrow row per listing and batch that saw it
-again. A run so writes what its batch holds and never rewrites the table. Both
-are partitioned by run and batch, and a replayed batch overwrites its own
-partition only, so a lost executor or a restart changes nothing.
+A batch adds its new listings and one narrow row per listing seen again, and is
+part of the table once a manifest names it (see `sources.store`). A replayed batch is known
+by its number and changes nothing. The log is folded into the table
+every few batches, so files and rows stay bounded however long the stream runs.
 """
 
 from __future__ import annotations
@@ -18,14 +17,12 @@ from lotledger.functions.text import stamp
 from lotledger.operators.dedupe import dedupe_run, priced_first
 from lotledger.operators.joins import KEY, mark_seen
 from lotledger.operators.merge import PRICE, Run, stamp_run
+from lotledger.sources.store import Store
 
 
-def _stored_keys(spark: SparkSession, base: str, schema: T.StructType, run: Run, batch_id: int, key: str) -> DataFrame:
-    """Keys written before this batch; a leftover of the same batch does not count."""
-    parts = T.StructType([*schema.fields, T.StructField("run", T.LongType()), T.StructField("batch", T.LongType())])
-    rows = spark.read.schema(parts).parquet(base)
-    earlier = (F.col("run") < run.iteration_id) | ((F.col("run") == run.iteration_id) & (F.col("batch") < batch_id))
-    return rows.where(earlier).select(key)
+def _store(spark: SparkSession, path: str, rows: DataFrame, key: str, fold_after: int) -> Store:
+    """The store of rows like these with run columns."""
+    return Store(spark, path, stamp_run(rows, Run("", 0, "1970-01-01")).schema, key=key, fold_after=fold_after)
 
 
 def ingest_batch(
@@ -37,44 +34,40 @@ def ingest_batch(
     detail: Callable[[DataFrame], DataFrame] | None = None,
     key: str = KEY,
     price: str = PRICE,
+    fold_after: int = 16,
 ) -> None:
     """One micro-batch: dedupe, split seen and new, insert, touch.
 
     `detail` turns new shallow rows into full rows (extraction or a join); it
-    runs on new links only. Rows without a price neither touch nor insert.
+    runs on new links only. Rows without a price neither touch nor insert, but a new one
+    counts as tried.
     """
     spark = batch.sparkSession
-    base, touched = f"{path}/base", f"{path}/touch"
-    rows = dedupe_run(batch, key, priced_first(order, price)).where(F.col(price).isNotNull())
-    schema = (detail(rows) if detail else rows).schema
-    part = f"run={run.iteration_id}/batch={batch_id}"
-    # The empty folders make the first read find a table.
-    for folder in (base, touched):
-        _make(spark, folder)
-    marked = mark_seen(rows, _stored_keys(spark, base, schema, run, batch_id, key), key).persist()
+    first = dedupe_run(batch, key, priced_first(order, price))
+    store = _store(spark, path, detail(first) if detail else first, key, fold_after)
+    manifest = store.manifest()
+    if store.applied(run, batch_id, manifest):
+        return
     # A stream's session has adaptive execution off for the sake of state stores. This job
     # keeps none, and its join wants runtime sizes and skew splitting; later batches get the setting back.
     adaptive = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    rows = first.persist()
     try:
-        new = marked.where(~F.col("seen")).drop("seen")
-        full = stamp_run(detail(new) if detail else new, run)
-        full.write.mode("overwrite").parquet(f"{base}/{part}")
-        again = marked.where(F.col("seen")).select(
-            key, F.lit(run.iteration_id).cast("bigint").alias("iteration_id"), stamp(run.run_date).alias("parse_date")
-        )
-        again.write.mode("overwrite").parquet(f"{touched}/{part}")
+        marked = mark_seen(rows, store.keys_of(rows, manifest), key).persist()
+        try:
+            attempted = marked.where(~F.col("seen")).count()
+            priced = marked.where(F.col(price).isNotNull())
+            new = priced.where(~F.col("seen")).drop("seen")
+            again = priced.where("seen").select(key, F.lit(run.iteration_id).cast("bigint").alias("iteration_id"), stamp(run.run_date).alias("parse_date"))
+            store.add(stamp_run(detail(new) if detail else new, run), again, attempted, run, batch_id, manifest)
+        finally:
+            marked.unpersist()
     finally:
-        marked.unpersist()
+        rows.unpersist()
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
-def _make(spark: SparkSession, folder: str) -> None:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(folder)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(where)
-
-
 def ingest(
     stream: DataFrame,
     path: str,
@@ -84,11 +77,12 @@ def ingest(
     detail: Callable[[DataFrame], DataFrame] | None = None,
     key: str = KEY,
     price: str = PRICE,
+    fold_after: int = 16,
 ) -> StreamingQuery:
-    """Drain the stream into the table, batch by batch, and stop."""
+    """Drain the stream into the table, batch by batch, and stop. `Store.close` then ends the run."""
     return (
         stream.writeStream.foreachBatch(
-            lambda batch, batch_id: ingest_batch(batch, batch_id, path, run, order, detail, key, price)
+            lambda batch, batch_id: ingest_batch(batch, batch_id, path, run, order, detail, key, price, fold_after)
         )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -98,24 +92,4 @@ def ingest(
 
 def current(spark: SparkSession, path: str, schema: T.StructType, key: str = KEY) -> DataFrame:
     """The table as of now: each listing with its latest run metadata."""
-    meta = T.StructType(
-        [
-            T.StructField(key, schema[key].dataType),
-            T.StructField("iteration_id", T.LongType()),
-            T.StructField("parse_date", T.DateType()),
-        ]
-    )
-    base = spark.read.schema(schema).parquet(f"{path}/base")
-    latest = (
-        spark.read.schema(meta)
-        .parquet(f"{path}/touch")
-        .groupBy(key)
-        .agg(F.max(F.struct("iteration_id", "parse_date")).alias("_t"))
-    )
-    joined = base.join(latest, key, "left")
-    return joined.select(
-        *[
-            F.coalesce(F.col(f"_t.{c}"), F.col(c)).alias(c) if c in ("iteration_id", "parse_date") else F.col(c)
-            for c in schema.fieldNames()
-        ]
-    )
+    return Store(spark, path, schema, key=key).rows()

@@ -48,7 +48,7 @@ def test_replayed_batch_changes_nothing(spark):
     detail = lambda rows: rows.withColumn("make", F.lit("m"))
     for _ in range(2):
         ingest_batch(df, 0, table, run, ["at"], detail)
-    got = spark.read.parquet(f"{table}/base").collect()
+    got = current(spark, table, listing_schema(detail(df))).collect()
     assert sorted((r.origin_link, r.make) for r in got) == [("a", "m"), ("b", "m")]
 
 
