@@ -107,3 +107,19 @@ def facets(text: Column) -> Column:
     flat = F.replace(F.replace(text, F.lit("],["), F.lit(",")), F.lit('"'), F.lit(""))
     return F.filter(F.split(flat, ","), lambda _, i: i % 2 == 1)
 
+
+def script_options(html: Column, name: str) -> Column:
+    """The option list `name: … options: [[value, label], …]` of a page's scripts, as an array of arrays of text.
+
+    The list begins at its first bracket, and the JSON reader finds its end, so quotes, commas
+    and brackets inside a label are part of the label. Null without such a list, or if it is no list of lists.
+    """
+    scripts = F.array_join(F.regexp_extract_all(html, F.lit(r"(?is)<script\b[^>]*>(.*?)</script>"), 1), "\n")
+    found = F.regexp_extract(scripts, rf"\b\Q{name}\E\s*:.*\s*?.*?\boptions\s*:\s*(\[(?s:.*))", 1)
+    return F.from_json(null_if_empty(found), "array<array<string>>")
+
+
+def script_facets(html: Column, name: str) -> Column:
+    """Labels of a page's option list, in its order; an empty array without one."""
+    labels = F.transform(script_options(html, name), lambda p: F.get(p, F.lit(1)))
+    return F.coalesce(F.filter(labels, lambda x: x.isNotNull()), F.array().cast("array<string>"))

@@ -79,6 +79,23 @@ def s5_facets(spark: SparkSession, sf: str) -> DataFrame:
     return read(spark, sf, "pages").where(F.size(_nav_words()) > 0).select("page_id", F.posexplode(labels).alias("pos", "label"))
 
 
+@query(
+    "s5_script_facets",
+    f"""
+    WITH w AS (SELECT page_id, unnest({_SQL_WORDS}) AS word, generate_subscripts({_SQL_WORDS}, 1) AS i FROM pages)
+    SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, word || ', "[' || CAST(i AS VARCHAR) || ']],[ ' || word AS label FROM w
+    """,
+)
+def s5_script_facets(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels with quotes, commas and brackets, cut from the script of a page that has another list before and after."""
+    label = lambda w, i: F.concat(w, F.lit(', "['), (i + 1).cast("string"), F.lit("]],[ "), w)
+    pairs = F.transform(_nav_words(), lambda w, i: F.array(i.cast("string"), label(w, i)))
+    other = F.lit('x: {\n options: [["9","none"]], more: 1},\n')
+    script = F.concat(F.lit("<body><script>var a = [1];</script><script>\n"), other, F.lit("bodyType: { kind: 1,\n  options: "), F.to_json(pairs), F.lit(", open: [[2]]},\n"), F.replace(other, F.lit("x:"), F.lit("y:")), F.lit("</script></body>"))
+    pages = read(spark, sf, "pages").where(F.size(_nav_words()) > 0)
+    return pages.select("page_id", F.posexplode(V.script_facets(script, "bodyType")).alias("pos", "label"))
+
+
 @query(
     "s6_logs",
     """

@@ -8,9 +8,9 @@ from lotledger.operators.merge import Run
 from lotledger.plans.registry import query, read, text, whole
 from lotledger.schema import LISTING
 from lotledger.session import scratch_dir
-from lotledger.sources.readers import captures_stream, table_stream
+from lotledger.sources.readers import captures_stream, read_alerts, table_stream
 from lotledger.sources.store import Store
-from lotledger.streaming.alerts import alert_stream, alerts
+from lotledger.streaming.alerts import alert_batch, alert_stream, alerts
 from lotledger.streaming.ingest import current, ingest, ingest_batch
 from lotledger.streaming.seen import seen_once
 
@@ -159,4 +159,25 @@ def t3_alerts_stream(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "alerts")
     logs = _logs(table_stream(spark, f"{sf.rstrip('/')}/events.parquet"))
     alert_stream(logs, _NOW, path, scratch_dir(spark, "checkpoint")).awaitTermination()
-    return spark.read.schema("log_id bigint, text string").parquet(path)
+    return read_alerts(spark, path, "log_id", "bigint").select("log_id", "text")
+
+
+@query(
+    "t3_alerts_polls",
+    """
+    WITH e AS (SELECT *, event_id % 4 AS part FROM events WHERE event_type = 'error'),
+    s AS (SELECT * FROM e WHERE part < 2 AND ts + INTERVAL 10 DAY >= TIMESTAMP '2024-01-12 00:00:00'
+          UNION SELECT * FROM e WHERE part >= 1 AND ts + INTERVAL 10 DAY >= TIMESTAMP '2024-01-20 00:00:00')
+    SELECT event_id AS log_id, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') || chr(10) || props AS text FROM s
+    """,
+)
+def t3_alerts_polls(spark: SparkSession, sf: str) -> DataFrame:
+    """Two polls, ten days back each: the second has late errors, some of the first poll's again, and a batch that is sent twice."""
+    logs, path = _logs(read(spark, sf, "events")), scratch_dir(spark, "alerts")
+    part = F.col("log_id") % 4
+    incoming, checkpoint = scratch_dir(spark, "logs"), scratch_dir(spark, "checkpoint")
+    for now, rows in (("2024-01-12 00:00:00", logs.where(part < 2)), ("2024-01-20 00:00:00", logs.where(part >= 1))):
+        rows.write.mode("append").parquet(incoming)
+        alert_stream(captures_stream(spark, incoming, logs.schema), now, path, checkpoint, "10 DAYS").awaitTermination()
+    alert_batch(logs.where(part >= 1), 1, "2024-01-20 00:00:00", path, "alerts", "10 DAYS")
+    return read_alerts(spark, path, "log_id", "bigint").select("log_id", "text")

@@ -54,3 +54,12 @@ def read_jobs(spark: SparkSession, path: str) -> DataFrame:
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG).json(path)
+
+
+def read_alerts(spark: SparkSession, path: str, key: str, kind: str) -> DataFrame:
+    """Alerts that were written (key, text, ts) with the query and batch that sent them; none before the first."""
+    rows = T.StructType.fromDDL(f"`{key}` {kind}, text string, ts timestamp, query string, batch bigint")
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], rows)
+    return spark.read.schema(rows).parquet(path)

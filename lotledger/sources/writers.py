@@ -53,8 +53,9 @@ def save_run(control: DataFrame, path: str) -> None:
     control.coalesce(1).write.mode("append").parquet(path)
 
 
-def write_alerts(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def write_alerts(df: DataFrame, path: str, query: str, batch_id: int) -> None:
+    """The alerts of one batch of a query, in a folder of its own: a batch that is sent again replaces itself."""
+    df.write.mode("overwrite").parquet(f"{path}/query={query}/batch={batch_id}")
 
 
 def write_rejects(df: DataFrame, path: str) -> None:

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 from lotledger.operators.merge import Run
 from lotledger.schema import LISTING
 from lotledger.session import scratch_dir
-from lotledger.sources.readers import captures_stream
-from lotledger.streaming.alerts import alert_stream, alerts
+from lotledger.sources.readers import captures_stream, read_alerts
+from lotledger.streaming.alerts import alert_batch, alert_stream, alerts
 from lotledger.streaming.ingest import current, ingest, ingest_batch
 from lotledger.streaming.seen import seen_once
 
@@ -80,6 +80,32 @@ def test_alert_stream_is_batch(spark):
     path, out = scratch_dir(spark, "logs"), scratch_dir(spark, "alerts")
     logs.write.parquet(path)
     alert_stream(captures_stream(spark, path, logs.schema), now, out, scratch_dir(spark, "c")).awaitTermination()
-    got = sorted(tuple(r) for r in spark.read.schema("log_id int, text string").parquet(out).collect())
+    got = sorted(tuple(r) for r in read_alerts(spark, out, "log_id", "int").select("log_id", "text").collect())
     assert got == sorted({tuple(r) for r in alerts(logs, now).collect()})
     assert [t for _, t in got] == ["2018-03-09 09:59:00\nedge", "2018-03-09 09:59:59\nnew"]
+
+
+def test_second_poll_and_replay_alert_once(spark):
+    """A late error of the second poll, an error sent again, and a batch that is run twice."""
+
+    def logs(*rows):
+        df = spark.createDataFrame([(i, level, t, m) for i, level, t, m in rows], "log_id int, level int, ts string, message string")
+        return df.withColumn("ts", F.col("ts").cast("timestamp"))
+
+    path, out, checkpoint = scratch_dir(spark, "logs"), scratch_dir(spark, "alerts"), scratch_dir(spark, "c")
+    day = "2018-03-09 "
+    polls = [
+        (day + "10:00:00", logs((1, 40, day + "09:59:30", "a"), (2, 40, day + "09:59:50", "b"), (3, 20, day + "10:00:30", "info"))),
+        (day + "10:00:40", logs((2, 40, day + "09:59:50", "b"), (4, 40, day + "09:59:41", "late"), (5, 40, day + "09:59:39", "too late"), (6, 40, day + "10:00:35", "c"))),
+    ]
+    for now, rows in polls:
+        rows.write.mode("append").parquet(path)
+        alert_stream(captures_stream(spark, path, rows.schema), now, out, checkpoint).awaitTermination()
+    want = [(1, "a", 0), (2, "b", 0), (4, "late", 1), (6, "c", 1)]
+
+    def sent():
+        return sorted((r.log_id, r.text.split("\n")[1], r.batch) for r in read_alerts(spark, out, "log_id", "int").collect())
+
+    assert sent() == want
+    alert_batch(polls[1][1], 1, polls[1][0], out, "alerts")
+    assert sent() == want

@@ -175,3 +175,13 @@ def test_recent_is_inclusive(values):
 
 def test_stamp(values):
     assert values(X.stamp("2018-03-09")) == (datetime.date(2018, 3, 9),)
+
+
+def test_script_facets(values):
+    page = """<body><script>colors: [1]</script><script type="x">var p = {
+      bodyType: { id: 3,
+        options: [["1","Coupé, Sport"],["2","Van [7]]"],[3, 'it\\'s'],["4","a\\"b"]], open: [["5","no"]] },
+      colors: { id: 4, options: [] }, more: {options: [["6","other"]]} }</script></body>"""
+    got = values(V.script_facets(F.lit(page), "bodyType"), V.script_facets(F.lit(page), "none"), V.script_facets(F.lit(None).cast("string"), "bodyType"))
+    assert got == (["Coupé, Sport", "Van [7]]", "it's", 'a"b'], [], [])
+    assert values(V.script_facets(F.lit("<script>bodyType: {options: [[</script>"), "bodyType"), V.script_facets(F.lit("bodyType: {options: [[1,2]]}"), "bodyType")) == ([], [])
