@@ -77,6 +77,7 @@ def tag_value(tags: Column, vocab: Sequence[str]) -> Column:
 
 def address(c: Column) -> Column:
     """struct<postal_code,country>: leading digits, and what follows the first space."""
+    # Both patterns.
     return F.when(
         c.isNotNull(),
         F.struct(
@@ -88,6 +89,7 @@ def address(c: Column) -> Column:
 
 def engine(c: Column) -> Column:
     """struct<litres,fuel> of an engine line such as `2.0 Diesel`."""
+    # Both patterns.
     return F.struct(
         match(c, r"\d+\.?\d*").try_cast("decimal(18,6)").alias("litres"),
         match(c, "[a-zA-Z]+").alias("fuel"),

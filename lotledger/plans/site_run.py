@@ -47,6 +47,19 @@ def own_rows(table: DataFrame, run: Run) -> DataFrame:
     return table.where(F.col("site") == run.site) if "site" in table.columns else table
 
 
+def newest_capture(detail: DataFrame) -> DataFrame:
+    """One detail row per link: a good page before a failed one, a priced one before one without a price, then the latest capture.
+
+    Captures of the same time follow their page id, and what is still alike its values, so a rerun stores the same row.
+    """
+    detail = empty_to_null(detail)
+    time = [F.col(c).desc_nulls_last() for c in ("fetched_at", "page_id") if c in detail.columns]
+    usable = F.coalesce(F.col("status").between(200, 299), F.lit(False))
+    values = F.to_json(F.struct(*[F.col(c) for c in detail.columns]))
+    first = first_per_key(detail, [KEY], [~usable, F.col(PRICE).isNull(), *time, "status", values])
+    return first.drop("fetched_at", "page_id")
+
+
 def run_site(
     shallow: DataFrame,
     detail: DataFrame,
@@ -71,8 +84,7 @@ def run_site(
     """
     table = own_rows(table, run)
     batch = dedupe_run(shallow, KEY, priced_first(order, PRICE))
-    # A good page counts before a failed one, and a priced one before one without a price.
-    detail = first_per_key(empty_to_null(detail), [KEY], [~F.coalesce(F.col("status").between(200, 299), F.lit(False)), F.col(PRICE).isNull(), "status", PRICE])
+    detail = newest_capture(detail)
     if from_shallow:
         detail = enrich(batch, detail, from_shallow)
     items = written(classify(batch, table, detail, required), scratch_dir(batch.sparkSession, "run"))

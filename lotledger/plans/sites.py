@@ -157,12 +157,16 @@ def _under(nodes: Column, outer, inner) -> Column:
     return first_text(subtree(nodes, outer), inner)
 
 
+#: What tells captures of one page apart; it goes along until a run has chosen one.
+CAPTURE = ("status", "fetched_at", "page_id")
+
+
 def as_listing(df: DataFrame) -> DataFrame:
-    """All listing columns in the common types, null where the site has none; other columns are dropped."""
+    """All listing columns in the common types, null where the site has none, and those of the capture; other columns are dropped."""
     given = {c: F.col(c) for c in df.columns}
     return df.select(
         *[given.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in LISTING_FIELDS.items()],
-        *[given[c] for c in ("status",) if c in given],
+        *[given[c] for c in CAPTURE if c in given],
     )
 
 
@@ -230,7 +234,7 @@ def detail_s(pages: DataFrame, brands: DataFrame | None = None, models: DataFram
     With the two catalogs the codes become names. The names are joined to the
     extracted rows, not to the pages, so that no page text is shuffled.
     """
-    keep = [c for c in ("url", "status") if c in pages.columns]
+    keep = [c for c in ("url", *CAPTURE) if c in pages.columns]
     nodes = page_nodes(pages.select(*keep, "html"))
     main = nodes.select(*keep, subtree(F.col("nodes"), _tag("main")).alias("main"))
     spans = text_nodes(F.col("main"), _tag("span"))
@@ -344,7 +348,7 @@ def detail_u(pages: DataFrame) -> DataFrame:
     """
     if "model" not in pages.columns:
         pages = pages.withColumn("model", F.lit(None).cast("string"))
-    keep = [c for c in ("url", "status", "model") if c in pages.columns]
+    keep = [c for c in ("url", *CAPTURE, "model") if c in pages.columns]
     nodes = page_nodes(pages.select(*keep, "html"))
     tags = text_nodes(
         subtree(subtree(F.col("nodes"), _tag("section", "equipment")), _tag("ul", "equipment_pills")), _tag("span")
@@ -372,7 +376,7 @@ def detail_u(pages: DataFrame) -> DataFrame:
     raw = spec_select(cars, "car", SPEC_U)
     motor = engine(F.col("engine"))
     typed = raw.select(
-        *[c for c in ("status", "model") if c in keep],
+        *[c for c in (*CAPTURE, "model") if c in keep],
         F.col("url").alias("origin_link"),
         "make",
         headline(F.col("title"), F.col("make"), F.col("model"), plus_is_space=True).alias("marketing_headline"),
@@ -449,7 +453,7 @@ SPEC_A = {
 
 def detail_a(pages: DataFrame) -> DataFrame:
     """Typed listing rows from detail pages; `pages` has url, html and maybe status."""
-    keep = [c for c in ("url", "status") if c in pages.columns]
+    keep = [c for c in ("url", *CAPTURE) if c in pages.columns]
     nodes = page_nodes(pages.select(*keep, "html"))
     labelled = nodes.withColumn("labels", label_pairs(F.col("nodes"), lambda n: n["attrs"]["data-content"]))
     raw = spec_select(labelled, "nodes", SPEC_A)
@@ -459,7 +463,7 @@ def detail_a(pages: DataFrame) -> DataFrame:
         return drop_dots(match(F.col(c), REFINE["price"])).try_cast("bigint")
 
     typed = raw.select(
-        *[c for c in ("status",) if c in keep],
+        *[c for c in CAPTURE if c in keep],
         F.col("url").alias("origin_link"),
         *[label[c].alias(c) for c in ("make", "model", "marketing_headline", "body_type", "emission_class")],
         price("price_text").alias("sales_price_incl_vat"),

@@ -12,7 +12,7 @@ from lotledger.operators.catalog import cross_facets, drop_parents
 from lotledger.operators.chain import walk_chain
 from lotledger.operators.dedupe import dedupe_run, dedupe_url
 from lotledger.operators.joins import enrich, split_seen
-from lotledger.plans.site_run import run_site
+from lotledger.plans.site_run import newest_capture, run_site
 from lotledger.session import scratch_dir
 from lotledger.sources import readers, writers
 
@@ -352,3 +352,18 @@ def test_versions(spark):
     merged = M.merge_run(spark.read.parquet(first), batch(spark, ("b", 1)), RUN)
     second = writers.write_version(merged.fillna("S", ["site"]), path, 2)
     assert state(spark.read.parquet(second)).keys() == {"a", "b"} and state(spark.read.parquet(first)).keys() == {"a"}
+
+
+def test_the_newest_good_capture_counts(spark):
+    schema = "origin_link string, sales_price_incl_vat bigint, colour string, status int, fetched_at timestamp, page_id bigint"
+    rows = [
+        ("a", 90, "old", 200, 1, 1), ("a", 120, "new", 200, 2, 2), ("a", 80, "failed", 500, 3, 3), ("a", None, "no price", 200, 4, 4),
+        ("b", 5, "x", 200, None, 1), ("b", 6, "y", 200, None, 2), ("b", 7, "timed", 200, 1, 0),
+        ("c", 5, "p", 200, 1, 1), ("c", 4, "q", 200, 1, 1), ("d", None, "", 410, 1, 1),
+    ]
+    made = spark.createDataFrame([(*r[:4], r[4], r[5]) for r in rows], schema.replace("timestamp", "int"))
+    made = made.withColumn("fetched_at", F.timestamp_seconds("fetched_at"))
+    for df in (made, made.repartition(7, "colour"), made.orderBy(F.col("colour").desc())):
+        got = newest_capture(df)
+        assert got.columns == ["origin_link", "sales_price_incl_vat", "colour", "status"]
+        assert sorted(map(tuple, got.collect())) == [("a", 120, "new", 200), ("b", 7, "timed", 200), ("c", 4, "q", 200), ("d", None, None, 410)]
