@@ -141,7 +141,10 @@ def compared(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     sketches = rows.select("*", *[F.expr(sketch(signed(c, 1), CELLS)).alias(f"s_{c}") for c in ("own", "edit", "next")])
     peeled = sketches.select("*", *[F.expr(peel(subtract("s_own", f"s_{c}"), CELLS)).alias(f"p_{c}") for c in ("edit", "next")])
     told = lambda c: F.expr(f"CASE WHEN {_CLEAN.format(f'p_{c}')} THEN p_{c}.d END").alias(f"d_{c}")
-    peeled.select("row", "doc_id", "n_chars", "edited_sha256", "own", "edit", "next", "last", *[F.size(c).alias(f"n_{c}") for c in ("own", "edit", "next")], printed("s_own").alias("fingerprint"), printed("s_edit").alias("edited_fingerprint"), told("edit"), told("next")).write.parquet(f"{folder}/first")
+    # Keys go on only where a sketch has to be asked again.
+    open_ = {c: F.expr(f"NOT ({_CLEAN.format(f'p_{c}')})") for c in ("edit", "next")}
+    again = [F.when(open_["edit"] | open_["next"], F.col("own")).alias("own"), *(F.when(o, F.col(c)).alias(c) for c, o in open_.items())]
+    peeled.select("row", "doc_id", "n_chars", "edited_sha256", *again, "last", *[F.size(c).alias(f"n_{c}") for c in ("own", "edit", "next")], printed("s_own").alias("fingerprint"), printed("s_edit").alias("edited_fingerprint"), told("edit"), told("next")).write.parquet(f"{folder}/first")
     first = spark.read.parquet(f"{folder}/first")
     failed = [first.where(F.col(f"d_{c}").isNull()).select("row", F.lit(c).alias("which"), F.col("own").alias("a"), F.col(c).alias("b")) for c in ("edit", "next")]
     more = differences(failed[0].unionByName(failed[1]), folder)
