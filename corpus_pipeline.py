@@ -15,7 +15,10 @@ SHINGLE_WORDS, PERCENT = 5, 80
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a probability of toxicity below the threshold; empty texts stay, unless most labels are 1."""
     model = toxicity.train(docs, queries.read(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, "_toxicity").where(F.col("_toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+    name = "_toxicity"
+    while name in map(str.lower, docs.columns):
+        name += "_"
+    return toxicity.score(docs, model, name).where(F.col(name) < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
