@@ -29,6 +29,11 @@ def test_stages_keep_columns(spark, docs):
         assert stage(spark, docs.where("false"), SF).count() == 0, name
 
 
+def test_toxicity_stage_keeps_a_column_of_its_own_name(spark, docs):
+    more = docs.withColumn("_Toxicity", docs["score"]).withColumn("_toxicity_", docs["n"])
+    assert corpus_pipeline.without_toxic(spark, more, SF).columns == more.columns
+
+
 def test_pipeline(spark):
     from test_operators import components_by_hand, windows_by_hand
 
