@@ -15,6 +15,10 @@ from lotledger.session import scratch_dir
 CELL_BITS = 24
 #: Cells that travel in one row.
 BLOCK = 1 << 12
+#: Columns of 64 bits that mark which shingles a prefix has.
+MARKS = tuple(f"m{i}" for i in range(8))
+#: Eighths of a prefix whose last shingles travel with it.
+EIGHTHS = (4, 6, 7, 8)
 #: Rows whose sets are held at once.
 ROWS = 256
 #: Classes of a group that the others are held against, where many did not link to the first; and how many are many.
@@ -124,7 +128,7 @@ class Join:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             levels = shared.value
             for b in (batch.slice(i, ROWS) for batch in batches for i in range(0, batch.num_rows, ROWS)):
-                n, digests, prefixes, scores = [], [], [], []
+                n, digests, prefixes, scores, marks = [], [], [], [], []
                 for s in shingle_sets(b.column("text"), k):
                     often = levels[(s >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
                     # Level and digest in one number: it orders the shingles and, but for a rare tie that costs a pair more, names them.
@@ -133,14 +137,18 @@ class Join:
                     n.append(len(s))
                     digests.append([d for x in (s, first.view(np.uint64)) for d in (mix(x).sum(), mix(x ^ np.uint64(len(x))).sum())])
                     prefixes.append(first)
+                    marks.append(np.zeros(64 * len(MARKS), bool))
+                    marks[-1][first & 64 * len(MARKS) - 1] = True
                     scores.append(int(often.min()) if len(s) else 0)
                 table = np.array(digests, np.uint64).reshape(-1, 4).view(np.int64)
+                bits = np.packbits(np.array(marks).reshape(-1, 64 * len(MARKS)), axis=1).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("id"), pa.array(n, pa.int32()), *[pa.array(table[:, i]) for i in range(4)], pa.array(prefixes, pa.list_(pa.int64())), pa.array(scores, pa.int64())],
-                    ["id", "n", "d1", "d2", "p1", "p2", "prefix", "score"],
+                    [b.column("id"), pa.array(n, pa.int32()), *[pa.array(table[:, i]) for i in range(4)], pa.array(prefixes, pa.list_(pa.int64())), pa.array(scores, pa.int64()), *[pa.array(bits[:, i]) for i in range(len(MARKS))]],
+                    ["id", "n", "d1", "d2", "p1", "p2", "prefix", "score", *MARKS],
                 )
 
-        return self.kept(self.docs.mapInArrow(run, "id bigint, n int, d1 bigint, d2 bigint, p1 bigint, p2 bigint, prefix array<bigint>, score bigint"), "sets")
+        marked = ", ".join(f"{m} bigint" for m in MARKS)
+        return self.kept(self.docs.mapInArrow(run, f"id bigint, n int, d1 bigint, d2 bigint, p1 bigint, p2 bigint, prefix array<bigint>, score bigint, {marked}"), "sets")
 
     def classes(self, sets: DataFrame) -> DataFrame:
         """Equal sets are one class `c` (its smallest id), classes of equal size and prefix one group `g` (the smallest c)."""
@@ -149,10 +157,10 @@ class Join:
         return self.kept(one.join(groups, ["n", "p1", "p2"]).select("c", "g", "n", "d1", "d2"), "classes")
 
     def groups(self, sets: DataFrame, classes: DataFrame) -> DataFrame:
-        """Per group `g` its `n`, `score` and `prefix`: the one time that prefixes move."""
+        """Per group `g` its `n`, `score`, `prefix` and its marks: the one time that prefixes move."""
         key = ["g", "n", "d1", "d2"]
-        rows = sets.withColumnRenamed("id", "g").select(*key, "score", "prefix").join(classes.where("c = g").select(*key), key)
-        return self.kept(rows.groupBy(*key).agg(F.any_value("score").alias("score"), F.any_value("prefix").alias("prefix")).select("g", "n", "score", "prefix"), "groups")
+        rows = sets.withColumnRenamed("id", "g").select(*key, "score", "prefix", *MARKS).join(classes.where("c = g").select(*key), key)
+        return self.kept(rows.groupBy(*key).agg(F.any_value("score").alias("score"), F.any_value("prefix").alias("prefix"), *[F.any_value(m).alias(m) for m in MARKS]).select("g", "n", "score", "prefix", *MARKS), "groups")
 
     def shared(self, groups: DataFrame) -> DataFrame:
         """Prefix shingles that several groups have: `tok`, `g`, `n`, `pos`, `prev` (the one before), and the bucket's centre: `centre`, `centre_n`.
@@ -268,7 +276,7 @@ class Join:
     def group_pairs(self, shared: DataFrame, groups: DataFrame, family: DataFrame) -> DataFrame:
         """The pairs of groups (`g1`, `g2`) that may hold a link between different families, as far as sizes and prefixes tell.
 
-        Buckets hold narrow rows of groups: `only` is the family of all its classes,
+        Buckets hold rows of groups, with the marks of their prefixes: `only` is the family of all its classes,
         or null where there are several. The largest family of a bucket meets the
         others but not itself. A group of several families meets itself, too, in
         the bucket of its first shingle, even if no other group has that shingle.
@@ -280,10 +288,16 @@ class Join:
         heads = rows.groupBy("tok", "only").agg(F.count("*").alias("m")).groupBy("tok").agg(
             F.count("*").alias("k"), F.bool_or(F.col("only").isNull()).alias("several"), F.max(F.when(F.col("only").isNotNull(), F.struct("m", "only")))["only"].alias("head")
         )
-        rows = self.kept(rows.join(heads.where("k > 1 OR several").select("tok", "head"), "tok"), "open")
-        low, high = (rows.select("tok", *[F.col(c).alias(f"{c}{i}") for c in ("g", "n", "pos", "prev", "only")], *(["head"] if i == 1 else [])) for i in (1, 2))
+        marks = groups.select("g", F.size("prefix").alias("size"), *MARKS, *[F.expr(f"element_at(prefix, cast(ceil(size(prefix) * {e} / 8) AS int))").alias(f"q{e}") for e in EIGHTHS])
+        rows = self.kept(rows.join(heads.where("k > 1 OR several").select("tok", "head"), "tok").join(marks, "g"), "open")
+        low, high = (rows.select("tok", *[F.col(c).alias(f"{c}{i}") for c in ("g", "n", "pos", "prev", "only", "size", *[f"q{e}" for e in EIGHTHS], *MARKS)], *(["head"] if i == 1 else [])) for i in (1, 2))
         need = F.ceil(self.percent * (F.col("n1") + F.col("n2")) / (100 + self.percent))
-        room = F.least(F.col("pos1") + 1, F.col("pos2") + 1) + F.least(F.col("n1") - 1 - F.col("pos1"), F.col("n2") - 1 - F.col("pos2"))
+        # A mark that only one of the two has stands for a shingle, at least, that the other lacks.
+        common = F.least(*[F.col(f"size{i}") - sum((F.bit_count(F.col(f"{m}{i}").bitwiseAND(F.bitwise_not(f"{m}{j}"))) for m in MARKS), F.lit(0)) for i, j in ((1, 2), (2, 1))])
+        # So many of a prefix's shingles, at least, come no later than the other prefix's last one: up to there both are known.
+        known = [F.greatest(*[F.when(F.col(f"q{e}{i}") <= F.col(f"q8{j}"), F.ceil(F.col(f"size{i}") * e / 8)).otherwise(0) for e in EIGHTHS]) for i, j in ((1, 2), (2, 1))]
+        beyond = F.least(F.col("n1") - known[0], F.col("n2") - known[1])
+        room = F.least(F.col("pos1") + 1, F.col("pos2") + 1, common) + F.least(F.col("n1") - 1 - F.col("pos1"), F.col("n2") - 1 - F.col("pos2"))
         small = F.least("n1", "n2")
         pos = F.when(F.col("n1") < F.col("n2"), F.col("pos1")).when(F.col("n1") > F.col("n2"), F.col("pos2")).otherwise(F.least("pos1", "pos2"))
         short = small - F.ceil(2 * self.percent * small / (100 + self.percent)) + 1
@@ -293,7 +307,7 @@ class Join:
         once = F.coalesce(F.col("only2") == F.col("head"), F.lit(False)) | (F.col("g1") <= F.col("g2"))
         pairs = (
             low.where(F.coalesce(F.col("only1") != F.col("head"), F.lit(True))).join(high, "tok").where(differ).where(fresh).where(once)
-            .where(self.fits(F.col("n1"), F.col("n2"))).where(room >= need).where(pos < short)
+            .where(self.fits(F.col("n1"), F.col("n2"))).where(room >= need).where(common + beyond >= need).where(pos < short)
             .select(F.least("g1", "g2").alias("g1"), F.greatest("g1", "g2").alias("g2")).distinct()
         )
         return self.kept(self.possible(self.kept(pairs, "met"), groups), "possible")
