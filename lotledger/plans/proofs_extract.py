@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from lotledger.functions import values as V
 from lotledger.functions.predicates import has_errors, in_state, is_error
@@ -341,6 +341,53 @@ def e3_detail_record(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "e3_shallow_record",
+    """
+    SELECT 'https://lots.example/d/' || o_orderkey AS origin_link, 'https://lots.example/list?c=' || o_custkey AS old_url,
+           o_orderpriority || ' Kombi' AS marketing_headline, CAST(floor(o_totalprice) AS BIGINT) AS sales_price_incl_vat,
+           '\N{EURO SIGN}' AS currency, CASE WHEN o_orderstatus <> 'F' THEN o_custkey END AS mileage,
+           CAST(66 AS BIGINT) AS power_in_kw, o_custkey + 1 AS power_in_ps,
+           CASE WHEN o_orderstatus = 'O' THEN 'Diesel' ELSE 'Benzin' END AS fuel, CAST(5.4 AS DOUBLE) AS fuel_consumption_comb,
+           CAST(119 AS BIGINT) AS co2_emission, CAST(NULL AS VARCHAR) AS gearbox,
+           strftime(o_orderdate, '%m/%Y') AS first_registration, CAST(day(o_orderdate) AS BIGINT) AS number_of_previous_owners
+    FROM orders
+    """,
+)
+def e3_shallow_record(spark: SparkSession, sf: str) -> DataFrame:
+    """Result pages of many items (a customer's orders), each with all facts, a placeholder and an empty one; every page has an item without a link."""
+    mileage = F.when(F.col("o_orderstatus") == "F", "<li data-placeholder='x'>- km</li>").otherwise(
+        text("<li>\n", dotted(F.col("o_custkey")), " km</li>")
+    )
+    shell = "<div data-item-name='listing-summary-container'><div><div><div>{}</div></div>{}</div></div>"
+    before, after = shell.format("<a data-item-name='detail-page-link' href='/d/{}'>x</a>", "{}").split("{}", 1)
+    link_end, item_end = after.split("{}", 1)
+    item = text(
+        before,
+        F.col("o_orderkey"),
+        link_end + "<div><h2 class='sc cldt-summary-version'>\n",
+        F.col("o_orderpriority"),
+        " Kombi</h2></div><div><div><span data-item-name='price'>\n" + EURO + " ",
+        dotted(whole("o_totalprice")),
+        ",-</span></div><div><ul>",
+        mileage,
+        "<li>EZ ",
+        F.date_format("o_orderdate", "MM/yyyy"),
+        "</li><li>66 kW (",
+        F.col("o_custkey") + 1,
+        " PS)</li><li>Gebraucht</li><li>",
+        F.dayofmonth("o_orderdate"),
+        " Fahrzeughalter</li><li>\n</li><li> ",
+        F.when(F.col("o_orderstatus") == "O", "Diesel").otherwise("Benzin"),
+        "</li><li>5,4 l/100 km (komb)</li><li>119 g CO2/km</li></ul></div></div>" + item_end,
+    )
+    orders = read(spark, sf, "orders").select(F.col("o_custkey"), item.alias("item"))
+    pages = orders.groupBy("o_custkey").agg(F.array_join(F.collect_list("item"), "").alias("items"))
+    url = text("https://lots.example/list?c=", F.col("o_custkey"))
+    html = text("<html><body><main>", F.col("items"), shell.format("", "<div></div>"), "</main></body></html>")
+    return sites.shallow_s(spread(pages.select(url.alias("url"), html.alias("html"))), "https://lots.example").drop("new_url")
+
+
 @query(
     "e5_links",
     f"""
@@ -374,6 +421,27 @@ def e6_chain(spark: SparkSession, sf: str) -> DataFrame:
     return walk_chain(pages, seeds).select("url")
 
 
+@query(
+    "e6_chain_deep",
+    """
+    WITH RECURSIVE links AS (SELECT event_id AS src, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS dst FROM events),
+    walk(url, step) AS (
+        SELECT min(event_id), CAST(0 AS BIGINT) FROM events WHERE user_id % 3 = 0 GROUP BY user_id
+        UNION ALL
+        SELECT dst, step + 1 FROM walk JOIN links ON src = url WHERE dst IS NOT NULL
+    )
+    SELECT url, step FROM walk
+    """,
+)
+def e6_chain_deep(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event points at the user's next one; the walk starts at the first event of each third user."""
+    events = read(spark, sf, "events").select("event_id", "user_id")
+    ahead = F.lead("event_id").over(Window.partitionBy("user_id").orderBy("event_id"))
+    pages = events.select(F.col("event_id").alias("url"), ahead.alias("next_url"))
+    seeds = events.where("user_id % 3 = 0").groupBy("user_id").agg(F.min("event_id").alias("url"))
+    return walk_chain(pages, seeds)
+
+
 @query(
     "e8_flags",
     f"""

@@ -123,6 +123,9 @@ def run_captures(
     if layout not in ("S", "U", "A"):
         raise ValueError(f"unknown page layout {layout!r}")
     found = {"S": sites.shallow_s, "U": sites.shallow_u, "A": sites.shallow_a}[layout](results, origin, order)
+    # Only what the merge reads moves: other facts of a result item come from its detail page.
+    used = [c for c in (KEY, PRICE, "model", "colour", "body_type") if c in found.columns]
+    found = found.select(*used, *[c for c in order if c not in used])
     batch = written(dedupe_run(found, KEY, priced_first(order, PRICE)), scratch_dir(results.sparkSession, "batch"))
     link = clear_params(F.col("url")) if layout == "S" else F.col("url")
     fresh = new_links(batch, own_rows(table, run)).withColumnRenamed(KEY, "_link")

@@ -51,6 +51,18 @@ from lotledger.operators.pages import (
 )
 from lotledger.schema import LISTING_FIELDS
 
+# Place of a fact in the list of a result item of layout S.
+FACTS_S = {
+    "mileage": 1,
+    "first_registration": 2,
+    "power": 3,
+    "number_of_previous_owners": 5,
+    "gearbox": 6,
+    "fuel": 7,
+    "fuel_consumption_comb": 8,
+    "co2_emission": 9,
+}
+
 # URL parameters of the two range-searched sites.
 PARAMS_S = {
     "brand": "mmvmk0",
@@ -173,20 +185,56 @@ def as_listing(df: DataFrame) -> DataFrame:
 # Site S
 
 
+def _facts_s(item: Column) -> Column:
+    """The entries of an item's list of facts: the list stands in the second cell of the third block of its first part."""
+    part = subtree(item, children(item, "div", 1))
+    block = let(part, lambda p: subtree(p, children(p, "div", 3)))
+    cell = let(block, lambda b: subtree(b, children(b, "div", 2)))
+    entries = let(cell, lambda c: subtree(c, children(c, "ul")))
+    return let(entries, lambda ul: F.filter(ul, children(ul, "li")))
+
+
+def _fact_s(name: str) -> Column:
+    """First text of the fact's entry; null where the site has put a placeholder."""
+    given = lambda n: (n["nth"] == FACTS_S[name]) & n["attrs"]["data-placeholder"].isNull()
+    return null_if_empty(strip_ws(first_text(F.col("facts"), given)))
+
+
 def shallow_s(pages: DataFrame, origin: str, keep: Sequence[str] = ()) -> DataFrame:
-    """(origin_link, new_url, old_url, sales_price_incl_vat) per listing of a result page."""
+    """One typed row per listing of a result page: its link, the page, headline, price and the list of facts.
+
+    A fact that is missing, empty or a placeholder is null, as is a number that isn't one.
+    """
     rows = page_rows(
         page_nodes(pages.select(*keep, "url", "html")),
         _attr("div", "data-item-name", "listing-summary-container"),
         lambda item: first_attr(item, _attr("a", "data-item-name", "detail-page-link"), "href"),
     )
-    price = first_text(F.col("item"), _attr("span", "data-item-name", "price"))
-    link = F.concat(F.lit(origin), F.col("link"))
-    return rows.select(
-        link.alias("origin_link"),
-        link.alias("new_url"),
+    head = lambda n: (n["tag"] == "h2") & n["attrs"]["class"].contains("cldt-summary-version")
+    rows = rows.select(
+        *keep,
+        F.concat(F.lit(origin), F.col("link")).alias("origin_link"),
         F.col("url").alias("old_url"),
-        nth_int(price).alias("sales_price_incl_vat"),
+        null_if_empty(strip_ws(first_text(F.col("item"), head))).alias("marketing_headline"),
+        first_text(F.col("item"), _attr("span", "data-item-name", "price")).alias("price"),
+        _facts_s(F.col("item")).alias("facts"),
+    )
+    return rows.select(
+        "origin_link",
+        F.col("origin_link").alias("new_url"),
+        "old_url",
+        "marketing_headline",
+        nth_int(F.col("price")).alias("sales_price_incl_vat"),
+        currency(F.col("price"), "symbol").alias("currency"),
+        nth_int(_fact_s("mileage")).alias("mileage"),
+        nth_int(_fact_s("power"), 0).alias("power_in_kw"),
+        nth_int(_fact_s("power"), 1).alias("power_in_ps"),
+        _fact_s("fuel").alias("fuel"),
+        nth_float(_fact_s("fuel_consumption_comb")).alias("fuel_consumption_comb"),
+        nth_int(_fact_s("co2_emission")).alias("co2_emission"),
+        _fact_s("gearbox").alias("gearbox"),
+        month_year(_fact_s("first_registration")).alias("first_registration"),
+        nth_int(_fact_s("number_of_previous_owners")).alias("number_of_previous_owners"),
         *keep,
     )
 

@@ -125,6 +125,25 @@ def test_shallow_s(spark):
     ]
 
 
+def test_shallow_s_facts(spark):
+    """Places of facts, a placeholder, an empty entry, a list that stands elsewhere, a part too few."""
+    facts = "<ul><li>\n12.500 km\n</li><li>EZ 03/2016</li><li>85 kW (116 PS)</li><li>Gebraucht</li><li>2 Halter</li><li> </li><li>Diesel</li><li data-placeholder>- (l/100 km)</li><li>119 g</li></ul>"
+    item = "<div data-item-name='listing-summary-container'><div><div><div><a data-item-name='detail-page-link' href='/d/{}'>x</a></div></div>{}</div></div>"
+    head = "<div><h2 class='a cldt-summary-version b'> Top Auto\n</h2><ul><li>1 km</li></ul></div>"
+    price = "<div><span data-item-name='price'>\n" + EURO + " 9.990,-</span></div>"
+    full = item.format(1, head + f"<div>{price}<div>{facts}</div></div>")
+    short = item.format(2, head + price)
+    rows = sites.shallow_s(frame(spark, ("https://s.example/list", full + short, 200)), "https://s.example").collect()
+    one, two = ({k: v for k, v in r.asDict().items() if v is not None} for r in rows)
+    links = lambda n: {"origin_link": f"https://s.example/d/{n}", "new_url": f"https://s.example/d/{n}", "old_url": "https://s.example/list"}
+    common = {"marketing_headline": "Top Auto", "sales_price_incl_vat": 9990, "currency": EURO}
+    assert one == {
+        **links(1), **common, "mileage": 12500, "first_registration": "03/2016", "power_in_kw": 85, "power_in_ps": 116,
+        "number_of_previous_owners": 2, "fuel": "Diesel", "co2_emission": 119,
+    }
+    assert two == {**links(2), **common}
+
+
 DETAIL_U = """
 <html><head><meta itemprop='datePublished' content='2018-03-09'></head><body><div class='car-list-item'>
 <div class='car-details-wrapper'><h3 class='car-title'><span><b>Alfa Romeo</b> <span>Alfa Romeo Giulia Veloce</span></span></h3>

@@ -209,6 +209,26 @@ def test_chain(spark):
     assert walk([("a", "c"), ("a", "b"), ("a", "b"), ("b", "d")], ["a"]) == {"a": 0, "b": 1, "d": 2}
     long = [(f"p{i}", f"p{i + 1}") for i in range(37)]
     assert walk(long, ["p0"]) == {f"p{i}": i for i in range(38)}
+    # Long chains that meet past the first steps, a long cycle, and no seed.
+    meet = [*long, *[(f"q{i}", f"q{i + 1}") for i in range(9)], ("q9", "p20")]
+    want = {f"p{i}": i for i in range(30)} | {f"q{i}": i for i in range(10)} | {f"p{i}": min(i, 10 + i - 20) for i in range(20, 38)}
+    assert walk(meet, ["p0", "q0"]) == want
+    assert walk([(f"c{i}", f"c{(i + 1) % 11}") for i in range(11)], ["c4"]) == {f"c{(4 + i) % 11}": i for i in range(11)}
+    assert walk(long, []) == {}
+
+
+def test_chain_of_one_seed_shuffles_no_links(spark):
+    """One frontier page over 150,000 links: the links are read where they lie, and only what was reached moves."""
+    from lotledger.operators.chain import _hop
+    from lotledger.session import scratch_dir, written
+
+    links = written(spark.range(150_000).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst")), scratch_dir(spark, "links"))
+    front = written(spark.range(7, 8).select(F.col("id").alias("url")), scratch_dir(spark, "front"))
+    step = _hop(front, links)
+    assert [r.url for r in step.collect()] == [8]
+    plan = step._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    join = plan.index("BroadcastHashJoin")
+    assert "Exchange hashpartitioning" not in plan[join:]
 
 
 # Merge and run state
