@@ -107,7 +107,13 @@ def differences(pairs: DataFrame, folder: str) -> DataFrame:
     spark = pairs.sparkSession
     both = f"concat({signed('a', 1)}, {signed('b', -1)})"
     rows = pairs.select("row", "which", F.expr(both).alias("keys")).withColumn("bins", F.expr(f"cast(ceil(greatest(1, size(keys)) / {BIN}) AS int)"))
-    rows = rows.select("row", "which", F.explode(F.expr("transform(sequence(0, bins - 1), g -> filter(keys, k -> pmod(xxhash64(k.x, 1), bins) = g))")).alias("keys"))
+    # Keys are sorted by bin once and cut where the bin changes, so that a pair of many keys takes time in proportion.
+    # An array of one element binds a value that the expression uses often.
+    by_bin = "sort_array(transform(keys, k -> named_struct('bin', pmod(xxhash64(k.x, 1), bins), 'x', k.x, 'n', k.n)))"
+    starts = "filter(sequence(1, size(ks)), i -> i = 1 OR ks[i - 1].bin <> ks[greatest(i - 2, 0)].bin)"
+    cut = "transform(at, (s, i) -> transform(slice(ks, s, coalesce(get(at, i + 1), size(ks) + 1) - s), k -> named_struct('x', k.x, 'n', k.n)))"
+    parts = f"transform(array({by_bin}), ks -> transform(array({starts}), at -> {cut})[0])[0]"
+    rows = rows.where("size(keys) > 0").select("row", "which", F.explode(F.expr(parts)).alias("keys"))
     done, m, turn = None, BIN_CELLS, 0
     while True:
         rows.select("row", "which", "keys", F.expr(peel(sketch("keys", m), m)).alias("p")).select(
