@@ -87,7 +87,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, epochs:
     n, positive = known.agg(F.count("*"), F.sum("toxic")).first()
     prior = float(np.log(((positive or 0) + 1) / (n - (positive or 0) + 10)))
     # The hash of an id is even, so this many come in below the bound; a fifth is left for chance.
-    sample = known.withColumn("place", place).where(F.col("place") < int((1 << 32) * min(1.0, max_rows / max(1, n)))).limit(max_rows + max_rows // 5)
+    sample = known.withColumn("place", place).where(F.col("place") < int((1 << 32) * min(1.0, max_rows / max(1, n))))
+    sample = sample.orderBy("place", "doc_id").limit(max_rows + max_rows // 5)
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(sample), "doc_id").select("place", "doc_id", "toxic", "text")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
