@@ -21,13 +21,17 @@ HOT = 20_000
 #: Places per block of the range minimum.
 BLOCK = 256
 
+_PLACE = np.uint64((1 << 32) - 1)
+
 
 def anchors(buf: np.ndarray, window: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of one text: anchors, their digests, and the first string start that each serves.
 
-    A string of `window` bytes is served by its k-gram with the least digest, the
-    leftmost of equals; so equal strings have equal anchors at equal places. The
+    A string of `window` bytes is served by its k-gram whose digest has the least upper
+    half, the leftmost of equals; so equal strings have equal anchors at equal places. The
     starts that an anchor serves are a run, and runs follow in the order of anchors.
+    Of a run of one byte only the first string has an anchor: the others repeat
+    the one before them, and their starts follow as a run with anchor -1.
     """
     if len(buf) < window:
         return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64)
@@ -36,27 +40,21 @@ def anchors(buf: np.ndarray, window: int, size: int) -> tuple[np.ndarray, np.nda
     n = len(buf) - size + 1
     h = mix((total[size:] - total[:-size]) * down[:n])
     width = window - size + 1
-    # The least of each run of `width`, from the running minima of aligned blocks to either side.
+    # Upper half and place in one word: the least of each run of `width`, from the running minima of aligned blocks to either side.
     blocks = -(-n // width)
     padded = np.full(blocks * width, np.iinfo(np.uint64).max)
-    padded[:n] = h
+    padded[:n] = (h & ~_PLACE) | np.arange(n, dtype=np.uint64)
     table = padded.reshape(blocks, width)
     ahead = np.minimum.accumulate(table, axis=1).ravel()
     back = np.minimum.accumulate(table[:, ::-1], axis=1)[:, ::-1].ravel()
     starts = n - width + 1
-    least = np.minimum(back[:starts], ahead[width - 1 : width - 1 + starts])
-    # The leftmost place of that least: the next place at or after the start whose digest it is.
-    change = np.concatenate([[True], least[1:] != least[:-1]])
-    firsts = np.flatnonzero(change)
-    places, los = [], []
-    for s, e in zip(firsts, [*firsts[1:], starts]):
-        while s < e:
-            p = s + int(np.argmax(h[s : s + width] == least[s]))
-            places.append(p)
-            los.append(s)
-            s = p + 1
-    at = np.array(places, np.int64)
-    return at, h[at], np.array(los, np.int64)
+    place = (np.minimum(back[:starts], ahead[width - 1 : width - 1 + starts]) & _PLACE).astype(np.int64)
+    change = np.concatenate([[0], np.cumsum(buf[1:] != buf[:-1])])
+    flat = change[window - 1 :] == change[:starts]
+    place[1:][flat[1:] & flat[:-1]] = -1
+    los = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+    at = place[los]
+    return at, h[at], los
 
 
 def range_least(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -156,6 +154,36 @@ def repeated_starts(contexts: list[bytes], offsets: list[int], window: int, symb
     return [np.sort(np.concatenate(x)) if x else np.empty(0, np.int64) for x in out]
 
 
+def agreement(parts: list[bytes]) -> list[int]:
+    """For each of some byte strings, the longest prefix that it shares with another one of them."""
+    order = sorted(range(len(parts)), key=parts.__getitem__)
+    best = [0] * len(parts)
+    for i, j in zip(order, order[1:]):
+        a, b = parts[i], parts[j]
+        low, high = 0, min(len(a), len(b))
+        if a[:high] == b[:high]:
+            low = high
+        while low < high:
+            mid = (low + high + 1) // 2
+            if a[low:mid] == b[low:mid]:
+                low = mid
+            else:
+                high = mid - 1
+        best[i], best[j] = max(best[i], low), max(best[j], low)
+    return best
+
+
+def shared_parts(contexts: list[tuple[int, bytes]], window: int) -> list[tuple[int, int] | None]:
+    """Of an anchor's contexts (its offset, bytes): the part that any other context can share around the anchor; none if shorter than a window.
+
+    Strings that two contexts share lie alike to the anchor, so they reach no further to
+    either side than the best agreement on that side.
+    """
+    left = agreement([c[:off][::-1] for off, c in contexts])
+    right = agreement([c[off:] for off, c in contexts])
+    return [(off - x, off + y) if x + y >= window else None for (off, _), x, y in zip(contexts, left, right)]
+
+
 def runs(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
     """The bytes that strings from sorted starts cover, as maximal runs (start, end)."""
     if not len(starts):
@@ -200,11 +228,20 @@ class Dedup:
         long = scanned.where(F.col("n_bytes") >= self.window)
         return self.kept(long.groupBy("d").agg(F.count("*").alias("copies"), F.min("row").alias("row"), F.first("n_bytes").alias("n_bytes"), F.first("pos").alias("pos"), F.first("hash").alias("hash"), F.first("lo").alias("lo")), "texts")
 
-    def contexts(self, texts: DataFrame) -> DataFrame:
-        """The surroundings of anchors that occur more than once: `hash`, `n`, `row`, `lo`, `off`, `context`."""
+    def served(self, texts: DataFrame) -> DataFrame:
+        """A row per anchor: `row`, `hash`, `pos` and the string starts `lo` to `hi` that it serves."""
         each = texts.select("row", "n_bytes", F.posexplode("hash").alias("k", "hash"), "pos", "lo")
         last = F.when(F.col("k") + 1 < F.size("lo"), F.element_at("lo", F.col("k") + 2) - 1).otherwise(F.col("n_bytes").cast("int") - self.window)
-        each = each.select("row", "hash", F.element_at("pos", F.col("k") + 1).alias("pos"), F.element_at("lo", F.col("k") + 1).alias("lo"), last.alias("hi"))
+        return each.select("row", "hash", F.element_at("pos", F.col("k") + 1).alias("pos"), F.element_at("lo", F.col("k") + 1).alias("lo"), last.alias("hi"))
+
+    def flat_runs(self, texts: DataFrame) -> DataFrame:
+        """Runs of bytes (`row`, `start`, `end`) under strings of one byte that start next to each other."""
+        own = self.served(texts.where(F.array_contains("pos", -1))).where("pos < 0")
+        return own.select("row", (F.col("lo") - 1).cast("bigint").alias("start"), (F.col("hi") + self.window).cast("bigint").alias("end"))
+
+    def contexts(self, texts: DataFrame) -> DataFrame:
+        """The surroundings of anchors that occur more than once: `hash`, `n`, `row`, `lo`, `off`, `context`."""
+        each = self.served(texts).where("pos >= 0")
         # Written, so that both sides of the join below come from a shuffle of their own and a hot anchor can be split.
         often = self.kept(each.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"), "often")
         wanted = each.join(often, "hash").groupBy("row").agg(F.collect_list(F.struct("hash", "n", "pos", "lo", "hi")).alias("want"))
@@ -219,11 +256,19 @@ class Dedup:
         def solve(groups: list[dict]) -> pa.RecordBatch:
             """Anchors' contexts, each with the places that have it. One that several places have is repeated as a whole."""
             out: list[tuple[int, int, int]] = []
-            several = [(off, c, places) for g in groups if len(g) > 1 for (off, c), places in g.items()]
-            starts = repeated_starts([c for _, c, _ in several], [off for off, _, _ in several], window, SYMBOL)
-            for (_, c, places), found in zip(several, starts):
-                spans = [(0, len(c))] if len(places) > 1 else runs(found, window)
-                out += [(row, s + lo, e + lo) for row, lo in places for s, e in spans]
+            several = []
+            for g in groups:
+                if len(g) > 1:
+                    for ((off, c), places), part in zip(g.items(), shared_parts(list(g), window)):
+                        if len(places) > 1:
+                            out += [(row, lo, lo + len(c)) for row, lo in places]
+                        if part is not None:
+                            several.append((off - part[0], c[part[0] : part[1]], part[0], places))
+            starts = repeated_starts([c for _, c, _, _ in several], [off for off, _, _, _ in several], window, SYMBOL)
+            for (_, _, shift, places), found in zip(several, starts):
+                if len(places) == 1:
+                    ((row, lo),) = places
+                    out += [(row, s + shift + lo, e + shift + lo) for s, e in runs(found, window)]
             for g in groups:
                 if len(g) == 1:
                     (((_, c), places),) = g.items()
@@ -275,12 +320,13 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
     A byte goes if a string of `window` bytes that covers it also starts at another
     place of the corpus, of the same text too. Null counts as empty; texts shorter
     than the window stay whole. Of equal texts (repeated rows too) nothing remains,
-    if they have the length of a window. `window` must be a multiple of SYMBOL.
+    if they have the length of a window. `window` must be a multiple of SYMBOL. A text
+    of one repeated byte has one context, whatever its length.
     """
     run = Dedup(docs, doc_id, text, window, anchor, hot)
     scanned = run.scanned()
     texts = run.texts(scanned)
-    covered = run.covered(run.contexts(texts)).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("runs"))
+    covered = run.covered(run.contexts(texts)).unionByName(run.flat_runs(texts)).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("runs"))
     some = run.kept(covered.join(texts.where("copies = 1").select("row"), "row"), "covered")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
