@@ -240,9 +240,9 @@ def shallow_s(pages: DataFrame, origin: str, keep: Sequence[str] = ()) -> DataFr
 
 
 def _basic_s(group: int, position: int):
-    def path(main: Column) -> Column:
-        block = subtree(main, _tag("div", "cldt-stage-basic-data"))
-        cell = let(block, lambda b: subtree(b, children(b, "div", group)))
+    def path(_: Column) -> Column:
+        # The block is cut out once for all of its fields.
+        cell = let(F.col("basic"), lambda b: subtree(b, children(b, "div", group)))
         return let(cell, lambda c: first_text(c, children(c, "span", position)))
 
     return path
@@ -291,9 +291,10 @@ def detail_s(pages: DataFrame, brands: DataFrame | None = None, models: DataFram
             "labels": label_pairs(F.col("main"), lambda n: F.get(n["texts"], F.lit(0))),
             "parking_sensors": flags(spans, PARKING_SENSORS),
             "airbags": flags(spans, AIRBAGS),
+            "basic": subtree(F.col("main"), _tag("div", "cldt-stage-basic-data")),
         }
     )
-    raw = spec_select(main, "main", SPEC_S)
+    raw = spec_select(main, "main", SPEC_S).drop("basic")
     label = {name: null_if_empty(strip_ws(F.col("labels")[text])) for name, text in LABELS_S.items()}
     typed = raw.select(
         *[c for c in keep if c != "url"],

@@ -72,11 +72,16 @@ class Scratch:
         where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """The rows over all cores, if the input comes in fewer pieces than there are cores.
+#: Rows of a CPU-heavy step (about a millisecond each) that one task takes on.
+SPREAD_ROWS = 10_000
 
-    For CPU-heavy steps after a small scan (one file, one row group). Large
-    inputs have more pieces than cores and pass through without a shuffle.
+
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """The rows of a small scan, or of few columns, dealt evenly over tasks of about SPREAD_ROWS rows; with a key, by the key.
+
+    For CPU-heavy steps. How many pieces the input comes in says nothing about
+    where its rows are (a file has more splits than row groups), so the rows
+    are counted: of a stored table that is a look at its footers.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // SPREAD_ROWS))
+    return df.repartition(tasks, *key)

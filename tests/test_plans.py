@@ -4,6 +4,8 @@ import re
 
 import __spark_entry__ as entry
 import pytest
+from lotledger.session import SPREAD_ROWS, spread
+from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
 
@@ -58,6 +60,24 @@ def test_page_text_is_not_shuffled(spark):
             assert "html" not in line
 
 
+def test_spread_deals_rows_not_pieces(spark, tmp_path):
+    """A file has more splits than row groups: its one full piece is dealt out, however many empty ones there are."""
+    path = str(tmp_path / "rows.parquet")
+    spark.range(60_000).selectExpr("id", "md5(cast(id AS string)) AS x", "id % 4000 AS page").coalesce(1).write.parquet(path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        rows = spark.read.parquet(path)
+        assert rows.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+        sizes = lambda df: [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes(rows)) == 60_000 and max(sizes(spread(rows))) <= 1.1 * SPREAD_ROWS
+        by_page = spread(rows, "page")
+        assert max(sizes(by_page)) <= 2 * SPREAD_ROWS
+        assert by_page.select("page", F.spark_partition_id()).distinct().count() == 4000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_functions_need_no_python(spark):
     for name, fn in entry.queries().items():
         if re.match(r"[fup]\d", name):
