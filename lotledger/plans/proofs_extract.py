@@ -381,11 +381,13 @@ def e3_shallow_record(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "O", "Diesel").otherwise("Benzin"),
         "</li><li>5,4 l/100 km (komb)</li><li>119 g CO2/km</li></ul></div></div>" + item_end,
     )
-    orders = read(spark, sf, "orders").select(F.col("o_custkey"), item.alias("item"))
+    columns = ["o_custkey", "o_orderkey", "o_orderpriority", "o_totalprice", "o_orderstatus", "o_orderdate"]
+    # The narrow rows are dealt by page; the text is built where the page is read.
+    orders = spread(read(spark, sf, "orders").select(*columns), "o_custkey").select("o_custkey", item.alias("item"))
     pages = orders.groupBy("o_custkey").agg(F.array_join(F.collect_list("item"), "").alias("items"))
     url = text("https://lots.example/list?c=", F.col("o_custkey"))
     html = text("<html><body><main>", F.col("items"), shell.format("", "<div></div>"), "</main></body></html>")
-    return sites.shallow_s(spread(pages.select(url.alias("url"), html.alias("html"))), "https://lots.example").drop("new_url")
+    return sites.shallow_s(pages.select(url.alias("url"), html.alias("html")), "https://lots.example").drop("new_url")
 
 
 @query(

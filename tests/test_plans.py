@@ -78,6 +78,14 @@ def test_spread_deals_rows_not_pieces(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def test_result_pages_are_dealt_before_their_text_is_built(spark, tmp_path):
+    """One shuffle, of narrow rows by page: no page text and no second exchange."""
+    orders = spark.range(90).selectExpr("id AS o_orderkey", "id % 9 AS o_custkey", "'O' AS o_orderstatus", "id + 0.5D AS o_totalprice", "current_date() AS o_orderdate", "'x' AS o_orderpriority")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    found = plan(entry.queries()["e3_shallow_record"](spark, str(tmp_path)))
+    assert len(re.findall(r"Exchange ", found)) == 1 and "REPARTITION_BY_NUM" in found, found
+
+
 def test_functions_need_no_python(spark):
     for name, fn in entry.queries().items():
         if re.match(r"[fup]\d", name):
