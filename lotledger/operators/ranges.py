@@ -31,6 +31,9 @@ MAX_PAGES_U = 100
 # Levels that one counting pass covers.
 BAND = 15
 
+# Cells of the lowest level that one task rolls up: each gives a row per level.
+ROLL_UP_ROWS = 50_000
+
 # Slices of a cell that are ranked apart.
 SALTS = 64
 
@@ -136,13 +139,17 @@ def _children(cells: DataFrame, first: int, end: int, depth: int, by: list[str])
     """Cells of the levels first + 1 to end, each with its own count and that of its parent.
 
     Values are summed to the cells of the lowest level first, map-side too, and
-    only these, at most 2 ** (end - first) per open cell, are rolled up. One
-    aggregation per parent cell counts both halves.
+    only these, at most 2 ** (end - first) per open cell, are rolled up. They
+    are dealt by number first: their bytes, by which Spark merges partitions,
+    don't show that each becomes a row per level. One aggregation per parent
+    cell counts both halves. `cells` is a stored table.
     """
-    level = F.col("level")
+    level, tasks = F.col("level"), max(1, -(-cells.count() // ROLL_UP_ROWS))
     lowest = cells.groupBy(*by, _prefix(F.col("path"), end, depth).alias("path")).agg(
         F.sum("n").alias("n"), F.min("v").alias("v"), F.min("leaf").alias("leaf")
     )
+    if tasks > 1:
+        lowest = lowest.repartition(tasks, *by, "path")
     down = lowest.select(*by, "v", "n", "leaf", "path", F.explode(F.sequence(F.lit(first), F.lit(end - 1))).alias("level")).select(
         *by,
         "level",

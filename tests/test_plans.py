@@ -4,7 +4,8 @@ import re
 
 import __spark_entry__ as entry
 import pytest
-from lotledger.session import SPREAD_ROWS, spread
+from lotledger.operators import ranges as R
+from lotledger.session import SPREAD_ROWS, spread, written
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
@@ -91,3 +92,13 @@ def test_functions_need_no_python(spark):
         if re.match(r"[fup]\d", name):
             text = plan(fn(spark, SF))
             assert "Python" not in text and "Exchange" not in text, name
+
+
+def test_roll_up_is_dealt_by_number(spark, tmp_path, monkeypatch):
+    """Each lowest cell becomes a row per level, so their number, not their bytes, says how many tasks roll them up."""
+    hist = spark.range(3000).selectExpr("id * 37 % 100003 AS v", "id % 5 + 1 AS n")
+    cells = sorted(tuple(r) for r in R.split_counts(hist, 0, 1_000_000, 7).collect())
+    monkeypatch.setattr(R, "ROLL_UP_ROWS", 100, raising=False)
+    stored = written(R.with_path(hist, 0, 1_000_000), str(tmp_path / "cells"))
+    assert re.search(r"hashpartitioning\(path#\d+L, 30\), REPARTITION_BY_NUM", plan(R._children(stored, 0, 15, 20, [])))
+    assert sorted(tuple(r) for r in R.split_counts(hist, 0, 1_000_000, 7).collect()) == cells
