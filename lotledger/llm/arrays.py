@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lotledger.session import scratch_dir
 
 #: Text bytes that are held as 64-bit arrays at once; a longer text makes a piece of its own.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))

@@ -86,20 +86,28 @@ class Join:
     def levels(self) -> np.ndarray:
         """How frequent the shingles of a cell are, in half powers of two: a byte for each of the 2**CELL_BITS cells.
 
-        Counted over all documents. A task sends its counts as compressed blocks of
-        cells, which are summed one after another; the driver gets the levels alone.
+        Counted over all documents. A task counts in 16 bits a cell and sends its counts as
+        compressed blocks of cells, whenever a cell is nearly full and at its end; they
+        are summed one after another, and the driver gets the levels alone.
         """
         k = self.k
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            cells = np.zeros(1 << CELL_BITS, np.int32)
+            cells = np.zeros(1 << CELL_BITS, np.uint16)
             for b in batches:
                 for s in shingle_sets(b.column("text"), k):
-                    np.add.at(cells, (s >> np.uint64(64 - CELL_BITS)).astype(np.int64), 1)
-            table = cells.reshape(-1, BLOCK)
+                    at = (s >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+                    for some in (at[i : i + BLOCK] for i in range(0, len(at), BLOCK)):
+                        if cells[some].max() > np.iinfo(np.uint16).max - BLOCK:
+                            yield from packed(cells.reshape(-1, BLOCK))
+                            cells[:] = 0
+                        np.add.at(cells, some, 1)
+            yield from packed(cells.reshape(-1, BLOCK))
+
+        def packed(table: np.ndarray) -> Iterator[pa.RecordBatch]:
             at = np.flatnonzero(table.any(axis=1))
             for i in range(0, len(at), 64):
-                part = [pa.compress(np.ascontiguousarray(table[j].view(np.uint8).reshape(BLOCK, 4).T), "zstd", asbytes=True) for j in at[i : i + 64]]
+                part = [pa.compress(np.ascontiguousarray(table[j].astype(np.int32).view(np.uint8).reshape(BLOCK, 4).T), "zstd", asbytes=True) for j in at[i : i + 64]]
                 yield pa.RecordBatch.from_arrays([pa.array(at[i : i + 64].astype(np.int32)), pa.array(part, pa.binary())], ["block", "counts"])
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,10 +2,12 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest_llm import SF, read, rows
 
@@ -418,3 +420,22 @@ def test_ftrl_by_hand(spark):
     assert abs(model.prior - prior) < 1e-12 and dict(zip(model.places.tolist(), model.weights.tolist())) == pytest.approx(want, abs=1e-9) and want
     scores = {r["doc_id"]: r["p"] for r in toxicity.score(docs, model, "p").collect()}
     assert scores == pytest.approx({i: 1 / (1 + exp(-(sum(want.get(x, 0) for x in found(t)) + prior))) for i, t in body}, abs=1e-9)
+
+
+def test_shingles_take_little_memory():
+    """Text is held as 64-bit arrays a quarter of a megabyte at a time."""
+    words = " ".join(f"w{i}" for i in range(10_000))
+    column = pa.array([words + f" {i}" for i in range(64)])
+    sum(len(s) for s in jaccard_join.shingle_sets(column.slice(0, 1), 5))
+    tracemalloc.start()
+    assert sum(len(s) for s in jaccard_join.shingle_sets(column, 5)) == 64 * 9997
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 15e6, most
+
+
+def test_levels_count_past_sixteen_bits(spark):
+    """A task's counters are emptied in time: 70,000 rows of one shingle are level 2 * log2(70,000)."""
+    docs = spark.range(70_000).coalesce(1).selectExpr("id AS doc_id", "'a' AS text").unionByName(spark.createDataFrame([(-1, "b")], "doc_id bigint, text string"))
+    levels = jaccard_join.Join(docs, 5, 80).levels()
+    assert sorted(levels[levels > 0]) == [32] and len(levels) == 1 << jaccard_join.CELL_BITS
