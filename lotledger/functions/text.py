@@ -12,7 +12,7 @@ OTHER_WORD = "andere"
 PHONE_PREFIX = "tel:"
 
 # Everything a text strip removes, also U+00A0 (which trim keeps).
-_SPACE = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+SPACE = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def null_if_empty(c: Column) -> Column:
@@ -61,7 +61,7 @@ def phone(c: Column) -> Column:
 def strip_ws(c: Column, newlines_only: bool = False) -> Column:
     if newlines_only:
         return F.regexp_replace(c, r"^\n+|\n+$", "")
-    return F.btrim(c.cast("string"), F.lit(_SPACE))
+    return F.btrim(c.cast("string"), F.lit(SPACE))
 
 
 def currency(c: Column, rule: str) -> Column:

@@ -32,17 +32,24 @@ def _encode(c: Column) -> Column:
     return F.replace(F.url_encode(c), F.lit("*"), F.lit("%2A"))
 
 
+def _raw_pairs(u: Column) -> Column:
+    """array<string> of the pairs that count, as they came."""
+    return F.filter(F.split(F.regexp_extract(u, _QUERY, 1), "[&;]"), lambda p: p.rlike("^[^=]*=."))
+
+
+def _sides(p: Column) -> tuple[Column, Column]:
+    return F.substring_index(p, "=", 1), F.substr(p, F.instr(p, F.lit("=")) + 1)
+
+
 def _pairs(u: Column) -> Column:
     """array<struct<k,v,text>> of the pairs that count.
 
     k and v are decoded, text is the pair as it is written back. A pair that
     does not decode is kept as it came.
     """
-    raw = F.filter(F.split(F.regexp_extract(u, _QUERY, 1), "[&;]"), lambda p: p.rlike("^[^=]*=."))
 
     def pair(p: Column) -> Column:
-        raw_k = F.substring_index(p, "=", 1)
-        raw_v = F.substr(p, F.instr(p, F.lit("=")) + 1)
+        raw_k, raw_v = _sides(p)
         k, v = _decode(raw_k), _decode(raw_v)
         return F.struct(
             F.coalesce(k, raw_k).alias("k"),
@@ -50,11 +57,18 @@ def _pairs(u: Column) -> Column:
             F.coalesce(F.concat(_encode(k), F.lit("="), _encode(v)), p).alias("text"),
         )
 
-    return F.transform(raw, pair)
+    return F.transform(_raw_pairs(u), pair)
+
+
+def _read(c: Column) -> Column:
+    """Decoded text, or the text as it came; most has nothing to decode."""
+    return F.when(c.contains("%") | c.contains("+"), F.coalesce(_decode(c), c)).otherwise(c)
 
 
 def get_param(u: Column, name: str) -> Column:
-    return F.try_element_at(F.filter(_pairs(u), lambda p: p["k"] == name), F.lit(-1))["v"]
+    # Names are read to find the pair; the value is read of that one only, and nothing is written back.
+    found = F.filter(_raw_pairs(u), lambda p: _read(_sides(p)[0]) == name)
+    return let(F.try_element_at(found, F.lit(-1)), lambda p: _read(_sides(p)[1]))
 
 
 def _rebuild(u: Column, query: Column) -> Column:
@@ -101,7 +115,8 @@ def set_param(u: Column, name: str, value: Column) -> Column:
 
 
 def clear_params(u: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(u, r"^([^?#]*)\?[^#]*", "$1"), "#$", "")
+    with_fragment = F.regexp_replace(F.regexp_replace(u, r"^([^?#]*)\?[^#]*", "$1"), "#$", "")
+    return F.when(~u.contains("#"), F.substring_index(u, "?", 1)).otherwise(with_fragment)
 
 
 def fix_percent(u: Column) -> Column:

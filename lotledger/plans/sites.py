@@ -8,6 +8,7 @@ step, without a shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from operator import itemgetter
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -34,6 +35,7 @@ from lotledger.operators.catalog import lookup_names
 from lotledger.operators.joins import split_rejects
 from lotledger.operators.merge import PARSE_AGAIN
 from lotledger.operators.pages import (
+    Page,
     children,
     first_attr,
     first_text,
@@ -41,6 +43,7 @@ from lotledger.operators.pages import (
     has_class,
     has_text,
     label_pairs,
+    page_fields,
     page_nodes,
     page_rows,
     sibling_after,
@@ -239,40 +242,62 @@ def shallow_s(pages: DataFrame, origin: str, keep: Sequence[str] = ()) -> DataFr
     )
 
 
-def _basic_s(group: int, position: int):
-    def path(_: Column) -> Column:
-        # The block is cut out once for all of its fields.
-        cell = let(F.col("basic"), lambda b: subtree(b, children(b, "div", group)))
-        return let(cell, lambda c: first_text(c, children(c, "span", position)))
+#: Texts of spans that stand for equipment.
+EQUIPMENT_S = frozenset([*PARKING_SENSORS.values(), *AIRBAGS.values()])
 
-    return path
 
+#: Containers of a detail page, by class.
+CONTAINERS_S = ("cldt-headline", "cldt-price", "cldt-stage-basic-data", "cldt-co2-efficiency")
 
-def _consumption_s(word: str):
-    def path(main: Column) -> Column:
-        labels = F.filter(main, lambda n: (n["tag"] == "dt") & has_text(n, CONSUMPTION_LABEL_S))
-        value = let(F.get(labels, F.lit(0)), lambda mark: sibling_after(main, mark, "dd"))
-        return let(
-            value["id"],
-            lambda dd: first_text(
-                main,
-                lambda n: (n["tag"] == "div") & (n["parent"] == dd) & F.get(n["texts"], F.lit(0)).contains(word),
-            ),
-        )
 
-    return path
+def _basic_s(page: Page, block: int | None) -> list[str | None]:
+    cells = [page.children("span", cell) for cell in page.children("div", block)]
+    return [
+        page.text(cells[group - 1][position - 1]) if group <= len(cells) and position <= len(cells[group - 1]) else None
+        for group, position in BASIC_S.values()
+    ]
 
 
-SPEC_S = {
-    "marketing_headline": lambda main: _under(main, _tag("div", "cldt-headline"), _tag("h1")),
-    "price_text": lambda main: _under(main, _tag("div", "cldt-price"), _tag("h2")),
-    **{name: _basic_s(*place) for name, place in BASIC_S.items()},
-    **{name: _consumption_s(word) for name, word in CONSUMPTION_S.items()},
-    "climate_control": lambda main: first_text(main, lambda n: (n["tag"] == "span") & has_text(n, CLIMATE_S)),
-    "energy_efficiency_class": lambda main: first_attr(
-        subtree(main, _tag("div", "cldt-co2-efficiency")), _tag("img"), "src"
-    ),
-}
+def _consumption_s(page: Page, labelled: Sequence[tuple[int, int | None]]) -> list[str | None]:
+    value = next((value for label, value in labelled if label in page.texts and CONSUMPTION_LABEL_S in page.texts[label]), None)
+    lines = [page.texts[at][0] for at in page.children("div", value) if at in page.texts]
+    return [next((line for line in lines if word in line), None) for word in CONSUMPTION_S.values()]
+
+
+def _labels_s(page: Page, labelled: Sequence[tuple[int, int | None]]) -> list[str | None]:
+    """Value text by label; of several labels with one name the first counts."""
+    values = {page.texts[label][0]: value for label, value in reversed(labelled) if label in page.texts}
+    return [page.text(values.get(text)) for text in LABELS_S.values()]
+
+
+def _found_s(page: Page) -> list[str | list[str] | None]:
+    """What a detail page shows, in the order of `FOUND_S`."""
+    main = page.first("main", -1)
+    title, price, basic, efficiency = page.first_of_class("div", main, CONTAINERS_S)
+    labelled = page.after("dt", "dd", main)
+    spans = [page.texts[at] for at in page.all("span", main) if at in page.texts]
+    return [
+        page.first_text("h1", title),
+        page.first_text("h2", price),
+        *_basic_s(page, basic),
+        *_consumption_s(page, labelled),
+        next((texts[0] for texts in spans if CLIMATE_S in texts), None),
+        page.first_attr("img", efficiency, "src"),
+        *_labels_s(page, labelled),
+        [text for texts in spans for text in texts if text in EQUIPMENT_S],
+    ]
+
+
+TEXTS_S = (
+    "marketing_headline",
+    "price_text",
+    *BASIC_S,
+    *CONSUMPTION_S,
+    "climate_control",
+    "energy_efficiency_class",
+    *LABELS_S,
+)
+FOUND_S = dict.fromkeys(TEXTS_S, "string") | {"equipment": "array<string>"}
 
 
 def detail_s(pages: DataFrame, brands: DataFrame | None = None, models: DataFrame | None = None) -> DataFrame:
@@ -283,19 +308,11 @@ def detail_s(pages: DataFrame, brands: DataFrame | None = None, models: DataFram
     extracted rows, not to the pages, so that no page text is shuffled.
     """
     keep = [c for c in ("url", *CAPTURE) if c in pages.columns]
-    nodes = page_nodes(pages.select(*keep, "html"))
-    main = nodes.select(*keep, subtree(F.col("nodes"), _tag("main")).alias("main"))
-    spans = text_nodes(F.col("main"), _tag("span"))
-    main = main.withColumns(
-        {
-            "labels": label_pairs(F.col("main"), lambda n: F.get(n["texts"], F.lit(0))),
-            "parking_sensors": flags(spans, PARKING_SENSORS),
-            "airbags": flags(spans, AIRBAGS),
-            "basic": subtree(F.col("main"), _tag("div", "cldt-stage-basic-data")),
-        }
-    )
-    raw = spec_select(main, "main", SPEC_S).drop("basic")
-    label = {name: null_if_empty(strip_ws(F.col("labels")[text])) for name, text in LABELS_S.items()}
+    found = page_fields(pages.select(*keep, "html"), FOUND_S, _found_s)
+    spans = F.col("found")["equipment"]
+    found = found.withColumns({"parking_sensors": flags(spans, PARKING_SENSORS), "airbags": flags(spans, AIRBAGS)})
+    raw = spec_select(found, "found", {name: itemgetter(name) for name in TEXTS_S})
+    label = {name: null_if_empty(F.col(name)) for name in LABELS_S}
     typed = raw.select(
         *[c for c in keep if c != "url"],
         clear_params(F.col("url")).alias("origin_link"),

@@ -61,6 +61,12 @@ def test_page_text_is_not_shuffled(spark):
             assert "html" not in line
 
 
+def test_detail_pages_send_back_values_only(spark):
+    """The elements of a page stay in the task that reads it; no lambda goes over them afterwards."""
+    text = plan(entry.queries()["e3_detail_record"](spark, SF))
+    assert "MapInArrow" in text and "nodes" not in text and "cldt" not in text.split("MapInArrow")[0]
+
+
 def test_spread_deals_rows_not_pieces(spark, tmp_path):
     """A file has more splits than row groups: its one full piece is dealt out, however many empty ones there are."""
     path = str(tmp_path / "rows.parquet")
