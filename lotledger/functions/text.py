@@ -25,6 +25,8 @@ def match(c: Column, pattern: str, group: int = 0) -> Column:
 
 
 def _nth_run(c: Column, n: int) -> Column:
+    if n == 0:
+        return match(c, NUMBER_RUN)
     return F.get(F.regexp_extract_all(c, F.lit(NUMBER_RUN), F.lit(0)), F.lit(n))
 
 
@@ -37,7 +39,7 @@ def nth_int(c: Column, n: int = 0, decimal: bool = False) -> Column:
     run = _nth_run(c, n)
     if decimal:
         run = F.regexp_replace(run, r",\d{1,2}$", "")
-    return F.regexp_replace(run, "[.,]", "").try_cast("bigint")
+    return F.translate(run, ".,", "").try_cast("bigint")
 
 
 def nth_float(c: Column, n: int = 0) -> Column:

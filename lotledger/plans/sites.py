@@ -10,6 +10,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from operator import itemgetter
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lotledger.functions.binding import let
@@ -35,7 +38,7 @@ from lotledger.operators.catalog import lookup_names
 from lotledger.operators.joins import split_rejects
 from lotledger.operators.merge import PARSE_AGAIN
 from lotledger.operators.pages import (
-    Page,
+    Elements,
     children,
     first_attr,
     first_text,
@@ -242,52 +245,50 @@ def shallow_s(pages: DataFrame, origin: str, keep: Sequence[str] = ()) -> DataFr
     )
 
 
-#: Texts of spans that stand for equipment.
-EQUIPMENT_S = frozenset([*PARKING_SENSORS.values(), *AIRBAGS.values()])
+def _basic_s(pages: Elements, block: np.ndarray) -> list[pa.Array]:
+    cells = pages.children("div", block)
+    spans = {group: pages.children("span", pages.first(cells, group)) for group, _ in BASIC_S.values()}
+    return [pages.text(pages.first(spans[group], position)) for group, position in BASIC_S.values()]
 
 
-#: Containers of a detail page, by class.
-CONTAINERS_S = ("cldt-headline", "cldt-price", "cldt-stage-basic-data", "cldt-co2-efficiency")
+def _consumption_s(pages: Elements, value: np.ndarray) -> list[pa.Array]:
+    lines = pages.with_text(pages.children("div", value))
+    texts = pages.text(lines)
+    has = [pc.match_substring(texts, word).to_numpy(zero_copy_only=False) for word in CONSUMPTION_S.values()]
+    return [pages.text(pages.first(lines[mask])) for mask in has]
 
 
-def _basic_s(page: Page, block: int | None) -> list[str | None]:
-    cells = [page.children("span", cell) for cell in page.children("div", block)]
-    return [
-        page.text(cells[group - 1][position - 1]) if group <= len(cells) and position <= len(cells[group - 1]) else None
-        for group, position in BASIC_S.values()
-    ]
-
-
-def _consumption_s(page: Page, labelled: Sequence[tuple[int, int | None]]) -> list[str | None]:
-    value = next((value for label, value in labelled if label in page.texts and CONSUMPTION_LABEL_S in page.texts[label]), None)
-    lines = [page.texts[at][0] for at in page.children("div", value) if at in page.texts]
-    return [next((line for line in lines if word in line), None) for word in CONSUMPTION_S.values()]
-
+def _found_s(pages: Elements) -> list[pa.Array]:
+    """What detail pages show, in the order of `FOUND_S`."""
+    main = pages.first(pages.ids("main"))
+    divs, spans, labels = (pages.ids(tag, main) for tag in ("div", "span", "dt"))
+    values = np.full(len(pages.tags) + 1, -1)
+    values[labels] = pages.after(labels, pages.ids("dd", main))
 
-def _labels_s(page: Page, labelled: Sequence[tuple[int, int | None]]) -> list[str | None]:
-    """Value text by label; of several labels with one name the first counts."""
-    values = {page.texts[label][0]: value for label, value in reversed(labelled) if label in page.texts}
-    return [page.text(values.get(text)) for text in LABELS_S.values()]
+    def box(cls: str) -> np.ndarray:
+        return pages.first(pages.with_class(divs, cls))
 
+    def has(tagged: np.ndarray, text: str) -> np.ndarray:
+        return pages.first(pages.with_text(tagged, pc.equal(pages.texts, text)))
 
-def _found_s(page: Page) -> list[str | list[str] | None]:
-    """What a detail page shows, in the order of `FOUND_S`."""
-    main = page.first("main", -1)
-    title, price, basic, efficiency = page.first_of_class("div", main, CONTAINERS_S)
-    labelled = page.after("dt", "dd", main)
-    spans = [page.texts[at] for at in page.all("span", main) if at in page.texts]
+    named = pages.with_text(labels)
+    names = pc.index_in(pages.text(named), pa.array(LABELS_S.values(), pa.string())).fill_null(-1).to_numpy()
+    equipment = pc.is_in(pages.texts, pa.array([*PARKING_SENSORS.values(), *AIRBAGS.values()], pa.string()))
+    shown = np.flatnonzero(equipment.to_numpy(zero_copy_only=False) & np.isin(pages.owner, spans))
     return [
-        page.first_text("h1", title),
-        page.first_text("h2", price),
-        *_basic_s(page, basic),
-        *_consumption_s(page, labelled),
-        next((texts[0] for texts in spans if CLIMATE_S in texts), None),
-        page.first_attr("img", efficiency, "src"),
-        *_labels_s(page, labelled),
-        [text for texts in spans for text in texts if text in EQUIPMENT_S],
+        pages.text(pages.first(pages.with_text(pages.ids("h1", box("cldt-headline"))))),
+        pages.text(pages.first(pages.with_text(pages.ids("h2", box("cldt-price"))))),
+        *_basic_s(pages, box("cldt-stage-basic-data")),
+        *_consumption_s(pages, values[has(labels, CONSUMPTION_LABEL_S)]),
+        pages.text(has(spans, CLIMATE_S)),
+        pages.first_attr(pages.ids("img", box("cldt-co2-efficiency")), "src"),
+        # Of several labels with one name the first counts.
+        *[pages.text(values[pages.first(named[names == i])]) for i in range(len(LABELS_S))],
+        pages.lists(shown),
     ]
 
 
+#: Fields of a detail page as they are found there.
 TEXTS_S = (
     "marketing_headline",
     "price_text",

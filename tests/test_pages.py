@@ -1,6 +1,7 @@
 """Page extraction on hand-written pages of the three layouts."""
 
 import datetime
+import time
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -111,6 +112,52 @@ def test_detail_s(spark):
     assert good.count() == 1 and [r["reason"] for r in rejects.collect()] == ["Car will parse again"]
 
 
+def test_detail_s_odd_pages(spark):
+    """Pages of several slices keep their own values, whatever stands between them."""
+    odd = [
+        "<div class='cldt-headline'><h1>no main</h1></div>",
+        f"<main><div title='cldt-price'><h2>{EURO} 1,-</h2></div><div class='x cldt&#45;price'><h2>{EURO} 7,-</h2></div></main>",
+        "<main><div class='cldt-headline'></div><div class='cldt-headline'><h1>second</h1></div></main>",
+        "<main><dl><dt>Hubraum<dd>1.598 cm3<dt>Hubraum<dd>2<dt>Kraftstoff</dt></dl></main><dl><dt>Kraftstoff</dt><dd>out</dd></dl>",
+        "<main><dl><dt>a<b></b>Kraftstoffverbrauch</dt><dd><p><div>1 komb</div></p><div>5,4 &amp; (komb)</div></dd></dl></main>",
+        "<main><span>z<i></i>Klimaautomatik</span><i>Kopfairbag</i><script>'<span>Kopfairbag</span>'</script></main>",
+        "<main><div class='cldt-stage-basic-data'><p></p><div><b><span>1 km</span></b><span>2 km</span></div><div></div>"
+        "<div><i></i><span>85 kW</span><span>116 PS</span></main>",
+        None,
+        "",
+    ]
+    expected = [
+        {},
+        {"sales_price_incl_vat": 7, "currency": EURO},
+        {},
+        {"cubic_capacity_cm3": 1598},
+        {"fuel_consumption_comb": 5.4},
+        {"climate_control": "z"},
+        {"mileage": 2, "power_in_kw": 85, "power_in_ps": 116},
+        {},
+        {},
+    ]
+    good = "<main><div class='cldt-headline'><h1>T {0}</h1></div><dl><dt>Anzahl Türen</dt><dd>{0}</dd></dl><span>Einparkhilfe</span></main>"
+    pages = {f"u{i}": odd[i % 11] if i % 11 < len(odd) else good.format(i) for i in range(1210)}
+    rows = sites.detail_s(frame(spark, *[(u, html, 200) for u, html in pages.items()]).coalesce(1)).collect()
+    assert len(rows) == len(pages)
+    for row in rows:
+        i = int(row.origin_link[1:])
+        want = expected[i % 11] if i % 11 < len(odd) else {
+            "marketing_headline": f"T {i}", "number_of_doors": i, "parking_sensors": "Einparkhilfe"
+        }
+        assert {k: v for k, v in row.asDict().items() if v is not None} == want | {"origin_link": f"u{i}", "status": 200}
+    none = sites.detail_s(frame(spark, ("u", None, 200), ("u", "text", 200)))
+    assert [(r.origin_link, r.mileage, r.airbags) for r in none.collect()] == [("u", None, None)] * 2
+
+
+def test_tags_that_never_end_are_read_in_time():
+    """A name was given back letter by letter for every such tag, which took minutes."""
+    start = time.perf_counter()
+    assert [len(G.Elements([text * 1000]).tags) for text in ("<div", "<script", "<p x='")] == [0, 0, 0]
+    assert time.perf_counter() - start < 10
+
+
 def test_shallow_s(spark):
     item = (
         "<div data-item-name='listing-summary-container'><div><div><div>{}</div></div><div></div>"
